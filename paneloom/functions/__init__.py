@@ -5,6 +5,7 @@ from paneloom.functions.quarters import (
     disclosure_window,
     quarter_bounds,
     quarters_in_range,
+    quarters_overlapping,
 )
 from paneloom.functions.scalars import (
     add_suffix,
@@ -35,6 +36,7 @@ __all__ = [
     "parse_list",
     "quarter_bounds",
     "quarters_in_range",
+    "quarters_overlapping",
     "round_to",
     "sanitize_label",
     "strip_caret",

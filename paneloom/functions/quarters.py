@@ -64,6 +64,29 @@ def disclosure_quarter(date: Column | str) -> Column:
     )
 
 
+def quarters_overlapping(start: Column | str, end: Column | str) -> Column:
+    """Array of the quarters whose window meets [start, end], per row."""
+    start = F.col(start) if isinstance(start, str) else start
+    end = F.col(end) if isinstance(end, str) else end
+    years = F.sequence(F.year(start) - 1, F.year(end) + 1)
+
+    def of_year(year: Column) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    F.concat(year.cast("string"), F.lit(f"-{q}")).alias("quarter"),
+                    F.make_date(year + y0, F.lit(m0), F.lit(d0)).alias("lo"),
+                    F.make_date(year + y1, F.lit(m1), F.lit(d1)).alias("hi"),
+                )
+                for q, (y0, m0, d0, y1, m1, d1) in WINDOWS.items()
+            ]
+        )
+
+    windows = F.flatten(F.transform(years, of_year))
+    hits = F.filter(windows, lambda w: (w["hi"] >= start) & (w["lo"] <= end))
+    return F.transform(hits, lambda w: w["quarter"])
+
+
 def quarters_in_range(start: dt.date, end: dt.date, legacy: bool = False) -> list[str]:
     """Quarters whose window meets [start, end], in window order.
 

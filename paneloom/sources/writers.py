@@ -26,12 +26,18 @@ def write_zone(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    write_zone(export_scalars(df), path, partition_by, "append")
+def append_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), flat: bool = False
+) -> None:
+    """Add rows; ``flat`` writes the export form of :func:`export_scalars`."""
+    write_zone(export_scalars(df) if flat else df, path, partition_by, "append")
 
 
-def truncate_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    write_zone(export_scalars(df), path, partition_by, "overwrite")
+def truncate_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), flat: bool = False
+) -> None:
+    """Replace all rows; ``flat`` writes the export form of :func:`export_scalars`."""
+    write_zone(export_scalars(df) if flat else df, path, partition_by, "overwrite")
 
 
 def dataset_name(base: str, start: str, end: str, mv_date: str, top_n: int | None = None) -> str:

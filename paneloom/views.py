@@ -8,8 +8,23 @@ from pyspark.sql import functions as F
 from paneloom.operators.panel import wide_to_long
 
 
+# layouts of the tables read here; naming them spares a schema job per read
+LAYOUTS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in LAYOUTS:
+        reader = reader.schema(LAYOUTS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _asset() -> "F.Column":
