@@ -114,6 +114,8 @@ def align_factor(
     known = factors.select("factor_name", "date", "asset", "value").where(
         F.col("value").isNotNull()
     )
+    if hot is None:
+        hot = has_hot_group(known, CELL)
     joined = known.join(
         forward_returns(prices, periods, calendar), ["date", "asset"], "left"
     )

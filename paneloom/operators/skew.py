@@ -32,8 +32,8 @@ RANGES_PER_OCTAVE = 1024
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of all leaf relations of the optimized plan, from statistics alone (no job)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    """Bytes of all tables below the plan, from file statistics alone: no job, no optimization."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 

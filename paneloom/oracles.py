@@ -309,22 +309,21 @@ FROM (SELECT date, r, product(1 + r) OVER (ORDER BY date) AS wealth
       FROM {source} WHERE r IS NOT NULL) g)"""
 
 
-def _performance(source: str, year: int, digits: int, log: bool) -> str:
+def _performance(source: str, year: int, digits: int) -> str:
     level = f"""(SELECT regr_r2(lvl, day) AS v FROM (
-  SELECT CAST(row_number() OVER (ORDER BY date) AS DOUBLE) AS day, sum(ln(1 + r)) OVER (ORDER BY date) AS lvl
+  SELECT CAST(row_number() OVER (ORDER BY date) AS DOUBLE) AS day, sum(ln(CASE WHEN r > -1 THEN 1 + r END)) OVER (ORDER BY date) AS lvl
   FROM {source} WHERE r IS NOT NULL) q)"""
     r = lambda x: _r(x, digits)
     annual = f"CASE WHEN g > 0 THEN pow(CASE WHEN g > 0 THEN g END, {year}.0 / n) - 1 END"
-    stability = r(level) if log else "CAST(NULL AS DOUBLE)"
     return f"""
 SELECT n AS n_days, {r("g - 1")} AS total_return, {r(annual)} AS annual_return,
        {r(f"s * sqrt({year}.0)")} AS annual_volatility, {r(f"m / s * sqrt({year}.0)")} AS sharpe,
        {r(f"m / down * sqrt({year}.0)")} AS sortino, {r("dd")} AS max_drawdown,
        {r(f"({annual}) / abs(dd)")} AS calmar, {r("gain / loss")} AS omega,
        {r("abs(p95) / abs(p05)")} AS tail_ratio, {r("skew")} AS skew, {r("kurt")} AS kurtosis,
-       {r("p05")} AS var_5pct, {r("m - 2 * s")} AS value_at_risk, {stability} AS stability
+       {r("p05")} AS var_5pct, {r("m - 2 * s")} AS value_at_risk, CASE WHEN lowest > -1 THEN {r(level)} END AS stability
 FROM (
-  SELECT count(*) AS n, product(1 + r) AS g, avg(r) AS m, stddev_samp(r) AS s,
+  SELECT count(*) AS n, min(r) AS lowest, product(1 + r) AS g, avg(r) AS m, stddev_samp(r) AS s,
          sqrt(avg(least(r, 0) * least(r, 0))) AS down, min(drawdown) AS dd,
          sum(greatest(r, 0)) AS gain, sum(greatest(-r, 0)) AS loss,
          quantile_cont(r, 0.95) AS p95, quantile_cont(r, 0.05) AS p05,
@@ -595,18 +594,18 @@ SELECT date, asset, 'short', CAST(low_place AS INT), rank FROM places WHERE low_
     "holdings": "SELECT date, asset, side, size FROM sized WHERE held",
     "trade_orders": """
 SELECT date, asset, side, CASE WHEN enter THEN 'enter' ELSE 'exit' END AS action FROM moves WHERE enter OR leave""",
-    "trade_ledger": f"""
-SELECT date, asset, side, action, quantity, {_r('price', 6)} AS price,
-       {_r('0.001 * abs(quantity) * price', 9)} AS commission FROM ledger""",
+    "trade_ledger": """
+SELECT date, asset, side, action, quantity, price,
+       0.001::DOUBLE * (abs(quantity) * price) AS commission FROM ledger""",
     "equity_curve": f"""
 SELECT date, {_r('cash', 2)} AS cash, {_r('worth', 2)} AS position_value, {_r('equity', 2)} AS equity,
        {_r('r', 6)} AS daily_return FROM portfolio_returns""",
-    "performance_summary": _performance("portfolio_returns", 12, 6, False),
+    "performance_summary": _performance("portfolio_returns", 12, 6),
     "monthly_returns": _periodic("portfolio_returns", "month", 6),
     "yearly_returns": _periodic("portfolio_returns", "year", 4),
     "drawdowns": _drawdowns("portfolio_returns"),
     "benchmark_performance": f"""
-SELECT * EXCLUDE (total_return) FROM ({_performance("market_returns", 252, 5, True)}) p""",
+SELECT * EXCLUDE (total_return) FROM ({_performance("market_returns", 252, 5)}) p""",
     "benchmark_monthly": _periodic("market_returns", "month", 6),
     "benchmark_drawdowns": _drawdowns("market_returns"),
 }

@@ -549,7 +549,7 @@ def trade_orders(spark, sf):
 
 
 def trade_ledger(spark, sf):
-    return _rounded(_rounded(pf.trade_ledger(_held(spark, sf)), 6, "price"), 9, "commission")
+    return pf.trade_ledger(_held(spark, sf))
 
 
 def _equity(spark, sf):
