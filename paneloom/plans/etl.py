@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paneloom.functions.defaults import EXCLUDED_INDUSTRIES, LISTED_BEFORE, TOP_N
 from paneloom.operators.calendar import Calendar, factor_daily, trading_calendar
-from paneloom.operators.panel import benchmark_returns, clean_ohlcv, ingest_fill, first_per_key
+from paneloom.operators.panel import benchmark_returns, clean_ohlcv, first_per_key, ingest_fill
 from paneloom.operators.universe import build_universe
 from paneloom.sources.writers import tag_run, truncate_table, upsert_table
 
@@ -50,10 +50,10 @@ def build_star_schema(
     if len(market_value_dates) == 1:
         universe = universe.withColumn("target_date", F.lit(market_value_dates[0]).cast("date"))
     partitions = ["mv_date"]
-    tagged = tag_run(universe.drop("target_date"), start, end, "", top_n).withColumn(
-        "mv_date", universe["target_date"].cast("string")
+    tagged = tag_run(universe, start, end, "", top_n).withColumn(
+        "mv_date", F.col("target_date").cast("string")
     )
-    truncate_table(tagged, paths["dim_universe"], partitions)
+    truncate_table(tagged.drop("target_date"), paths["dim_universe"], partitions)
     members = universe.sparkSession.read.parquet(paths["dim_universe"]).select(
         F.col("mv_date").cast("string").alias("mv_date"), "stock_id"
     )
