@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneloom.functions.defaults import MAX_LOSS, PERIODS, QUANTILES
+from paneloom.lookup import lookup_table
 from paneloom.operators.calendar import Calendar
-from paneloom.operators.ranking import rank_cross_section
+from paneloom.operators.ranking import BROADCAST_LOOKUP_ROWS, rank_cross_section
 from paneloom.operators.skew import cross_section, has_hot_group, with_group_aggregates
 
 CELL = ["factor_name", "date"]
@@ -139,22 +140,20 @@ def loss_gate(aligned: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     )
 
 
-def clean_factor(
-    aligned: DataFrame,
-    max_loss: float | None = MAX_LOSS,
-    factor_names: Sequence[str] | None = None,
-) -> DataFrame:
-    """Complete, bucketed rows of the factors that pass the loss gate.
+def clean_factor(aligned: DataFrame, max_loss: float | None = MAX_LOSS) -> DataFrame:
+    """Complete, bucketed rows of the factors that pass the loss gate; ``None`` skips the gate.
 
-    The gate has one row per factor: with ``factor_names`` that bound is known and it is broadcast.
-    ``max_loss=None`` skips the gate.
+    The gate, one row per factor, is evaluated first. Up to ``BROADCAST_LOOKUP_ROWS`` passing
+    names are broadcast, more are joined by name.
     """
     kept = aligned.where(F.col("complete") & F.col("bucket").isNotNull()).drop("complete")
     if max_loss is None:
         return kept
     passed = loss_gate(aligned, max_loss).where(F.col("status") == "ok").select("factor_name")
-    if factor_names is not None and len(factor_names) <= 100_000:
-        passed = F.broadcast(passed)
+    names = passed.limit(BROADCAST_LOOKUP_ROWS + 1).collect()
+    if len(names) <= BROADCAST_LOOKUP_ROWS:
+        few = lookup_table(aligned.sparkSession, [tuple(r) for r in names], "factor_name string")
+        passed = F.broadcast(few)
     return kept.join(passed, "factor_name", "left_semi")
 
 

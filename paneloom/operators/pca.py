@@ -31,8 +31,71 @@ class Components:
         return [f"PC{i + 1}" for i in range(len(self.loadings))]
 
 
-def standardised(means: Sequence[float], scales: Sequence[float], names: Sequence[str]) -> list[Column]:
-    return [(F.col(f"`{n}`") - F.lit(m)) / F.lit(s) for n, m, s in zip(names, means, scales)]
+@dataclass(frozen=True)
+class Moments:
+    names: tuple[str, ...]
+    n: int
+    means: np.ndarray
+    covariance: np.ndarray  # population
+
+    @property
+    def scales(self) -> np.ndarray:
+        """Population deviations; 1 for a constant column."""
+        deviation = np.sqrt(np.diag(self.covariance))
+        tiny = 10 * np.finfo(float).eps * np.maximum(np.abs(self.means), 1.0)
+        return np.where(deviation <= tiny, 1.0, deviation)
+
+
+def _moment_aggregates(columns: Sequence[str]) -> tuple[list[Column], list[tuple[int, int]]]:
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    return [
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs],
+    ], pairs
+
+
+def matrix_moments(matrix: DataFrame, names: Sequence[str]) -> Moments:
+    """Count, means and covariances of the complete matrix, from one aggregation."""
+    aggregates, pairs = _moment_aggregates([f"`{n}`" for n in names])
+    row = matrix.agg(*aggregates).first()
+    if not row["n"]:
+        raise ValueError("no complete factor rows")
+    covariance = np.zeros((len(names), len(names)))
+    for i, j in pairs:
+        covariance[i, j] = covariance[j, i] = row[f"c{i}_{j}"]
+    means = np.array([row[f"m{i}"] for i in range(len(names))])
+    return Moments(tuple(names), row["n"], means, covariance)
+
+
+def covariance_table(matrix: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same covariances as rows (factor_a, factor_b, covariance)."""
+    aggregates, pairs = _moment_aggregates([f"`{n}`" for n in names])
+    rows = [
+        F.struct(
+            F.lit(names[i]).alias("factor_a"),
+            F.lit(names[j]).alias("factor_b"),
+            F.col(f"c{i}_{j}").alias("covariance"),
+        )
+        for i, j in pairs
+    ]
+    return matrix.agg(*aggregates).select(F.inline(F.array(*rows)))
+
+
+def _z(means: Sequence[float], scales: Sequence[float], names: Sequence[str]) -> list[Column]:
+    return [
+        (F.col(f"`{n}`") - F.lit(float(m))) / F.lit(float(s))
+        for n, m, s in zip(names, means, scales)
+    ]
+
+
+def standardise(
+    matrix: DataFrame, names: Sequence[str], keys: Sequence[str] = ("date", "asset")
+) -> DataFrame:
+    """Every factor minus its mean over its population deviation."""
+    moments = matrix_moments(matrix, names)
+    z = _z(moments.means, moments.scales, names)
+    return matrix.select(*keys, *[c.alias(n) for c, n in zip(z, names)])
 
 
 def fit_components(
@@ -43,25 +106,10 @@ def fit_components(
     ``n_components`` defaults to one less than the number of factors and is kept within 1..k. Signs
     are fixed: the first loading of largest magnitude is positive.
     """
-    names = list(names)
     k = len(names)
-    columns = [f"`{n}`" for n in names]
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    row = matrix.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs],
-    ).first()
-    if not row["n"]:
-        raise ValueError("no complete factor rows")
-    covariance = np.zeros((k, k))
-    for i, j in pairs:
-        covariance[i, j] = covariance[j, i] = row[f"c{i}_{j}"]
-    means = [row[f"m{i}"] for i in range(k)]
-    deviation = np.sqrt(np.diag(covariance))
-    tiny = 10 * np.finfo(float).eps * np.maximum(np.abs(means), 1.0)
-    scales = np.where(deviation <= tiny, 1.0, deviation)
-    values, vectors = np.linalg.eigh(covariance / np.outer(scales, scales))
+    moments = matrix_moments(matrix, names)
+    scales = moments.scales
+    values, vectors = np.linalg.eigh(moments.covariance / np.outer(scales, scales))
     order = np.argsort(values)[::-1]
     values, vectors = np.maximum(values[order], 0.0), vectors[:, order].T
     wanted = k - 1 if n_components is None else n_components
@@ -75,7 +123,7 @@ def fit_components(
     explained = values / total if total else values
     return Components(
         tuple(names),
-        tuple(float(m) for m in means),
+        tuple(float(m) for m in moments.means),
         tuple(float(s) for s in scales),
         vectors[:wanted],
         explained[:wanted],
@@ -85,7 +133,7 @@ def fit_components(
 def component_scores(
     matrix: DataFrame, components: Components, keys: Sequence[str] = ("date", "asset")
 ) -> DataFrame:
-    z = standardised(components.means, components.scales, components.names)
+    z = _z(components.means, components.scales, components.names)
     scores = [
         _sum_left_to_right([c * F.lit(float(w)) for c, w in zip(z, loading)]).alias(name)
         for name, loading in zip(components.columns, components.loadings)

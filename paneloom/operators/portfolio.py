@@ -27,7 +27,7 @@ from paneloom.lookup import lookup_table
 from paneloom.operators.calendar import Calendar, carry_forward
 from paneloom.operators.panel import forward_fill
 from paneloom.operators.ranking import _sum_left_to_right, rank_cross_section
-from paneloom.operators.skew import first_k
+from paneloom.operators.skew import first_k, has_hot_group
 
 OHLCV = ("open", "high", "low", "close", "volume")
 
@@ -71,6 +71,8 @@ def fill_and_rank(
     factors: DataFrame, positive_corr: bool = True, hot: bool | None = None
 ) -> DataFrame:
     """Carry each asset's factor forward, drop what is still missing, rank per factor and date."""
+    if hot is None:
+        hot = has_hot_group(factors, ["factor_name", "date"])
     filled = forward_fill(factors, ["value"], ["factor_name", "asset"]).where(
         F.col("value").isNotNull()
     )
@@ -93,6 +95,8 @@ def scheduled_rank(
     ``positive_corr`` applies to the combined rank too, as callers expect, which undoes a negative
     direction; ``final_ascending`` ranks the combination low-to-high instead.
     """
+    if hot is None:
+        hot = has_hot_group(ranks, ["factor_name", "date"])
     table = lookup_table(
         ranks.sparkSession,
         list(schedule),
@@ -102,7 +106,6 @@ def scheduled_rank(
     planned = ranks.withColumn("quarter", disclosure_quarter("date")).join(
         F.broadcast(table), ["quarter", "factor_name"]
     )
-    expected = planned.groupBy("quarter").agg(F.count_distinct("_pos").alias("_expected"))
     wide = planned.groupBy("quarter", "date", "asset").agg(
         *[
             F.max(F.when(F.col("_pos") == i, F.col("rank") * F.col("_weight"))).alias(f"_t{i}")
@@ -112,7 +115,8 @@ def scheduled_rank(
     terms = [F.col(f"_t{i}") for i in range(width)]
     present = _sum_left_to_right([t.isNotNull().cast("int") for t in terms])
     total = _sum_left_to_right([F.coalesce(t, F.lit(0.0)) for t in terms])
-    # one row per quarter of the schedule
+    # one row per quarter of the schedule: how many of its factors have any data
+    expected = planned.groupBy("quarter").agg(F.count_distinct("_pos").alias("_expected"))
     summed = (
         wide.join(F.broadcast(expected), "quarter")
         .where(present == F.col("_expected"))
@@ -199,16 +203,19 @@ def long_short_signals(
             "after_open": F.lead("open", 2).over(bar),
         }
     ).where(F.col("rank").isNotNull())
-    sides = []
-    if buy_n:
-        high = [F.col("rank").desc(), F.col("asset").desc()]
-        sides.append(first_k(ahead, ["date"], high, buy_n, "position").withColumn("side", F.lit("long")))
-    if sell_n:
-        low = [F.col("rank").asc(), F.col("asset").asc()]
-        sides.append(first_k(ahead, ["date"], low, sell_n, "position").withColumn("side", F.lit("short")))
+    sides = [side for side, n in (("long", buy_n), ("short", sell_n)) if n]
     if not sides:
-        return ahead.where(F.lit(False)).withColumns({"position": F.lit(0), "side": F.lit("")})
-    return sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+        return ahead.where(F.lit(False)).withColumns({"side": F.lit(""), "position": F.lit(0)})
+    # one pass for both sides: each side's order is spelled out and the other's parts are NULL
+    tagged = ahead.withColumn("side", F.explode(F.array(*[F.lit(s) for s in sides])))
+    short = F.col("side") == "short"
+    order = [
+        F.when(short, F.col("rank")).otherwise(-F.col("rank")).asc(),
+        F.when(short, F.col("asset")).asc(),
+        F.when(~short, F.col("asset")).desc(),
+    ]
+    picked = first_k(tagged, ["date", "side"], order, max(buy_n, sell_n), "position")
+    return picked.where(F.col("position") <= F.when(short, sell_n).otherwise(buy_n))
 
 
 def cash_per_name(initial_cash: float, buy_n: int, sell_n: int) -> float:

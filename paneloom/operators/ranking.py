@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.lookup import lookup_table
-from paneloom.operators.skew import cross_section
+from paneloom.operators.skew import cross_section, has_hot_group
 
 # rows of a driver-built lookup table up to which it is broadcast
 BROADCAST_LOOKUP_ROWS = 200_000
@@ -86,6 +86,8 @@ def weighted_rank_of(
 
 
 def _rank_sums(tall, k, keys, asset, positive_corr, hot):
+    if hot is None:
+        hot = has_hot_group(tall, [*keys, "_pos"])
     wide = tall.groupBy(*keys, asset).agg(
         *[F.max(F.when(F.col("_pos") == i, F.col("_term"))).alias(f"_t{i}") for i in range(k)]
     )
@@ -125,6 +127,9 @@ def weighted_rank_combos(
     row: the only further exchange is the one that ranks (combo, date) groups. Weights are by
     position inside the combination; none or a wrong number means equal weights.
     """
+    if hot is None:
+        # a (combination, date) group is never larger than its factors' groups
+        hot = has_hot_group(ranks, ["factor_name", "date"])
     combos = combo_table(factors, combo_size)
     size = len(combos[0][2])
     if weights is None or len(weights) != size:

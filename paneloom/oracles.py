@@ -127,6 +127,7 @@ LEFT JOIN (SELECT factor_name, period, regr_intercept(factor_return, universe_re
     }
 
 
+_FACTORS = ("revenue", "units", "return_rate")
 _EACH = "(20000000.0 * 0.9 / 40)"
 
 RELATIONS: dict[str, str] = {
@@ -219,6 +220,11 @@ SELECT factor_name, date, asset, {_average_rank("factor_name, date", "w")} AS va
   FROM combos JOIN month_ranks x ON x.factor_name = a
   JOIN month_ranks y ON y.factor_name = b AND y.date = x.date AND y.asset = x.asset) s""",
     **_factor_chain("c_", "combo_values"),
+    "complete_months": """
+SELECT * FROM (SELECT date, asset, max(value) FILTER (factor_name = 'revenue') AS revenue,
+  max(value) FILTER (factor_name = 'units') AS units,
+  max(value) FILTER (factor_name = 'return_rate') AS return_rate FROM month_factors GROUP BY 1, 2) w
+WHERE revenue IS NOT NULL AND units IS NOT NULL AND return_rate IS NOT NULL""",
     "z": """
 SELECT date, asset, (revenue - avg(revenue) OVER ()) / stddev_pop(revenue) OVER () AS z1,
        (return_rate - avg(return_rate) OVER ()) / stddev_pop(return_rate) OVER () AS z2,
@@ -555,6 +561,17 @@ CROSS JOIN (VALUES (1), (5), (10)) p(period)
 LEFT JOIN (SELECT *, {_average_rank('factor_name, date', 'value')} AS rk FROM f_clean) b
   ON b.factor_name = a.factor_name AND b.asset = a.asset AND b.t = a.t - period
 WHERE a.t > period GROUP BY 1, 2, 3""",
+    "factor_zscores": "SELECT date, asset, "
+    + ", ".join(f"{_r(f'({n} - avg({n}) OVER ()) / stddev_pop({n}) OVER ()', 6)} AS {n}" for n in _FACTORS)
+    + " FROM complete_months",
+    "factor_covariance": " UNION ALL ".join(
+        f"SELECT '{a}' AS factor_a, '{b}' AS factor_b, {_r(f'corr({a}, {b})', 8)} AS covariance FROM complete_months"
+        for i, a in enumerate(_FACTORS)
+        for b in _FACTORS[i:]
+    ),
+    "backtest_equity": f"""
+SELECT date, {_r('cash', 2)} AS cash, {_r('worth', 2)} AS position_value, {_r('equity', 2)} AS equity
+FROM portfolio_returns""",
     "pca_scores": f"""
 SELECT date, asset, {_r('(z1 + s * z2) / sqrt(2.0)', 6)} AS "PC1", {_r('(z1 - s * z2) / sqrt(2.0)', 6)} AS "PC2" FROM z""",
     "factor_study": "SELECT * FROM f_headline",

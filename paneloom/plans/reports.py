@@ -13,6 +13,7 @@ from paneloom.operators.calendar import Calendar
 from paneloom.operators.panel import available_factors, factor_matrix
 from paneloom.operators.pca import component_scores, fit_components, select_components
 from paneloom.operators.ranking import rank_cross_section, weighted_rank_combos
+from paneloom.operators.skew import has_hot_group
 from paneloom.session import materialise
 
 
@@ -23,6 +24,7 @@ def factor_report(
     quantiles: int = QUANTILES,
     max_loss: float | None = MAX_LOSS,
     factor_names: Sequence[str] | None = None,
+    hot: bool | None = None,
 ) -> dict[str, DataFrame]:
     """All report tables by name.
 
@@ -32,13 +34,15 @@ def factor_report(
     """
     if factor_names:
         factors = factors.where(F.col("factor_name").isin(*factor_names))
+    if hot is None:
+        hot = has_hot_group(factors, ev.CELL)
     aligned = materialise(
-        ev.align_factor(factors, prices, periods, quantiles, Calendar.of(prices))
+        ev.align_factor(factors, prices, periods, quantiles, Calendar.of(prices), hot)
     )
-    clean = ev.clean_factor(aligned, max_loss, factor_names)
+    clean = ev.clean_factor(aligned, max_loss)
     moments = ev.bucket_moments(clean, periods)
-    returns = ev.factor_returns(clean, periods)
-    ic = ev.ic_daily(clean, periods)
+    returns = ev.factor_returns(clean, periods, hot)
+    ic = ev.ic_daily(clean, periods, hot)
     return {
         "gate": ev.loss_gate(aligned, 1.0 if max_loss is None else max_loss),
         "quantile_stats": ev.quantile_stats(clean),
@@ -52,7 +56,7 @@ def factor_report(
         "ic_summary": ev.ic_summary(ic),
         "ic_monthly": ev.ic_monthly(ic),
         "turnover": ev.bucket_turnover(clean, periods),
-        "rank_autocorrelation": ev.rank_autocorrelation(clean, periods),
+        "rank_autocorrelation": ev.rank_autocorrelation(clean, periods, hot),
     }
 
 
@@ -79,18 +83,17 @@ def combo_report(
     Requested factors without data are skipped; a combination over the loss limit is an error.
     """
     names = available_factors(factors, factor_names)
-    ranks = rank_cross_section(
-        factors.where(F.col("factor_name").isin(*names)),
-        positive_corr,
-        keys=("factor_name", "date"),
-    )
-    combos = weighted_rank_combos(ranks, names, combo_size, weights, positive_corr).select(
+    chosen = factors.where(F.col("factor_name").isin(*names))
+    # a (combination, date) group is never larger than its factors' groups
+    hot = has_hot_group(chosen, ev.CELL)
+    ranks = rank_cross_section(chosen, positive_corr, keys=ev.CELL, hot=hot)
+    combos = weighted_rank_combos(ranks, names, combo_size, weights, positive_corr, hot).select(
         "date",
         "asset",
         F.col("combo").alias("factor_name"),
         F.col("weighted_rank").alias("value"),
     )
-    return _strict(factor_report(combos, prices, **options))
+    return _strict(factor_report(combos, prices, hot=hot, **options))
 
 
 def component_report(

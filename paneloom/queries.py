@@ -19,7 +19,7 @@ from paneloom.operators import pca
 from paneloom.operators import portfolio as pf
 from paneloom.operators import ranking as rk
 from paneloom.operators import universe as un
-from paneloom.plans import reports
+from paneloom.plans import backtest, reports
 from paneloom.session import materialise
 from paneloom.sources import readers as rd
 from paneloom.sources import writers as wr
@@ -239,7 +239,7 @@ def listed_members(spark, sf):
 
 
 def _days(spark, sf):
-    return v.ohlcv_daily(spark, sf).select("date").distinct()
+    return v.sale_dates(spark, sf).distinct()
 
 
 def quarter_of_date(spark, sf):
@@ -353,8 +353,17 @@ def weighted_rank_combos(spark, sf):
 # ------------------------------------------------------------------ evaluation
 
 
+def _months(spark, sf):
+    return cal.Calendar.of(v.sale_dates(spark, sf, "month"))
+
+
 def _aligned(spark, sf):
-    return ev.align_factor(v.monthly_factors(spark, sf), v.ohlcv_monthly(spark, sf), PERIODS)
+    return ev.align_factor(
+        v.monthly_factors(spark, sf),
+        v.ohlcv_monthly(spark, sf),
+        PERIODS,
+        calendar=_months(spark, sf),
+    )
 
 
 def _clean(spark, sf):
@@ -363,7 +372,9 @@ def _clean(spark, sf):
 
 def forward_returns(spark, sf):
     return _rounded(
-        ev.forward_returns_long(v.ohlcv_monthly(spark, sf), PERIODS), 9, "forward_return"
+        ev.forward_returns_long(v.ohlcv_monthly(spark, sf), PERIODS, _months(spark, sf)),
+        9,
+        "forward_return",
     )
 
 
@@ -382,7 +393,7 @@ def loss_gate(spark, sf):
 
 def clean_factor_gated(spark, sf):
     aligned = _aligned(spark, sf)
-    kept = ev.clean_factor(aligned, 0.1225, FACTORS)
+    kept = ev.clean_factor(aligned, 0.1225)
     return kept.groupBy("factor_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -454,6 +465,16 @@ def _matrix(spark, sf, names):
     return pn.factor_matrix(v.monthly_factors(spark, sf), names)
 
 
+def factor_zscores(spark, sf):
+    return _rounded(pca.standardise(_matrix(spark, sf, FACTORS), FACTORS), 6, *FACTORS)
+
+
+def factor_covariance(spark, sf):
+    """Covariances of the standardised factors, that is their correlations."""
+    z = pca.standardise(_matrix(spark, sf, FACTORS), FACTORS)
+    return _rounded(pca.covariance_table(z, FACTORS), 8, "covariance")
+
+
 def pca_scores(spark, sf):
     names = ["revenue", "return_rate"]
     matrix = _matrix(spark, sf, names)
@@ -516,7 +537,7 @@ def _panel(spark, sf):
     merged = pf.merge_prices_and_ranks(
         v.ohlcv_monthly(spark, sf), quarter_schedule_rank(spark, sf)
     )
-    return pf.align_panel(merged, cal.Calendar.of(v.ohlcv_monthly(spark, sf)))
+    return pf.align_panel(merged, _months(spark, sf))
 
 
 def aligned_panel(spark, sf):
@@ -554,8 +575,7 @@ def trade_ledger(spark, sf):
 
 def _equity(spark, sf):
     held = materialise(_held(spark, sf))
-    months = cal.Calendar.of(v.ohlcv_monthly(spark, sf))
-    return pf.equity_curve(months, held, pf.trade_ledger(held))
+    return pf.equity_curve(_months(spark, sf), held, pf.trade_ledger(held))
 
 
 def equity_curve(spark, sf):
@@ -564,6 +584,19 @@ def equity_curve(spark, sf):
     )
 
 
+def backtest_equity(spark, sf):
+    """The whole portfolio pipeline on prices and factors."""
+    tables = backtest.run_backtest(
+        v.ohlcv_monthly(spark, sf),
+        v.monthly_factors(spark, sf),
+        ["revenue", "units"],
+        SCHEDULE_START,
+        SCHEDULE_END,
+        quarterly=OVERRIDES,
+    )
+    return _rounded(tables["equity"], 2, "cash", "position_value", "equity").drop("daily_return")
+
+
 def performance_summary(spark, sf):
     out = pf.performance_summary(_equity(spark, sf), periods_per_year=12)
     return _rounded(out, 6, *[c for c in out.columns if c != "n_days"])
@@ -666,6 +699,8 @@ QUERIES: dict[str, Query] = {
         ic_monthly,
         bucket_turnover,
         rank_autocorr,
+        factor_zscores,
+        factor_covariance,
         pca_scores,
         pca_components,
         factor_study,
@@ -680,6 +715,7 @@ QUERIES: dict[str, Query] = {
         trade_orders,
         trade_ledger,
         equity_curve,
+        backtest_equity,
         performance_summary,
         monthly_returns,
         yearly_returns,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom.operators.panel import wide_to_long
+from paneloom.operators.skew import SMALL_INPUT_BYTES, input_bytes
 
 
 # layouts of the tables read here; naming them spares a schema job per read
@@ -34,7 +35,8 @@ def _asset() -> "F.Column":
 def ohlcv(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
     """First, highest, lowest and last unit price and volume per supplier and day or month.
 
-    First and last are mergeable aggregates, so sales are reduced before the shuffle.
+    First and last are mergeable aggregates. A large table is reduced by them before the shuffle,
+    whatever the size of a group; a small one is exchanged first and aggregated once.
     """
     line = table(spark, sf_dir, "lineitem")
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"]
@@ -45,18 +47,28 @@ def ohlcv(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
         keys = ["l_shipdate", *keys]
     sales = line.select(
         date.alias("date"),
-        _asset(),
+        "l_suppkey",
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("px"),
         F.when(F.col("l_returnflag") == "R", F.lit(0.0)).otherwise(F.col("l_quantity")).alias("vol"),
         F.struct(*keys).alias("at"),
     )
-    return sales.groupBy("date", "asset").agg(
+    if input_bytes(line) <= SMALL_INPUT_BYTES:
+        sales = sales.repartition("date", "l_suppkey")
+    bars = sales.groupBy("date", "l_suppkey").agg(
         F.min_by("px", "at").alias("open"),
         F.max("px").alias("high"),
         F.min("px").alias("low"),
         F.max_by("px", "at").alias("close"),
         F.sum("vol").alias("volume"),
     )
+    return bars.select("date", _asset(), "open", "high", "low", "close", "volume")
+
+
+def sale_dates(spark: SparkSession, sf_dir: str, unit: str = "day") -> DataFrame:
+    """Dates of the panels above, from the date column alone."""
+    line = table(spark, sf_dir, "lineitem")
+    date = F.to_date("l_shipdate") if unit == "day" else F.trunc("l_shipdate", unit)
+    return line.select(date.alias("date"))
 
 
 def ohlcv_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +88,7 @@ def factor_report_wide(spark: SparkSession, sf_dir: str, unit: str = "quarter")
     units = F.sum("l_quantity")
     wide = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.trunc("l_shipdate", unit).alias("report_date"), _asset())
+        .groupBy(F.trunc("l_shipdate", unit).alias("report_date"), "l_suppkey")
         .agg(
             _sales_value().alias("revenue"),
             F.when(units % 7 != 0, units).alias("units"),
@@ -86,7 +98,7 @@ def factor_report_wide(spark: SparkSession, sf_dir: str, unit: str = "quarter")
             ).alias("return_rate"),
         )
     )
-    return wide
+    return wide.select("report_date", _asset(), "revenue", "units", "return_rate")
 
 
 def factor_report(spark: SparkSession, sf_dir: str, unit: str = "quarter") -> DataFrame:
@@ -116,8 +128,9 @@ def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def market_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.trunc("l_shipdate", "month").alias("date"), _asset().alias("stock_id"))
+        .groupBy(F.trunc("l_shipdate", "month").alias("date"), "l_suppkey")
         .agg(_sales_value().alias("market_value"))
+        .select("date", _asset().alias("stock_id"), "market_value")
     )
 
 

@@ -75,7 +75,7 @@ def test_loss_gate(world):
     gate = ev.loss_gate(aligned, 0.1).first()
     assert (gate.n_rows, gate.n_kept, gate.status) == (total, kept, "skipped")
     assert gate.loss == pytest.approx(1 - kept / total)
-    assert ev.clean_factor(aligned, 0.1, ["f"]).isEmpty()
+    assert ev.clean_factor(aligned, 0.1).isEmpty()
     assert ev.clean_factor(aligned, 0.9).count() == kept
 
 
