@@ -225,6 +225,30 @@ SELECT * FROM (SELECT date, asset, max(value) FILTER (factor_name = 'revenue') A
   max(value) FILTER (factor_name = 'units') AS units,
   max(value) FILTER (factor_name = 'return_rate') AS return_rate FROM month_factors GROUP BY 1, 2) w
 WHERE revenue IS NOT NULL AND units IS NOT NULL AND return_rate IS NOT NULL""",
+    # eigenvectors of the 3 x 3 correlation matrix: trigonometric eigenvalues, cross product of rows
+    "corr3": """
+SELECT corr(revenue, units) AS a, corr(revenue, return_rate) AS b, corr(units, return_rate) AS c
+FROM complete_months""",
+    "eigen3": """
+SELECT a, b, c, 1 + 2 * p * cos(phi) AS l1, 1 + 2 * p * cos(phi + 2 * pi() / 3) AS l3
+FROM (SELECT *, acos(greatest(-1, least(1, a * b * c / pow(p, 3)))) / 3 AS phi
+      FROM (SELECT *, sqrt((a * a + b * b + c * c) / 3) AS p FROM corr3) x) y""",
+    "vector3": """
+SELECT k, x * s / len AS x, y * s / len AS y, w * s / len AS w FROM (
+  SELECT *, sqrt(x * x + y * y + w * w) AS len,
+         CASE WHEN abs(x) >= abs(y) AND abs(x) >= abs(w) THEN sign(x)
+              WHEN abs(y) >= abs(w) THEN sign(y) ELSE sign(w) END AS s
+  FROM (SELECT k, a * c - b * (1 - l) AS x, a * b - c * (1 - l) AS y, (1 - l) * (1 - l) - a * a AS w
+        FROM (SELECT 1 AS k, a, b, c, l1 AS l FROM eigen3
+              UNION ALL SELECT 2, a, b, c, 3 - l1 - l3 FROM eigen3) e) v) n""",
+    "pc_scores": """
+SELECT date, asset, k, x * (revenue - avg(revenue) OVER (PARTITION BY k)) / stddev_pop(revenue) OVER (PARTITION BY k)
+  + y * (units - avg(units) OVER (PARTITION BY k)) / stddev_pop(units) OVER (PARTITION BY k)
+  + w * (return_rate - avg(return_rate) OVER (PARTITION BY k)) / stddev_pop(return_rate) OVER (PARTITION BY k) AS value
+FROM complete_months CROSS JOIN vector3""",
+    "pc_values": """
+SELECT date, asset, 'revenue_units_return_rate_PC' || k AS factor_name, value FROM pc_scores""",
+    **_factor_chain("p_", "pc_values"),
     "z": """
 SELECT date, asset, (revenue - avg(revenue) OVER ()) / stddev_pop(revenue) OVER () AS z1,
        (return_rate - avg(return_rate) OVER ()) / stddev_pop(return_rate) OVER () AS z2,
@@ -574,6 +598,8 @@ SELECT date, {_r('cash', 2)} AS cash, {_r('worth', 2)} AS position_value, {_r('e
 FROM portfolio_returns""",
     "pca_scores": f"""
 SELECT date, asset, {_r('(z1 + s * z2) / sqrt(2.0)', 6)} AS "PC1", {_r('(z1 - s * z2) / sqrt(2.0)', 6)} AS "PC2" FROM z""",
+    "pca_components": f"SELECT date, asset, 'PC2' AS factor_name, {_r('value', 6)} AS value FROM pc_scores WHERE k = 2",
+    "component_study": "SELECT * FROM p_headline",
     "factor_study": "SELECT * FROM f_headline",
     "combo_study": "SELECT * FROM c_headline",
     "quarter_schedule_rank": "SELECT * FROM scheduled",

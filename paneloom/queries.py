@@ -488,7 +488,7 @@ def pca_components(spark, sf):
     matrix = _matrix(spark, sf, FACTORS)
     fitted = pca.fit_components(matrix, FACTORS)
     scores = pca.component_scores(matrix, fitted)
-    return pca.select_components(scores, len(fitted.columns), [2, 4])
+    return _rounded(pca.select_components(scores, len(fitted.columns), [2, 4]), 6, "value")
 
 
 HEADLINE = ("ic_mean", "ic_std", "mean_spread", "alpha", "beta")
