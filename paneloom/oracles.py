@@ -128,7 +128,7 @@ LEFT JOIN (SELECT factor_name, period, regr_intercept(factor_return, universe_re
 
 
 _FACTORS = ("revenue", "units", "return_rate")
-_EACH = "(20000000.0 * 0.9 / 40)"
+_EACH = "(20000000.0 * 0.9 / 8)"
 
 RELATIONS: dict[str, str] = {
     "daily": _OHLCV.format(day=_DAY, order=_ORDER),
@@ -295,7 +295,7 @@ SELECT *, row_number() OVER (PARTITION BY date ORDER BY rank DESC, asset DESC) A
 FROM panel WHERE rank IS NOT NULL""",
     "membership": """
 SELECT p.date, p.t, p.asset, p.open, p.close, side,
-       coalesce(CASE WHEN side = 'long' THEN high_place ELSE low_place END <= 20, FALSE) AS held
+       coalesce(CASE WHEN side = 'long' THEN high_place <= 5 ELSE low_place <= 3 END, FALSE) AS held
 FROM panel p CROSS JOIN (VALUES ('long'), ('short')) s(side)
 LEFT JOIN places q ON q.t = p.t AND q.asset = p.asset""",
     "moves": f"""
@@ -435,7 +435,7 @@ FROM company""",
 SELECT stock_id, stock_id || '.TW' AS ticker, stock_id || '.TW' AS ticker_again, stock_id AS root,
        company_name AS index_name, stock_id AS factor, stock_id || '_a_b_c' AS label,
        strftime(list_date, '%Y%m%d') AS list_tag, 2 AS n_items FROM company""",
-    "share_sizes": f"SELECT date, asset, CAST(trunc({_EACH} / close) AS BIGINT) AS shares FROM monthly",
+    "share_sizes": f"SELECT date, asset, CAST(trunc((20000000.0 * 0.9 / 40) / close) AS BIGINT) AS shares FROM monthly",
     "trading_calendar": """
 SELECT date, CAST(row_number() OVER (ORDER BY date) AS INT) AS t, 1 AS is_trading_day FROM days""",
     "calendar_range": "SELECT min(date) AS first_date, max(date) AS last_date FROM daily",
@@ -631,9 +631,9 @@ FROM (
 WINDOW w AS (PARTITION BY asset ORDER BY t),
        b AS (PARTITION BY asset ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
     "long_short_signals": """
-SELECT date, asset, 'long' AS side, CAST(high_place AS INT) AS position, rank FROM places WHERE high_place <= 20
+SELECT date, asset, 'long' AS side, CAST(high_place AS INT) AS position, rank FROM places WHERE high_place <= 5
 UNION ALL
-SELECT date, asset, 'short', CAST(low_place AS INT), rank FROM places WHERE low_place <= 20""",
+SELECT date, asset, 'short', CAST(low_place AS INT), rank FROM places WHERE low_place <= 3""",
     "holdings": "SELECT date, asset, side, size FROM sized WHERE held",
     "trade_orders": """
 SELECT date, asset, side, CASE WHEN enter THEN 'enter' ELSE 'exit' END AS action FROM moves WHERE enter OR leave""",

@@ -28,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FACTORS = ["revenue", "units", "return_rate"]
 PERIODS = (1, 5, 10)
+BUY_N, SELL_N = 5, 3
 SCHEDULE_START, SCHEDULE_END = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
 OVERRIDES = {
     "1996-Q2": [{"name": "return_rate", "weight": 0.25}, {"name": "revenue", "weight": 0.75}],
@@ -552,13 +553,14 @@ def aligned_panel_lookahead(spark, sf):
 
 
 def long_short_signals(spark, sf):
-    return pf.long_short_signals(_panel(spark, sf)).select(
+    return pf.long_short_signals(_panel(spark, sf), BUY_N, SELL_N).select(
         "date", "asset", "side", "position", "rank"
     )
 
 
 def _held(spark, sf):
-    return pf.holdings(pf.long_short_signals(_panel(spark, sf)))
+    signals = pf.long_short_signals(_panel(spark, sf), BUY_N, SELL_N)
+    return pf.holdings(signals, buy_n=BUY_N, sell_n=SELL_N)
 
 
 def holdings(spark, sf):
@@ -593,6 +595,8 @@ def backtest_equity(spark, sf):
         SCHEDULE_START,
         SCHEDULE_END,
         quarterly=OVERRIDES,
+        buy_n=BUY_N,
+        sell_n=SELL_N,
     )
     return _rounded(tables["equity"], 2, "cash", "position_value", "equity").drop("daily_return")
 
