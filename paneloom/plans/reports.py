@@ -30,7 +30,9 @@ def factor_report(
 
     ``factors`` is (date, asset, factor_name, value), ``prices`` (date, asset, close). Factors
     joined with returns are checkpointed once; every table reads that and is keyed by factor.
-    Factors losing more than ``max_loss`` of their rows are reported in ``gate`` and left out.
+    Without ``factor_names`` every factor of the table is evaluated (``FACTOR_CATALOGUE`` names the
+    usual ones). Factors losing more than ``max_loss`` of their rows are reported in ``gate`` and
+    left out.
     """
     if factor_names:
         factors = factors.where(F.col("factor_name").isin(*factor_names))

@@ -77,10 +77,13 @@ def read_factors(
     )
 
 
-def latest_snapshot(spark: SparkSession, root: str, kind: str = "price") -> str | None:
+def latest_snapshot(
+    spark: SparkSession, root: str, kind: str = "price", tag: str | None = None
+) -> str | None:
     """The most recently written ``fact_price*`` or ``fact_factor*`` snapshot below ``root``.
 
-    A snapshot is a file or a directory of part files; only file metadata is read.
+    A snapshot is a file or a directory of part files; only file metadata is read. With ``tag``
+    (such as ``2017-05-16_to_2021-05-15``) only snapshots having it in their name count.
     """
     prefix = "fact_price" if kind == "price" else "fact_factor"
     if not _exists(spark, root):
@@ -96,6 +99,7 @@ def latest_snapshot(spark: SparkSession, root: str, kind: str = "price") -> str
     newest = (
         files.select(snapshot.alias("snapshot"), "modificationTime")
         .where(F.col("snapshot") != "")
+        .where(F.contains(F.element_at(F.split("snapshot", "/"), -1), F.lit(tag or "")))
         .orderBy(F.col("modificationTime").desc(), F.col("snapshot").desc())
         .limit(1)
         .collect()

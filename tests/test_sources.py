@@ -87,6 +87,8 @@ def test_latest_snapshot(spark, tmp_path):
     found = latest_snapshot(spark, root)
     assert found.endswith("d1/fact_price_new.parquet")
     assert latest_snapshot(spark, root, "factor").endswith("fact_factor_x.parquet")
+    assert latest_snapshot(spark, root, tag="old").endswith("d0/fact_price_old.parquet")
+    assert latest_snapshot(spark, root, tag="absent") is None
     assert spark.read.parquet(found).count() == 1
     assert first_available(spark, [None, f"{root}/absent", found]) == found
     assert first_available(spark, [f"{root}/absent"]) is None
@@ -190,3 +192,19 @@ def test_star_schema(spark, sf_dir, tmp_path):
     assert {name: spark.read.parquet(p).count() for name, p in paths.items()} == first
     with pytest.raises(ValueError, match="required"):
         build_star_schema(out=out, **inputs, **{**options, "market_value_dates": []})
+
+
+def test_checkpoints_go_to_the_configured_folder(spark):
+    from paneloom.session import materialise
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    kept = materialise(spark.range(3))
+    assert kept.count() == 3
+    assert spark.sparkContext.getCheckpointDir().removeprefix("file:").startswith(folder)
+    assert os.path.isdir(folder)
+
+
+def test_catalogue_names_are_distinct():
+    from paneloom.functions.defaults import FACTOR_CATALOGUE
+
+    assert len(set(FACTOR_CATALOGUE)) == len(FACTOR_CATALOGUE) == 53
