@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.lookup import lookup_table
+from paneloom.operators.panel import union_all
 from paneloom.operators.skew import cross_section, has_hot_group
 
 # rows of a driver-built lookup table up to which it is broadcast
@@ -64,7 +65,7 @@ def weighted_rank(
         df.select(date, asset, (F.col(rank_column) * F.lit(float(w))).alias("_term"), F.lit(i).alias("_pos"))
         for i, (df, w) in enumerate(zip(ranked, weights))
     ]
-    tall = reduce(DataFrame.unionByName, parts)
+    tall = union_all(parts)
     return _rank_sums(tall, len(parts), [date], asset, positive_corr, hot)
 
 

@@ -78,17 +78,20 @@ def salted_join(
     on: Sequence[str],
     weight: str,
     limit: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``rows`` to a ``lookup`` that is unique on ``on`` and knows, in ``weight``, how
     many rows each key has.
 
     Keys above ``limit`` are spread over ceil(weight / limit) salts and only their lookup row is
-    repeated. The list of such keys has at most rows/limit entries, so it is broadcast.
+    repeated. The list of such keys has at most rows/limit entries, so it is broadcast; it is read
+    from ``sizes`` when that holds the same weights more cheaply than ``lookup``.
     """
     limit = limit or HOT_GROUP_ROWS
     on = list(on)
     salts = F.ceil(F.col(weight) / F.lit(float(limit))).cast("int")
-    hot = lookup.where(F.col(weight) > limit).select(*on, salts.alias("_salts"))
+    sizes = lookup if sizes is None else sizes
+    hot = sizes.where(F.col(weight) > limit).select(*on, salts.alias("_salts"))
     no_key = F.lit(False)
     for k in on:
         no_key = no_key | F.col(k).isNull()
@@ -152,7 +155,8 @@ def _plain(df, keys, descending, group_flag, limit):
 def _split(df, keys, descending, group_flag, limit):
     base = materialise(df)
     band = value_range(F.col("_v"))
-    distinct = (
+    # read three times below: for range totals, for positions and for the list of large keys
+    distinct = materialise(
         base.where(F.col("_v").isNotNull())
         .groupBy(*keys, "_v")
         .agg(F.count(F.lit(1)).alias("_ties"))
@@ -179,7 +183,7 @@ def _split(df, keys, descending, group_flag, limit):
         "_ties",
         "_n",
     )
-    out = salted_join(base, positions, [*keys, "_v"], "_ties", limit)
+    out = salted_join(base, positions, [*keys, "_v"], "_ties", limit, distinct)
     if group_flag is None:
         return out
     flags = positions.groupBy(*keys).agg(
