@@ -136,18 +136,18 @@ named AS (
       ELSE url END AS canonical_url
   FROM parts),
 events AS (
-  SELECT page_id, tag, bytes, canonical_url, 1704067200 + page_id AS at, true AS stored FROM named
+  SELECT page_id, tag, bytes, canonical_url, 1704067200 + page_id AS sec, true AS stored FROM named
   UNION ALL
   SELECT page_id, tag, bytes, canonical_url, 1704107200 + page_id, false FROM named),
 met AS (
-  SELECT *, max(CASE WHEN stored THEN {'at': at, 'id': 'r' || page_id, 'page_id': page_id,
+  SELECT *, max(CASE WHEN stored THEN {'sec': sec, 'id': 'r' || page_id, 'page_id': page_id,
       'tag': tag, 'bytes': bytes} END)
-    OVER (PARTITION BY canonical_url ORDER BY at RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b
+    OVER (PARTITION BY canonical_url ORDER BY sec RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b
   FROM events)
 SELECT page_id, canonical_url,
   CASE WHEN b IS NULL THEN 'no_response' WHEN b.tag = tag THEN 'resolved' ELSE 'mismatch' END AS outcome,
   CASE WHEN b.tag = tag THEN b.page_id END AS response_page_id,
-  CASE WHEN b.tag = tag THEN b.at END AS response_at,
+  CASE WHEN b.tag = tag THEN b.sec END AS response_at,
   CASE WHEN b.tag = tag
     THEN concat('cache-control=max-age=600; content-length=', b.bytes, '; content-type=text/html; etag="', tag, '"')
     ELSE concat('cache-control=max-age=600; content-length=0; etag="', tag, '"; server=x') END AS headers

@@ -198,12 +198,15 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Factoriz
 
     sample = training_rows(docs, labels, limit)
     one = sample.groupBy("own_id", "label").agg(F.min("text").alias("text"))
-    (found,) = (
+    models = (
         one.select("own_id", "label", slots_of("text").alias("slots"))
         .repartition(1)
         .mapInPandas(learn, "bias double, slots binary, rows binary")
         .collect()
     )
+    if not models:
+        return FactorizationMachine.fit([], np.zeros(0))
+    (found,) = models
     return FactorizationMachine(
         found["bias"],
         np.frombuffer(found["slots"], dtype=np.int64),
