@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator, Sequence
+from functools import cached_property
 
 import ahocorasick
 import pandas as pd
@@ -27,22 +28,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHED_CUTS = 1 << 19  # entries a worker keeps; beyond it the cache starts anew
+CACHED_CUTS = 1 << 17  # entries of a generation; a worker keeps the newer and the older one
 CACHED_LENGTH = 48  # longer cuts are encoded each time
 _CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class _Cuts(dict):
-    """Packed ids by cut, filled on demand."""
+    """Packed ids by cut, filled on demand; the entries used last stay in two generations."""
 
     def __init__(self, codec: PieceCodec):
         self.codec = codec
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, cut: str) -> bytes:
-        ids = self.codec.cut_ids(cut)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.older.get(cut)
+        if packed is None:
+            ids = self.codec.cut_ids(cut)
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(cut) <= CACHED_LENGTH:
             if len(self) >= CACHED_CUTS:
+                self.older = dict(self)
                 self.clear()
             self[cut] = packed
         return packed
@@ -80,12 +85,17 @@ class PieceCodec:
                 self.surface.append(piece.replace(MARK, " ").encode())
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.matcher = ahocorasick.Automaton()
+        self.cuts = _Cuts(self)
+
+    @cached_property
+    def matcher(self) -> ahocorasick.Automaton:
+        """Of the pieces that merging can make; built where texts are encoded."""
+        found = ahocorasick.Automaton()
         for piece in self.ids:
             if len(self.merged(piece)) == 1:
-                self.matcher.add_word(piece, len(piece))
-        self.matcher.make_automaton()
-        self.cuts = _Cuts(self)
+                found.add_word(piece, len(piece))
+        found.make_automaton()
+        return found
 
     def merged(self, text: str) -> list[str]:
         """Best-scored pair first, leftmost among equals."""
