@@ -23,12 +23,15 @@ from functools import cached_property
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
 CACHED_CUTS = 1 << 17  # entries of a generation; a worker keeps the newer and the older one
+OUT_ROWS = 256  # in a batch that leaves a task
 CACHED_LENGTH = 48  # longer cuts are encoded each time
 _CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -268,3 +271,26 @@ def decode(ids: Column | str, model: bytes) -> Column:
             )
 
     return text(ids)
+
+
+def transcode(docs: DataFrame, text_col: str, model: bytes) -> DataFrame:
+    """``docs`` with ``ids`` (packed) and ``decoded``, their text, in place of the text column.
+
+    One worker a task does both, in small batches, so memory follows the longest texts only.
+    """
+    kept = docs.drop(text_col, "ids", "decoded")
+    schema = T.StructType([*kept.schema, *T.StructType.fromDDL("ids binary, decoded string")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(model)
+        for whole in batches:
+            for start in range(0, whole.num_rows, OUT_ROWS):
+                batch = whole.slice(start, OUT_ROWS)
+                ids = [own.encode(x.as_py()) for x in batch.column(0)]
+                back = [own.decode(struct.unpack(f"<{len(x) >> 2}I", x)) for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[1:], pa.array(ids, pa.binary()), pa.array(back, pa.string())],
+                    names=schema.names,
+                )
+
+    return docs.select(F.col(text_col).alias("text_in"), *kept.columns).mapInArrow(run, schema)

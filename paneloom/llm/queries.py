@@ -37,14 +37,12 @@ def near_duplicates(spark, sf):
 
 def pieces(spark, sf, model_path: str | None = None):
     model = piece_merge.load_model(model_path or tokenizer_path())
-    docs = _table(spark, sf, "documents").select(
-        "doc_id", piece_merge.encode(text_of(), model).alias("ids")
-    )
-    return docs.select(
+    docs = _table(spark, sf, "documents").select("doc_id", text_of().alias("text"))
+    return piece_merge.transcode(docs, "text", model).select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(piece_merge.decode("ids", model).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -68,6 +68,9 @@ def test_pieces_columns(spark, model):
     assert [r["back"] for r in rows] == ["", "", "a b", "a b", "x" * 30_000]
     empty = docs.where("false").select(piece_merge.encode("text", model).alias("ids"))
     assert empty.count() == 0
+    both = piece_merge.transcode(docs, "text", model)
+    assert both.columns == ["doc_id", "lang", "source", "n_chars", "id", "block", "ids", "decoded"]
+    assert [(r["ids"], r["decoded"]) for r in both.collect()] == [(r["ids"], r["back"]) for r in rows]
 
 
 def test_pieces_query(spark, sf_dir, model):
