@@ -60,21 +60,20 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each whole text, and whether they decode to it again (with the library's
     treatment of the space mark)."""
     model = piece_merge.load_model(tokenizer_path())
-    coded = docs.select(
+    texts = docs.select(
         "doc_id",
         "lang",
         "source",
-        text_of().alias("plain"),
-        piece_merge.encode(text_of(), model).alias("ids"),
+        F.md5(F.replace(text_of(), F.lit("▁"), F.lit(" "))).alias("spaced"),
+        text_of().alias("text"),
     )
-    back = piece_merge.decode("ids", model)
-    return coded.select(
+    return piece_merge.transcode(texts, "text", model).select(
         "doc_id",
         "lang",
         "source",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        (back == F.replace("plain", F.lit("▁"), F.lit(" "))).alias("round_trip"),
+        (F.md5("decoded") == F.col("spaced")).alias("round_trip"),
         "ids",
     )
 
