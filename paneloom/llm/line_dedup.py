@@ -163,17 +163,24 @@ def _bitmap(ids: DataFrame) -> DataFrame:
 
 
 def _marked(df: DataFrame, id_col: str, bitmap: DataFrame) -> DataFrame:
-    """Rows whose id may be in the bitmap."""
+    """``df`` with ``in_bitmap``: whether the row's id may be among those of the bitmap."""
     at = F.pmod(id_col, F.lit(_BITS))
     place = F.call_function("bitmap_bit_position", at)
     byte = F.conv(
-        F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10
+        F.hex(F.substring("bitmap_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10
     ).cast("int")
     bit = F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1))
+    own = bitmap.select(
+        F.col("bucket").alias("bitmap_bucket"), F.col("bits").alias("bitmap_bits")
+    )
     return (
-        df.join(F.broadcast(bitmap), F.call_function("bitmap_bucket_number", at) == F.col("bucket"))
-        .where(bit == 1)
-        .drop("bucket", "bits")
+        df.join(
+            F.broadcast(own),
+            F.call_function("bitmap_bucket_number", at) == F.col("bitmap_bucket"),
+            "left",
+        )
+        .withColumn("in_bitmap", F.coalesce(bit == 1, F.lit(False)))
+        .drop("bitmap_bucket", "bitmap_bits")
     )
 
 
@@ -215,6 +222,7 @@ def near_lines(
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     texts = materialise(
         _marked(lines.select("line_key", "id", "line"), "id", _bitmap(ids))
+        .where("in_bitmap")
         .join(ids.distinct(), "id", "left_semi")
         .groupBy("line_key", "id")
         .agg(F.min("line").alias("line"))
@@ -285,18 +293,30 @@ def deduplicate(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with its columns and ``dropped``, the numbers of the lines that go."""
+    """``docs`` with its columns and ``dropped``, the numbers of the lines that go.
+
+    Only texts that may lose lines move; the same kind of bitmap tells the others.
+    """
     found = materialise(repeated_lines(docs, threshold, min_chars, id_col, text_col)).select(
         F.col("doc").alias("dropped_doc"), F.col("doc_hash").alias("dropped_hash"), "dropped"
     )
-    own = docs.drop("dropped").join(
+    plain = docs.drop("dropped", "own_hash", "in_bitmap")
+    marked = _marked(
+        plain.withColumn("own_hash", F.xxhash64(text_of(text_col))),
+        "own_hash",
+        _bitmap(found.select(F.col("dropped_hash").alias("id"))),
+    )
+    nothing = F.array().cast("array<int>")
+    losing = marked.where("in_bitmap").join(
         found,
         F.col(id_col).cast("long").eqNullSafe(F.col("dropped_doc"))
-        & (F.xxhash64(text_of(text_col)) == F.col("dropped_hash")),
+        & (F.col("own_hash") == F.col("dropped_hash")),
         "left",
     )
-    return own.drop("dropped_doc", "dropped_hash").withColumn(
-        "dropped", F.coalesce("dropped", F.array().cast("array<int>"))
+    return (
+        losing.withColumn("dropped", F.coalesce("dropped", nothing))
+        .select(*plain.columns, "dropped")
+        .union(marked.where("not in_bitmap").select(*plain.columns, nothing.alias("dropped")))
     )
 
 

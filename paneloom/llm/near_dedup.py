@@ -11,9 +11,11 @@ links need a weighted Jaccard similarity of 0.8, computed from the whole texts.
 Scale: document frequencies are exact for frequent shingles alone, of which there are at most
 2 * mean length / RARE. A shingle in RARE of all documents has at least half of that share in partitions
 that show it as frequent, so partition sums find them all, and a second count is exact. Equal
-texts are one node. In a bucket, texts are first compared with a leader, then with a second, and
-what is still apart is compared pair by pair where the distances to the leaders (a metric) allow a
-link; texts already connected aren't compared. Pairs travel in chunks of at most ``CHUNK`` texts, so a
+texts are one node. In a bucket, texts are compared with a leader, then with another; texts already
+connected aren't. So pairs grow with the rows, not with the squares of groups. Texts whose bucket still
+holds several components are sampled again into ``LONG_BANDS`` bands of
+``LONG_ROWS``, of which a linked pair shares one with probability 0.99,
+and compared there with ``LONG_LEADERS`` leaders: all with all in buckets of that size. Pairs travel in chunks of at most ``CHUNK`` texts, so a
 leader of a third of all rows is no hot group.
 
 Definitions: equal texts are one class, empty and null ones included; texts without words have no other
@@ -40,6 +42,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
 RARE = 0.01
 IDF_GAIN = 0.25
+LONG_BANDS, LONG_ROWS, LONG_LEADERS = 25, 8, 24  # for texts in crowded buckets
+USUAL = np.log(np.array([1 + IDF_GAIN])).astype(np.float32)[0]
 CHUNK = 256
 CHUNK_SHINGLES = 1 << 21  # counted at once
 _TABLE_BITS = 18
@@ -117,6 +121,9 @@ class Sampler:
         self.r = random.gamma(2, 1, size).astype(np.float32)
         self.log_c = np.log(random.gamma(2, 1, size)).astype(np.float32)
         self.beta = random.random(size, dtype=np.float32)
+        # value and t of the usual weight, that of a rare shingle that occurs once
+        level = np.floor(USUAL / self.r + self.beta)
+        self.usual = self.log_c - self.r * (level - self.beta + 1)
         self.factor = random.integers(1, 2**63, (bands * rows, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def samples(self, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,19 +132,26 @@ class Sampler:
         chosen = np.zeros(len(self.factor), np.uint64)
         level = np.zeros(len(self.factor), np.float32)
         logs = np.log(weights).astype(np.float32)
+        usual = logs == USUAL
         lanes = np.arange(len(self.factor))
-        for start in range(0, len(hashes), 4096):  # bounded memory for very long texts
-            own, log_w = hashes[start : start + 4096], logs[start : start + 4096]
-            at = ((own * self.factor) >> np.uint64(64 - _TABLE_BITS)).astype(np.int32)
-            r, beta = self.r[at], self.beta[at]
-            t = np.floor(log_w / r + beta)
-            value = self.log_c[at] - r * (t - beta + 1)
-            j = value.argmin(axis=1)
-            least = value[lanes, j]
-            better = least < best
-            best[better] = least[better]
-            chosen[better] = own[j][better]
-            level[better] = t[lanes, j][better]
+        for own, log_w in ((hashes[usual], None), (hashes[~usual], logs[~usual])):
+            for start in range(0, len(own), 2048):  # bounded memory for very long texts
+                part = own[start : start + 2048]
+                at = ((part * self.factor) >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
+                if log_w is None:
+                    value = self.usual[at]
+                else:
+                    r, beta = self.r[at], self.beta[at]
+                    t = np.floor(log_w[start : start + 2048] / r + beta)
+                    value = self.log_c[at] - r * (t - beta + 1)
+                j = value.argmin(axis=1)
+                least = value[lanes, j]
+                better = least < best
+                spot = at[lanes, j][better]
+                best[better] = least[better]
+                chosen[better] = part[j][better]
+                log_best = USUAL if log_w is None else log_w[start : start + 2048][j][better]
+                level[better] = np.floor(log_best / self.r[spot] + self.beta[spot])
         return chosen, level.astype(np.int64)
 
     def band_keys(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -239,9 +253,9 @@ def _longs(df: DataFrame, name: str) -> np.ndarray:
     return df.select(name).toPandas()[name].to_numpy(np.int64)
 
 
-def _signatures(shared) -> Callable:
+def _signatures(shared, *sampling) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, sampler = shared.value, Sampler()
+        weights, sampler = shared.value, Sampler(*sampling)
         for batch in batches:
             keys = []
             for text in batch.column(1):
@@ -334,38 +348,74 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .groupBy("node")
         .agg(F.min("text").alias("text"))
     )
-    links = None
-    distances = None
-    state = members.select("node").distinct().withColumn("component", F.col("node"))
-    for turn in range(2):
+    links, state = _led(members, needed, texts, shared, None, turns=2, leaders=1)
+    # texts that share a bucket with another component are sampled again into longer bands, in which
+    # texts of a middling likeness seldom meet
+    crowded = _divided(members, state).join(members, ["band", "key"]).select("node").distinct()
+    longer = materialise(
+        texts.join(crowded, "node")
+        .select("node", "text")
+        .mapInArrow(
+            _signatures(shared, LONG_BANDS, LONG_ROWS, 23), "node binary, bands array<long>"
+        )
+        .select("node", F.posexplode("bands").alias("band", "key"))
+    )
+    links, _ = _led(longer, needed, texts, shared, links, turns=1, leaders=LONG_LEADERS)
+    return components(links)
+
+
+def _divided(members: DataFrame, state: DataFrame) -> DataFrame:
+    """Buckets (band, key) that hold more than one component."""
+    return (
+        members.join(state, "node")
+        .groupBy("band", "key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+        .select("band", "key")
+    )
+
+
+def _led(
+    members: DataFrame,
+    nodes: DataFrame,
+    texts: DataFrame,
+    shared,
+    links: DataFrame | None,
+    turns: int,
+    leaders: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Links found by comparing each bucket's texts with its leaders, as far as they are in other
+    components, with other leaders each turn; and the components."""
+    state = _labelled(nodes, links)
+    for turn in range(turns):
         placed = members.join(state, "node")
-        leaders = (
-            placed.groupBy("band", "key")
-            .agg(
-                F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("at"), "node", "component")).alias("lead"),
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
-            )
-            .where("low < high")
-            .select("band", "key", F.col("lead.node").alias("a"), F.col("lead.component").alias("own"))
+        mixed = placed.join(_divided(members, state), ["band", "key"])
+        order = Window.partitionBy("band", "key").orderBy(F.xxhash64(F.lit(turn), "node"), "node")
+        heads = (
+            mixed.withColumn("place", F.row_number().over(order))
+            .where(F.col("place") <= leaders)
+            .select("band", "key", F.col("node").alias("a"), F.col("component").alias("own"))
         )
         led = (
-            placed.join(leaders, ["band", "key"])
+            mixed.join(heads, ["band", "key"])
+            .where("component <> own")
+            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+            .distinct()
+            if leaders > 1
+            else mixed.join(heads, ["band", "key"])
             .where("component <> own")
             .select("a", F.col("node").alias("b"))
             .distinct()
         )
-        found = _compared(led, texts, shared)
-        distances = found if distances is None else distances.union(found)
-        near = found.where(F.col("likeness") >= SIMILARITY).select("a", "b")
+        near = _compared(led, texts, shared).where(F.col("likeness") >= SIMILARITY).select("a", "b")
         links = near if links is None else materialise(links.union(near))
-        state = _labelled(needed, links)
-    rest = _still_apart(members, state, distances)
-    last = _compared(rest, texts, shared).where(F.col("likeness") >= SIMILARITY).select("a", "b")
-    return components(links.union(last))
+        state = _labelled(nodes, links)
+    return links, state
 
 
-def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(nodes: DataFrame, links: DataFrame | None) -> DataFrame:
+    if links is None:
+        return materialise(nodes.select("node", F.col("node").alias("component")))
     return materialise(
         nodes.join(components(links), "node", "left").select(
             "node", F.coalesce("component", "node").alias("component")
@@ -373,70 +423,6 @@ def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _still_apart(members: DataFrame, state: DataFrame, distances: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components that could be linked.
-
-    Weighted Jaccard distance is a metric: if two texts' distances to a common leader differ by more
-    than 1 - SIMILARITY, they aren't linked. Pairs already compared are left out.
-    """
-    reach = 1 - SIMILARITY
-    placed = members.join(state, "node")
-    open_buckets = (
-        placed.groupBy("band", "key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("band", "key")
-    )
-    # of each member of an open bucket its distance to the bucket's leader, where it was measured
-    lead = members.groupBy("band", "key").agg(
-        F.min(F.struct(F.xxhash64(F.lit(0), "node").alias("at"), "node"))["node"].alias("lead")
-    )
-    rows = (
-        placed.join(open_buckets, ["band", "key"])
-        .join(lead, ["band", "key"])
-        .join(
-            distances.groupBy(F.col("a").alias("lead"), F.col("b").alias("node")).agg(
-                (1 - F.min("likeness")).alias("distance")
-            ),
-            ["lead", "node"],
-            "left",
-        )
-        .withColumn("distance", F.when(F.col("node") == F.col("lead"), 0.0).otherwise(F.col("distance")))
-        # cells of width ``reach``: linked texts are in the same or in adjacent cells
-        .withColumn("cell", F.floor(F.col("distance") / reach).cast("int"))
-    )
-    keyed = rows.withColumn("cells", F.coalesce("cell", F.lit(-1)))
-    left = keyed.select(
-        "band",
-        "key",
-        F.explode(
-            F.when(F.col("cell").isNull(), F.array([F.lit(c) for c in range(-1, 7)])).otherwise(
-                F.array(F.col("cell") - 1, "cell", F.col("cell") + 1, F.lit(-1))
-            )
-        ).alias("cells"),
-        F.col("node").alias("a"),
-        F.col("component").alias("a_component"),
-        F.col("distance").alias("a_distance"),
-    ).distinct()
-    right = keyed.select(
-        "band",
-        "key",
-        "cells",
-        F.col("node").alias("b"),
-        F.col("component").alias("b_component"),
-        F.col("distance").alias("b_distance"),
-    )
-    pairs = (
-        left.join(right, ["band", "key", "cells"])
-        .where("a < b and a_component <> b_component")
-        .where(F.coalesce(F.abs(F.col("a_distance") - F.col("b_distance")) <= reach + 1e-9, F.lit(True)))
-        .select("a", "b")
-        .distinct()
-    )
-    done = distances.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return materialise(pairs.join(done, ["a", "b"], "left_anti"))
-
-
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, class_size (rows)."""
     found = near_classes(docs, id_col, text_col)
