@@ -52,7 +52,7 @@ def strip_caret(index_id: Column | str) -> Column:
 def strip_type_prefix(name: Column | str, data_type: str = "fundamental_features") -> Column:
     name, prefix = _col(name), f"{data_type}:"
     return F.when(
-        F.startswith(name, F.lit(prefix)), F.substring(name, len(prefix) + 1, 1 << 20)
+        F.startswith(name, F.lit(prefix)), F.substring(name, F.lit(len(prefix) + 1), F.length(name))
     ).otherwise(name)
 
 
@@ -84,3 +84,8 @@ def whole_shares(cash: Column | float, price: Column | str) -> Column:
 def round_to(c: Column | str, digits: int) -> Column:
     """Rounded value without negative zero, for stable report output."""
     return F.round(_col(c), digits) + F.lit(0.0)
+
+
+def no_nan(name: str) -> Column:
+    """The column with NaN as NULL."""
+    return F.when(~F.isnan(name), F.col(name))

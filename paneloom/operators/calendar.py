@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paneloom.functions.scalars import parse_date
+from paneloom.functions.scalars import no_nan, parse_date
 from paneloom.lookup import lookup_table
 from paneloom.schemas import FACT_FACTOR_DDL
 
@@ -125,7 +125,11 @@ def carry_forward(
     beyond = F.lit(len(calendar.dates) + 1)
     late = F.col("_day") > F.lit(calendar.dates[-1])
     placed = (
-        df.select(*series, F.col(date).alias("_day"), *columns)
+        df.select(
+            *series,
+            F.col(date).alias("_day"),
+            *(no_nan(c).alias(c) if df.schema[c].dataType.typeName() in ("double", "float") else c for c in columns),
+        )
         .join(F.broadcast(calendar.first_open(spark).withColumnRenamed("day", "_day")), "_day", "left")
         .withColumn("_from", F.coalesce("first", F.when(late, beyond), F.lit(1)))
     )
@@ -198,9 +202,9 @@ def factor_daily(
 ) -> DataFrame:
     """Daily factor fact (date, stock_id, factor_name, value) of the listed stocks.
 
-    A factor that covers none of the listed stocks keeps all of its own.
+    A factor that covers none of the listed stocks keeps all of its own; no stocks at all give no rows.
     """
-    if not factor_names:
+    if not factor_names or stocks.isEmpty():
         return lookup_table(reports.sparkSession, [], FACT_FACTOR_DDL)
     chosen = reports.where(F.col("factor_name").isin(*factor_names))
     listed = stocks.select(F.col("stock_id").alias("asset")).distinct().withColumn("_in", F.lit(1))

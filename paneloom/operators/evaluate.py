@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneloom.functions.defaults import MAX_LOSS, PERIODS, QUANTILES
+from paneloom.functions.scalars import no_nan
 from paneloom.lookup import lookup_table
 from paneloom.operators.calendar import Calendar
 from paneloom.operators.ranking import BROADCAST_LOOKUP_ROWS, rank_cross_section
@@ -44,7 +45,7 @@ def forward_returns(
     NULL rather than a later price. A RANGE frame on the calendar position finds the exact day:
     all periods share one exchange and sort, and there is no self join.
     """
-    spot = prices.select("date", "asset", "close").where(F.col("close").isNotNull())
+    spot = prices.select("date", "asset", no_nan("close").alias("close")).where("close is not null")
     calendar = calendar or Calendar.of(prices)
     placed = spot.join(F.broadcast(calendar.table(prices.sparkSession)), "date")
     by_day = Window.partitionBy("asset").orderBy("t")
@@ -112,7 +113,7 @@ def align_factor(
 
     ``complete`` marks rows whose forward returns all exist; buckets are formed among those only.
     """
-    known = factors.select("factor_name", "date", "asset", "value").where(
+    known = factors.select("factor_name", "date", "asset", no_nan("value").alias("value")).where(
         F.col("value").isNotNull()
     )
     if hot is None:

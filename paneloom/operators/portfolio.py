@@ -22,7 +22,7 @@ from paneloom.functions.defaults import (
     SELL_N,
 )
 from paneloom.functions.quarters import disclosure_quarter, quarters_in_range
-from paneloom.functions.scalars import whole_shares
+from paneloom.functions.scalars import no_nan, whole_shares
 from paneloom.lookup import lookup_table
 from paneloom.operators.calendar import Calendar, carry_forward
 from paneloom.operators.panel import forward_fill
@@ -71,6 +71,7 @@ def fill_and_rank(
     factors: DataFrame, positive_corr: bool = True, hot: bool | None = None
 ) -> DataFrame:
     """Carry each asset's factor forward, drop what is still missing, rank per factor and date."""
+    factors = factors.withColumn("value", no_nan("value"))
     if hot is None:
         hot = has_hot_group(factors, ["factor_name", "date"])
     filled = forward_fill(factors, ["value"], ["factor_name", "asset"]).where(
@@ -137,14 +138,16 @@ def merge_prices_and_ranks(prices: DataFrame, ranks: DataFrame) -> DataFrame:
     still without open or close are dropped; a missing rank stays NULL (no signal). Both inputs
     are unique on (date, asset), so a series has at most two rows per day.
     """
-    stacked = prices.select("date", "asset", *OHLCV).unionByName(
+    stacked = prices.select("date", "asset", F.struct(*OHLCV).alias("bar")).unionByName(
         ranks.select("date", "asset", "rank"), allowMissingColumns=True
     )
     columns = [*OHLCV, "rank"]
+    # a whole bar, never columns of several
     merged = (
         stacked.repartition("asset")
         .groupBy("asset", "date")
-        .agg(*[F.max(c).alias(c) for c in columns])
+        .agg(F.max("bar").alias("bar"), F.max("rank").alias("rank"))
+        .select("asset", "date", "bar.*", "rank")
     )
     filled = forward_fill(merged, columns)
     return filled.na.drop(subset=["open", "close"]).select("date", "asset", *columns)

@@ -19,6 +19,8 @@ calendar day.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,33 +81,42 @@ def salted_join(
     weight: str,
     limit: int | None = None,
     sizes: DataFrame | None = None,
+    unmatched: Column | None = None,
 ) -> DataFrame:
     """Left join ``rows`` to a ``lookup`` that is unique on ``on`` and knows, in ``weight``, how
     many rows each key has.
 
     Keys above ``limit`` are spread over ceil(weight / limit) salts and only their lookup row is
     repeated. The list of such keys has at most rows/limit entries, so it is broadcast; it is read
-    from ``sizes`` when that holds the same weights more cheaply than ``lookup``.
+    from ``sizes`` when that holds the same weights more cheaply than ``lookup``. NULL keys are keys
+    like others; rows that are ``unmatched`` have no lookup row and are spread freely.
     """
     limit = limit or HOT_GROUP_ROWS
     on = list(on)
     salts = F.ceil(F.col(weight) / F.lit(float(limit))).cast("int")
     sizes = lookup if sizes is None else sizes
     hot = sizes.where(F.col(weight) > limit).select(*on, salts.alias("_salts"))
-    no_key = F.lit(False)
-    for k in on:
-        no_key = no_key | F.col(k).isNull()
-    spread = F.when(no_key, F.lit(1024)).otherwise(F.coalesce(F.col("_salts"), F.lit(1)))
+    alone = F.lit(1) if unmatched is None else F.when(unmatched, F.lit(1024)).otherwise(F.lit(1))
+    spread = F.coalesce(F.col("_salts"), alone)
     salted = (
-        rows.withColumn("_h", F.xxhash64(*rows.columns))
-        .join(F.broadcast(hot), on, "left")
+        _null_safe(rows.withColumn("_h", F.xxhash64(*rows.columns)), hot, on, True)
         .withColumn("_salt", F.pmod(F.col("_h"), spread).cast("int"))
         .drop("_h", "_salts")
     )
     repeated = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1))
     )
-    return salted.join(repeated, [*on, "_salt"], "left").drop("_salt")
+    return _null_safe(salted, repeated, [*on, "_salt"]).drop("_salt")
+
+
+def _null_safe(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], small: bool = False
+) -> DataFrame:
+    """Left join in which a NULL key meets a NULL key, as in grouping."""
+    names = {c: f"_of_{c}" for c in on}
+    other = lookup.withColumnsRenamed(names)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    return rows.join(F.broadcast(other) if small else other, same, "left").drop(*names.values())
 
 
 def cross_section(
@@ -176,14 +187,14 @@ def _split(df, keys, descending, group_flag, limit):
     inside = Window.partitionBy(*keys, "_band").orderBy(order).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    positions = distinct.join(bands, [*keys, "_band"]).select(
+    positions = _null_safe(distinct, bands, [*keys, "_band"]).select(
         *keys,
         "_v",
         (F.col("_below") + F.coalesce(F.sum("_ties").over(inside), F.lit(0))).alias("_before"),
         "_ties",
         "_n",
     )
-    out = salted_join(base, positions, [*keys, "_v"], "_ties", limit, distinct)
+    out = salted_join(base, positions, [*keys, "_v"], "_ties", limit, distinct, F.col("_v").isNull())
     if group_flag is None:
         return out
     flags = positions.groupBy(*keys).agg(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.functions.defaults import LISTED_MARKET
-from paneloom.functions.scalars import iso_date
+from paneloom.functions.scalars import iso_date, no_nan
 from paneloom.operators.calendar import as_of_dates
 from paneloom.operators.skew import first_k
 from paneloom.schemas import DIM_UNIVERSE_COLUMNS
@@ -47,7 +47,7 @@ def build_universe(
     eligible = companies.where(not_in("industry", excluded_industries) & listed_before(listed_until))
     # one row per requested date
     wanted = as_of_dates(market_value, market_value_dates)
-    valued = market_value.join(
+    valued = market_value.withColumn("market_value", no_nan("market_value")).join(
         F.broadcast(wanted.withColumnRenamed("as_of", "date")), "date"
     ).withColumnRenamed("date", "market_value_date")
     joined = valued.join(eligible, "stock_id")

@@ -295,7 +295,7 @@ SELECT *, row_number() OVER (PARTITION BY date ORDER BY rank DESC, asset DESC) A
 FROM panel WHERE rank IS NOT NULL""",
     "membership": """
 SELECT p.date, p.t, p.asset, p.open, p.close, side,
-       coalesce(CASE WHEN side = 'long' THEN high_place <= 5 ELSE low_place <= 3 END, FALSE) AS held
+       coalesce(CASE WHEN side = 'long' THEN high_place <= 20 ELSE low_place <= 20 END, FALSE) AS held
 FROM panel p CROSS JOIN (VALUES ('long'), ('short')) s(side)
 LEFT JOIN places q ON q.t = p.t AND q.asset = p.asset""",
     "moves": f"""
@@ -631,9 +631,9 @@ FROM (
 WINDOW w AS (PARTITION BY asset ORDER BY t),
        b AS (PARTITION BY asset ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
     "long_short_signals": """
-SELECT date, asset, 'long' AS side, CAST(high_place AS INT) AS position, rank FROM places WHERE high_place <= 5
+SELECT date, asset, 'long' AS side, CAST(high_place AS INT) AS position, rank FROM places WHERE high_place <= 20
 UNION ALL
-SELECT date, asset, 'short', CAST(low_place AS INT), rank FROM places WHERE low_place <= 3""",
+SELECT date, asset, 'short', CAST(low_place AS INT), rank FROM places WHERE low_place <= 20""",
     "holdings": "SELECT date, asset, side, size FROM sized WHERE held",
     "trade_orders": """
 SELECT date, asset, side, CASE WHEN enter THEN 'enter' ELSE 'exit' END AS action FROM moves WHERE enter OR leave""",

@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FACTORS = ["revenue", "units", "return_rate"]
 PERIODS = (1, 5, 10)
-BUY_N, SELL_N = 5, 3
+BUY_N, SELL_N = 20, 20
 SCHEDULE_START, SCHEDULE_END = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
 OVERRIDES = {
     "1996-Q2": [{"name": "return_rate", "weight": 0.25}, {"name": "revenue", "weight": 0.75}],

@@ -148,7 +148,7 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     tall = raw.select(F.inline(lists)).select("factor_type", F.posexplode("names"))
     prefix = F.concat("factor_type", F.lit(":"))
     bare = F.when(
-        F.startswith("col", prefix), F.col("col").substr(F.length(prefix) + 1, F.lit(1 << 20))
+        F.startswith("col", prefix), F.col("col").substr(F.length(prefix) + 1, F.length("col"))
     ).otherwise(F.col("col"))
     return tall.select("factor_type", (F.col("pos") + 1).alias("position"), bare.alias("factor_name"))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,6 +109,8 @@ def upsert_table(batch: DataFrame, path: str, keys: Sequence[str] = ("date", "st
     failed run can be repeated with the same result. The table is created when absent.
     """
     spark = batch.sparkSession
+    if not batch.where(reduce(or_, [F.col(k).isNull() for k in keys])).isEmpty():
+        raise ValueError(f"rows without a key ({', '.join(keys)}) can't be merged")
     batch = first_per_key(batch, keys).withColumn(UPSERT_PARTITION, F.year("date"))
     if not _exists(spark, path):
         write_zone(batch, path, [UPSERT_PARTITION])

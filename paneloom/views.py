@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom.operators.panel import wide_to_long
-from paneloom.operators.skew import SMALL_INPUT_BYTES, input_bytes
 
 
 # layouts of the tables read here; naming them spares a schema job per read
@@ -35,8 +34,8 @@ def _asset() -> "F.Column":
 def ohlcv(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
     """First, highest, lowest and last unit price and volume per supplier and day or month.
 
-    First and last are mergeable aggregates. A large table is reduced by them before the shuffle,
-    whatever the size of a group; a small one is exchanged first and aggregated once.
+    First and last are mergeable aggregates, so the sales are reduced before the shuffle, whatever
+    the size of a group.
     """
     line = table(spark, sf_dir, "lineitem")
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"]
@@ -52,8 +51,6 @@ def ohlcv(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", F.lit(0.0)).otherwise(F.col("l_quantity")).alias("vol"),
         F.struct(*keys).alias("at"),
     )
-    if input_bytes(line) <= SMALL_INPUT_BYTES:
-        sales = sales.repartition("date", "l_suppkey")
     bars = sales.groupBy("date", "l_suppkey").agg(
         F.min_by("px", "at").alias("open"),
         F.max("px").alias("high"),
