@@ -4,7 +4,8 @@ Lines (ends trimmed) that are equal, or of at least ``MIN_CHARS`` code points an
 ``threshold`` edits, are linked; of each linked class the first line stays, by doc_id (null last),
 then position. A line is cut into threshold + 1 segments, one of which survives so few edits:
 segment hashes with the line's length form the index, and each line probes it with the substrings that
-segments of its own and slightly shorter lengths can have moved to. Candidates are verified by an edit
+segments of its own and slightly shorter lengths can have moved to. An edit changes the counts of frequent letters by two at
+most, so pairs whose counts are further apart never leave the join. Candidates are verified by an edit
 distance kept in the bits of one long, a band of 2 * threshold + 1 diagonals.
 
 Lines are made distinct before the join by a mergeable aggregate, so a line in a third of all
@@ -28,6 +29,7 @@ from paneloom.session import materialise
 THRESHOLD = 2
 MIN_CHARS = 48  # shorter lines are compared for equality only
 _BITS = 1 << 24
+_LETTERS = "etaonihr"  # counted modulo 16, four bits each
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -76,6 +78,28 @@ def probes(line: Column, length: Column, threshold: int) -> list[tuple[bool, Col
     return look
 
 
+def shape(line: Column, length: Column) -> Column:
+    """One long: the line's length above the counts of ``_LETTERS`` modulo 16."""
+    packed = F.shiftleft(length.cast("long"), 32)
+    for i, letter in enumerate(_LETTERS):
+        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        packed = packed.bitwiseOR(F.shiftleft((count % 16).cast("long"), 4 * i))
+    return packed
+
+
+def may_be_near(a: Column, b: Column, threshold: int) -> Column:
+    """Whether letter counts of two shapes are as close as those of lines within ``threshold`` edits.
+
+    Counts modulo 16 are at least as close as the counts, so no such pair is left out.
+    """
+
+    def apart(i: int) -> Column:
+        gap = (F.shiftright(a, 4 * i) - F.shiftright(b, 4 * i)).bitwiseAND(F.lit(15))
+        return F.least(gap, F.lit(16) - gap)
+
+    return reduce(lambda x, y: x + y, map(apart, range(len(_LETTERS)))) <= 2 * threshold
+
+
 def _let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -201,21 +225,28 @@ def near_lines(
     names = [f"h{n}" for n in range(len(look))]
     own = [n for n, (is_own, _) in zip(names, look) if is_own]
     distinct = (
-        lines.select("line_key", "id", "length", *[c.alias(n) for n, (_, c) in zip(names, look)])
+        lines.select(
+            "line_key",
+            "id",
+            shape(F.col("line"), F.col("length")).alias("shape"),
+            *[c.alias(n) for n, (_, c) in zip(names, look)],
+        )
         .groupBy("line_key")
-        .agg(*[F.min(c).alias(c) for c in ["id", "length", *names]])
+        .agg(*[F.min(c).alias(c) for c in ["id", "shape", *names]])
     )
     index = distinct.select(
         F.explode(F.array(*own)).alias("hash"),
         F.col("id").alias("b"),
-        F.col("length").alias("b_length"),
+        F.col("shape").alias("b_shape"),
     )
     probing = distinct.select(
-        F.explode(F.array_distinct(F.array(*names))).alias("hash"), F.col("id").alias("a"), "length"
+        F.explode(F.array_distinct(F.array(*names))).alias("hash"), F.col("id").alias("a"), "shape"
     ).where("hash is not null")
+    length, b_length = F.shiftright("shape", 32), F.shiftright("b_shape", 32)
     pairs = materialise(
         probing.join(index, "hash")
-        .where("length > b_length or (length = b_length and a < b)")
+        .where((length > b_length) | ((length == b_length) & (F.col("a") < F.col("b"))))
+        .where(may_be_near(F.col("shape"), F.col("b_shape"), threshold))
         .select("a", "b")
         .distinct()
     )
@@ -263,8 +294,7 @@ def repeated_lines(
     lines = _lines(docs, id_col, text_col).select("doc", "doc_hash", "line_no", "line_key")
     place = F.struct(F.col("doc").isNull().alias("last"), "doc", "doc_hash", "line_no")
     placed = (
-        lines.distinct()
-        .join(classes, "line_key", "left")
+        lines.join(classes, "line_key", "left")
         .select(
             "doc",
             "doc_hash",
@@ -274,15 +304,15 @@ def repeated_lines(
     )
     first = (
         placed.groupBy("class")
-        .agg(F.min(place).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .drop("n")
+        .agg(F.min(place).alias("first"), F.max(place).alias("final"))
+        .where("first <> final")
+        .drop("final")
     )
     return (
         placed.join(first, "class")
         .where(place != F.col("first"))
         .groupBy("doc", "doc_hash")
-        .agg(F.sort_array(F.collect_list("line_no")).alias("dropped"))
+        .agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
     )
 
 
