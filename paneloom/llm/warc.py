@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paneloom.session import materialise
+
 VERSION = "WARC/1.0\r\n"
 SLICE_SECONDS = 3600
 # Headers of a 304 answer that update a stored response.
@@ -137,6 +139,7 @@ def resolve(records: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame
         digest.cast("string").alias("digest"),
         ((F.col("type") == "response") & (F.col("status") == 200)).alias("full"),
     ).where("full or type = 'revisit'")
+    events = materialise(events)  # read by three branches, so records are parsed once
     usable = (F.col("canonical_url").isNotNull()) & F.col("at").isNotNull()
     found = F.when(
         F.col("full"), F.struct("at", "record_id", "date", "headers", "digest")
