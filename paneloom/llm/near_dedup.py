@@ -26,11 +26,12 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Callable, Iterator
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,35 +48,65 @@ USUAL = np.log(np.array([1 + IDF_GAIN])).astype(np.float32)[0]
 CHUNK = 256
 CHUNK_SHINGLES = 1 << 21  # counted at once
 _TABLE_BITS = 18
-_CACHED_WORDS = 1 << 18
-_WORD = re.compile(r"\w+")
+_CHARACTERS = 1 << 18  # hashed at once
+_BASE = 0x9FB21C651E98DF25  # odd, so it has an inverse
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-class _WordIds(dict):
-    def __missing__(self, word: str) -> int:
-        found = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        self[word] = found
-        return found
-
-
-_IDS = _WordIds()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX[1]
     x = (x ^ (x >> np.uint64(27))) * _MIX[2]
     return x ^ (x >> np.uint64(31))
 
 
+@cache
+def _word_characters() -> np.ndarray:
+    """For each code point whether it is a word character (\\w)."""
+    found = np.zeros(sys.maxunicode + 1, bool)
+    for run in re.finditer(r"\w+", "".join(map(chr, range(len(found))))):
+        found[run.start() : run.end()] = True
+    return found
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n - 1 of the base, and their inverses, modulo 2 ** 64."""
+    bases = np.ones((2, n), np.uint64)
+    bases[0, 1:] = np.uint64(_BASE)
+    bases[1, 1:] = np.uint64(pow(_BASE, -1, 1 << 64))
+    power, inverse = np.cumprod(bases, axis=1, dtype=np.uint64)
+    return power, inverse
+
+
+def _word_ids(text: str) -> np.ndarray:
+    """Hashes of the words of a text: polynomials of their code points, from running sums."""
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = _word_characters()[codes]
+    found, start = [], 0
+    while start < len(codes):
+        end = min(start + _CHARACTERS, len(codes))
+        if end < len(codes):  # not inside a word
+            gap = np.flatnonzero(~inside[start:end])
+            if len(gap):
+                end = start + int(gap[-1]) + 1
+            else:
+                rest = ~inside[end:]
+                end = end + int(rest.argmax()) if rest.any() else len(codes)
+        power, inverse = _powers(max(_CHARACTERS, 1 << (end - start - 1).bit_length()))
+        edges = np.flatnonzero(np.diff(inside[start:end], prepend=False, append=False))
+        sums = np.zeros(end - start + 1, np.uint64)
+        np.cumsum((codes[start:end] + np.uint64(1)) * power[: end - start], out=sums[1:])
+        first, last = edges[::2], edges[1::2]
+        found.append(_mixed((sums[last] - sums[first]) * inverse[first]))
+        start = end
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
 def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Different shingle hashes of a whole text, ascending, and how often each occurs."""
-    words = _WORD.findall(text.lower()) if text else []
-    if not words:
+    ids = _word_ids(text or "")
+    if not len(ids):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    ids = np.fromiter(map(_IDS.__getitem__, words), np.uint64, len(words))
     width = min(WORDS, len(ids))
     n = len(ids) - width + 1
     mixed = ids[:n].copy()
@@ -323,7 +354,7 @@ def _node(text_col: str):
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """node (of each different text that has a link), component."""
+    """node (of each different text that shares a bucket), component."""
     spark = docs.sparkSession
     weights = corpus_weights(docs.select(text_of(text_col).alias("text")))
     shared = spark.sparkContext.broadcast(weights)
@@ -348,7 +379,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .groupBy("node")
         .agg(F.min("text").alias("text"))
     )
-    links, state = _led(members, needed, texts, shared, None, turns=2, leaders=1)
+    alone = materialise(needed.select("node", F.col("node").alias("component")))
+    state = _led(members, alone, texts, shared, turns=2, leaders=1)
     # texts that share a bucket with another component are sampled again into longer bands, in which
     # texts of a middling likeness seldom meet
     crowded = _divided(members, state).join(members, ["band", "key"]).select("node").distinct()
@@ -360,8 +392,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         .select("node", F.posexplode("bands").alias("band", "key"))
     )
-    links, _ = _led(longer, needed, texts, shared, links, turns=1, leaders=LONG_LEADERS)
-    return components(links)
+    return _led(longer, state, texts, shared, turns=1, leaders=LONG_LEADERS)
 
 
 def _divided(members: DataFrame, state: DataFrame) -> DataFrame:
@@ -376,17 +407,10 @@ def _divided(members: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def _led(
-    members: DataFrame,
-    nodes: DataFrame,
-    texts: DataFrame,
-    shared,
-    links: DataFrame | None,
-    turns: int,
-    leaders: int,
-) -> tuple[DataFrame, DataFrame]:
-    """Links found by comparing each bucket's texts with its leaders, as far as they are in other
-    components, with other leaders each turn; and the components."""
-    state = _labelled(nodes, links)
+    members: DataFrame, state: DataFrame, texts: DataFrame, shared, turns: int, leaders: int
+) -> DataFrame:
+    """The components after comparing each bucket's texts with its leaders, as far as they are in
+    other components, with other leaders each turn."""
     for turn in range(turns):
         placed = members.join(state, "node")
         mixed = placed.join(_divided(members, state), ["band", "key"])
@@ -408,17 +432,20 @@ def _led(
             .distinct()
         )
         near = _compared(led, texts, shared).where(F.col("likeness") >= SIMILARITY).select("a", "b")
-        links = near if links is None else materialise(links.union(near))
-        state = _labelled(nodes, links)
-    return links, state
+        state = _merged(state, near)
+    return state
 
 
-def _labelled(nodes: DataFrame, links: DataFrame | None) -> DataFrame:
-    if links is None:
-        return materialise(nodes.select("node", F.col("node").alias("component")))
+def _merged(state: DataFrame, links: DataFrame) -> DataFrame:
+    """``state`` with its components joined where a link goes from one to another."""
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(state.withColumnsRenamed({"node": end, "component": f"of_{end}"}), end)
+    into = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    into = into.withColumnsRenamed({"component": "into", "node": "component"})
     return materialise(
-        nodes.join(components(links), "node", "left").select(
-            "node", F.coalesce("component", "node").alias("component")
+        state.join(into, "component", "left").select(
+            "node", F.coalesce("into", "component").alias("component")
         )
     )
 
