@@ -11,8 +11,8 @@ links need a weighted Jaccard similarity of 0.8, computed from the whole texts.
 Scale: document frequencies are exact for frequent shingles alone, of which there are at most
 2 * mean length / RARE. A shingle in RARE of all documents has at least half of that share in partitions
 that show it as frequent, so partition sums find them all, and a second count is exact. Equal
-texts are one node. In a bucket, texts are compared with a leader, then with another; texts already
-connected aren't. So pairs grow with the rows, not with the squares of groups. Texts whose bucket still
+texts are one node. In a bucket, texts are compared with ``LEADERS`` leaders, so pairs grow with
+the rows, not with the squares of groups. Texts whose bucket still
 holds several components are sampled again into ``LONG_BANDS`` bands of
 ``LONG_ROWS``, of which a linked pair shares one with probability 0.99,
 and compared there with ``LONG_LEADERS`` leaders: all with all in buckets of that size. Pairs travel in chunks of at most ``CHUNK`` texts, so a
@@ -40,7 +40,7 @@ from paneloom.session import materialise
 
 WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 10, 4
+BANDS, ROWS, LEADERS = 10, 4, 2
 RARE = 0.01
 IDF_GAIN = 0.25
 LONG_BANDS, LONG_ROWS, LONG_LEADERS = 25, 8, 24  # for texts in crowded buckets
@@ -380,7 +380,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.min("text").alias("text"))
     )
     alone = materialise(needed.select("node", F.col("node").alias("component")))
-    state = _led(members, alone, texts, shared, turns=2, leaders=1)
+    state = _led(members, alone, texts, shared, leaders=LEADERS)
     # texts that share a bucket with another component are sampled again into longer bands, in which
     # texts of a middling likeness seldom meet
     crowded = _divided(members, state).join(members, ["band", "key"]).select("node").distinct()
@@ -392,7 +392,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         .select("node", F.posexplode("bands").alias("band", "key"))
     )
-    return _led(longer, state, texts, shared, turns=1, leaders=LONG_LEADERS)
+    return _led(longer, state, texts, shared, leaders=LONG_LEADERS)
 
 
 def _divided(members: DataFrame, state: DataFrame) -> DataFrame:
@@ -407,33 +407,25 @@ def _divided(members: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def _led(
-    members: DataFrame, state: DataFrame, texts: DataFrame, shared, turns: int, leaders: int
+    members: DataFrame, state: DataFrame, texts: DataFrame, shared, leaders: int
 ) -> DataFrame:
     """The components after comparing each bucket's texts with its leaders, as far as they are in
-    other components, with other leaders each turn."""
-    for turn in range(turns):
-        placed = members.join(state, "node")
-        mixed = placed.join(_divided(members, state), ["band", "key"])
-        order = Window.partitionBy("band", "key").orderBy(F.xxhash64(F.lit(turn), "node"), "node")
-        heads = (
-            mixed.withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= leaders)
-            .select("band", "key", F.col("node").alias("a"), F.col("component").alias("own"))
-        )
-        led = (
-            mixed.join(heads, ["band", "key"])
-            .where("component <> own")
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-            .distinct()
-            if leaders > 1
-            else mixed.join(heads, ["band", "key"])
-            .where("component <> own")
-            .select("a", F.col("node").alias("b"))
-            .distinct()
-        )
-        near = _compared(led, texts, shared).where(F.col("likeness") >= SIMILARITY).select("a", "b")
-        state = _merged(state, near)
-    return state
+    other components."""
+    mixed = members.join(state, "node").join(_divided(members, state), ["band", "key"])
+    order = Window.partitionBy("band", "key").orderBy(F.xxhash64("node"), "node")
+    heads = (
+        mixed.withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= leaders)
+        .select("band", "key", F.col("node").alias("a"), F.col("component").alias("own"))
+    )
+    led = (
+        mixed.join(heads, ["band", "key"])
+        .where("component <> own")
+        .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        .distinct()
+    )
+    near = _compared(led, texts, shared).where(F.col("likeness") >= SIMILARITY)
+    return _merged(state, near.select("a", "b"))
 
 
 def _merged(state: DataFrame, links: DataFrame) -> DataFrame:
