@@ -14,9 +14,11 @@ that show it as frequent, so partition sums find them all, and a second count is
 texts are one node. In a bucket, texts are compared with ``LEADERS`` leaders, so pairs grow with
 the rows, not with the squares of groups. Texts whose bucket still
 holds several components are sampled again into ``LONG_BANDS`` bands of
-``LONG_ROWS``, of which a linked pair shares one with probability 0.99,
-and compared there with ``LONG_LEADERS`` leaders: all with all in buckets of that size. Pairs travel in chunks of at most ``CHUNK`` texts, so a
-leader of a third of all rows is no hot group.
+``LONG_ROWS``, of which a linked pair shares one with probability 0.99, compared with leaders there
+too, and every long bucket that still holds several components is finished: all its texts of different components meet,
+in blocks of two chunks of about ``BLOCK`` texts, where total weights and distances to one text (a metric) rule out
+pairs. Components of ``BLOCK`` texts have chunks of their own, which don't meet each other. Pairs with
+a leader travel in chunks of at most ``CHUNK`` texts, so a leader of a third of all rows is no hot group.
 
 Definitions: equal texts are one class, empty and null ones included; texts without words have no other
 links. class_id is the smallest doc_id of the class, null if it has none. Repeated rows get the same class.
@@ -43,7 +45,8 @@ SIMILARITY = 0.8
 BANDS, ROWS, LEADERS = 10, 4, 2
 RARE = 0.01
 IDF_GAIN = 0.25
-LONG_BANDS, LONG_ROWS, LONG_LEADERS = 25, 8, 24  # for texts in crowded buckets
+LONG_BANDS, LONG_ROWS = 25, 8  # for texts in crowded buckets
+BLOCK = 64
 USUAL = np.log(np.array([1 + IDF_GAIN])).astype(np.float32)[0]
 CHUNK = 256
 CHUNK_SHINGLES = 1 << 21  # counted at once
@@ -392,7 +395,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         .select("node", F.posexplode("bands").alias("band", "key"))
     )
-    return _led(longer, state, texts, shared, leaders=LONG_LEADERS)
+    state = _led(longer, state, texts, shared, leaders=LEADERS)
+    return _merged(state, _met(longer, state, texts, shared))
 
 
 def _divided(members: DataFrame, state: DataFrame) -> DataFrame:
@@ -428,6 +432,121 @@ def _led(
     return _merged(state, near.select("a", "b"))
 
 
+def _met(members: DataFrame, state: DataFrame, texts: DataFrame, shared) -> DataFrame:
+    """All links (a, b) between texts of a bucket in different components, short of those that
+    join nothing more within a block."""
+    mixed = members.join(state, "node").join(_divided(members, state), ["band", "key"])
+    sizes = mixed.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
+    # the chunks of a large component are its own, small components share chunks (own: empty)
+    sizes = sizes.withColumn(
+        "own", F.when(F.col("n") >= BLOCK, F.col("component")).otherwise(F.unhex(F.lit("")))
+    )
+    chunks = materialise(
+        sizes.groupBy("band", "key", "own").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("chunks"))
+    )
+    placed = (
+        mixed.join(sizes.drop("n"), ["band", "key", "component"])
+        .join(chunks, ["band", "key", "own"])
+        .select(
+            "band",
+            "key",
+            "own",
+            F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"),
+            "node",
+            "component",
+        )
+    )
+    each = chunks.select(
+        "band", "key", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
+    )
+    one, other = (
+        each.select("band", "key", F.struct("own", "chunk").alias(name)) for name in ("p", "q")
+    )
+    blocks = (
+        one.join(other, ["band", "key"])
+        .where("p <= q and (p.own <> q.own or p.own = unhex(''))")
+        .withColumn("block", F.xxhash64("band", "key", "p", "q"))
+        # the sides of a block meet each other; a chunk that meets itself is on side 2
+        .select(
+            "band",
+            "key",
+            "block",
+            F.explode(
+                F.when(
+                    F.col("p") == F.col("q"), F.array(F.struct(F.lit(2).alias("side"), F.col("p").alias("c")))
+                ).otherwise(
+                    F.array(
+                        F.struct(F.lit(0).alias("side"), F.col("p").alias("c")),
+                        F.struct(F.lit(1).alias("side"), F.col("q").alias("c")),
+                    )
+                )
+            ).alias("part"),
+        )
+        .select("band", "key", "block", "part.side", "part.c.own", "part.c.chunk")
+    )
+    rows = (
+        blocks.join(placed, ["band", "key", "own", "chunk"])
+        .join(texts, "node")
+        .select("block", "side", "node", "component", "text")
+        .repartition("block")
+        .sortWithinPartitions("block")
+    )
+    return materialise(rows.mapInArrow(_meeting(shared), "a binary, b binary").distinct())
+
+
+def _meeting(shared) -> Callable:
+    """Rows (block, side, node, component, text) in order of blocks: links (a, b)."""
+
+    def links(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        rows.sort(key=lambda row: row[-1])
+        root = {row[2]: row[2] for row in rows}
+
+        def of(component: bytes) -> bytes:
+            while root[component] != component:
+                root[component] = component = root[root[component]]
+            return component
+
+        pivot = rows[-1][3]
+        far = [1 - similarity(row[3], pivot) for row in rows]
+        reach = 1 - SIMILARITY + 1e-9
+        for j, (side, b, b_component, b_own, b_total) in enumerate(rows):
+            for i in range(j - 1, -1, -1):
+                a_side, a, a_component, a_own, a_total = rows[i]
+                if a_total < (SIMILARITY - 1e-9) * b_total:
+                    break
+                if (a_side == side) != (side == 2) or abs(far[i] - far[j]) > reach:
+                    continue
+                x, y = of(a_component), of(b_component)
+                if x != y and similarity(a_own, b_own) >= SIMILARITY:
+                    root[x] = y
+                    yield a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = shared.value
+        held: list[tuple] = []
+        block = None
+
+        def out() -> pa.RecordBatch:
+            found = list(links(held)) if held else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in found], pa.binary()) for i in range(2)], names=["a", "b"]
+            )
+
+        for batch in batches:
+            for own, side, node, component, text in zip(*(batch.column(i) for i in range(5))):
+                if own.as_py() != block:
+                    yield out()
+                    block, held = own.as_py(), []
+                hashes, tf = shingles(text.as_py())
+                weight = weights.of(hashes, tf)
+                held.append(
+                    (side.as_py(), node.as_py(), component.as_py(), (hashes, weight), float(weight.sum()))
+                )
+        yield out()
+
+    return run
+
+
 def _merged(state: DataFrame, links: DataFrame) -> DataFrame:
     """``state`` with its components joined where a link goes from one to another."""
     ends = links

@@ -271,6 +271,31 @@ def test_near_dedup_large_group(spark):
     assert wrong <= 0.01 * len(rows)  # what no band brings together
 
 
+def test_near_dedup_spread_out_group(spark, monkeypatch):
+    """Pairs of variants of one template in long buckets of most of them, none near a common text."""
+    monkeypatch.setattr(near_dedup, "LONG_BANDS", 4)
+    monkeypatch.setattr(near_dedup, "LONG_ROWS", 1)
+    rng = random.Random(12)
+    base = words(rng, 600)
+
+    def varied(own, n):
+        own = list(own)
+        for _ in range(n):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        return own
+
+    rows = []
+    for _ in range(120):
+        pair = varied(base, 3)
+        rows += [(len(rows) + i, " ".join(varied(pair, 5))) for i in range(2)]
+    expected = brute_classes(rows)
+    linked = [d for d, c in expected.items() if d != c]
+    assert len(linked) > 60 and len(set(expected.values())) > 60
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
+    lost = sum(got[d] != c for d, c in expected.items())
+    assert lost <= 0.02 * len(linked), (lost, len(linked))  # what no band brings together
+
+
 def test_near_dedup_empty(spark):
     assert near_dedup.classes(documents(spark, [])).count() == 0
 
