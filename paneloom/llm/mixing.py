@@ -253,6 +253,36 @@ def taken(sized: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+def drawn(sized: DataFrame, plan: DataFrame, draws: DataFrame) -> DataFrame:
+    """Like ``taken``, with copies counted from the units that the shards drew."""
+    units = draws.groupBy("source", "block").agg(
+        F.count_if(F.col("cutoff").isNull()).alias("whole"),
+        F.count("cutoff").alias("parts"),
+        F.max("cutoff").alias("cutoff"),
+    )
+    of_source = plan.groupBy(F.col("source").alias("of")).agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target")
+    )
+    own = units.select(
+        F.col("source").alias("unit_of"), F.col("block").alias("b"), "whole", "parts", "cutoff"
+    )
+    part = F.when(F.col("spot") <= F.col("cutoff"), F.col("parts"))
+    copies = F.coalesce("whole", F.lit(0)) + F.coalesce(part, F.lit(0))
+    return (
+        sized.join(F.broadcast(of_source), F.col("source").eqNullSafe(F.col("of")))
+        .join(own, F.col("source").eqNullSafe(F.col("unit_of")) & (F.col("block") == F.col("b")), "left")
+        .select(
+            "id",
+            "source",
+            "size",
+            "source_size",
+            "target",
+            copies.alias("copies"),
+            (copies * F.col("size")).alias("taken"),
+        )
+    )
+
+
 def mixed(
     docs: DataFrame,
     shards: int = 16,

@@ -179,8 +179,7 @@ SELECT doc_id, keep_id, group_size, kept, sha256(plain) AS text_sha256 FROM r
 
 
 def mixture(spark, sf):
-    sized, plan, _ = mixing.mix(_table(spark, sf, "documents"))
-    return mixing.taken(sized, plan).select(
+    return mixing.drawn(*mixing.mix(_table(spark, sf, "documents"))).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies"
     )
 

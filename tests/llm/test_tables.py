@@ -345,6 +345,22 @@ def test_mix_query(spark):
     check_mix(queries.mixture(spark, "/root/testdata/sf0.1").collect(), 1)
 
 
+def test_mix_query_counts_draws(spark, sf_dir, monkeypatch):
+    """What no shard draws isn't taken; whole draws agree with the plan and with the mixed rows."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = queries.mixture(spark, sf_dir).collect()
+    planned = mixing.taken(*mixing.mix(docs)[:2]).collect()
+    assert sorted((r["doc_id"], r["copies"], r["taken"]) for r in rows) == sorted(
+        (r["id"], r["copies"], r["taken"]) for r in planned
+    )
+    assert sum(r["copies"] for r in rows) == mixing.mixed(docs).count()
+    quotas = mixing.shard_quotas
+    monkeypatch.setattr(mixing, "shard_quotas", lambda *a: quotas(*a).where("shard <> 0"))
+    less = queries.mixture(spark, sf_dir).collect()
+    assert len(less) == len(rows)
+    assert 0 < sum(r["copies"] for r in less) < sum(r["copies"] for r in rows)
+
+
 # ------------------------------------------------------------------ pipeline
 
 
