@@ -27,7 +27,7 @@ from paneloom.llm.common import components, text_of
 from paneloom.session import materialise
 
 THRESHOLD = 2
-MIN_CHARS = 48  # shorter lines are compared for equality only
+MIN_CHARS = 10  # two edits are at most a fifth; shorter lines are compared for equality only
 _BITS = 1 << 24
 _LETTERS = "etaonihr"  # counted modulo 16, four bits each
 

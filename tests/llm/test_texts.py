@@ -381,6 +381,27 @@ def test_near_lines(spark):
     assert got == want and want
 
 
+def test_near_lines_short(spark):
+    """Lines from MIN_CHARS code points on are in the edit join."""
+    rng = random.Random(5)
+    lines = ["Anheerat, by in ofonthhahe er. Erin.", "Anheerat by in ofonthhahe er. Erin."]
+    for size in range(8, 48):
+        line = "q" + "".join(rng.choices("abcdefghé ", k=size - 2)) + "q"
+        lines += [line, *(changed(rng, line, rng.randrange(4)).strip() for _ in range(3))]
+    got = {
+        frozenset((bytes(r["a"]), bytes(r["b"])))
+        for r in line_dedup.near_lines(documents(spark, list(enumerate(lines)))).collect()
+    }
+    key = {x: hashlib.md5(x.encode()).digest() for x in lines}
+    want = {
+        frozenset((key[a], key[b]))
+        for a in key
+        for b in key
+        if a < b and min(len(a), len(b)) >= 10 and abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2
+    }
+    assert got == want and len(want) > 40
+
+
 def test_line_dedup(spark):
     long = "The quick brown fox jumps over the lazy dog beside the river bank."
     rows = [
