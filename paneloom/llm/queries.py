@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom.llm import (
+    collocations,
     cover_tree,
     exact_dedup,
     line_dedup,
@@ -184,6 +185,51 @@ def mixture(spark, sf):
     )
 
 
+def phrases(spark, sf):
+    return collocations.collocations(_table(spark, sf, "documents"))
+
+
+PHRASES_SQL = """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]') AS pieces
+  FROM documents),
+p AS (SELECT lang, unnest(pieces) AS piece FROM d),
+w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang HAVING sum(len(w)) > 0),
+f AS (
+  SELECT lang, k AS words, phrase, count(*) AS a FROM (
+    SELECT lang, k, unnest(list_transform(range(1, (len(w) - k + 2)::BIGINT),
+      lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+    FROM w, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 30),
+c AS (
+  SELECT lang, words, phrase, a, string_split(phrase, ' ') AS p, unnest(range(1, words)) AS k
+  FROM f WHERE words > 1),
+s AS (
+  SELECT c.lang, c.words, c.phrase, c.a, c.k, x.a AS l, y.a AS r,
+    ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.p[1 : c.k], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.p[c.k + 1 : c.words], ' ')),
+lowest AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(p[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, words, a, string_split(phrase, ' ') AS p, unnest(range(2, words)) AS m
+        FROM f WHERE words > 2), (VALUES (1), (2), (3)) AS places(i)
+  WHERE i + m - 1 <= words GROUP BY ALL),
+kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN inner_phrases i USING (lang, phrase)
+  WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * lowest.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INTEGER AS rank,
+  phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
 QUERIES = {
     "op1_near_duplicates": near_duplicates,
     "op2_pieces": pieces,
@@ -195,9 +241,11 @@ QUERIES = {
     "op8_url_verdicts": url_verdicts,
     "op9_exact_duplicates": exact_duplicates,
     "op10_mixture": mixture,
+    "op12_collocations": phrases,
 }
 
 ORACLE_SQL = {
     "op7_revisits": REVISITS_SQL,
     "op9_exact_duplicates": EXACT_SQL,
+    "op12_collocations": PHRASES_SQL,
 }
