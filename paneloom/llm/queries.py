@@ -13,10 +13,12 @@ from paneloom.llm import (
     mixing,
     near_dedup,
     piece_merge,
+    posting_lists,
     secret_scan,
     toxicity,
     url_rules,
     warc,
+    zone_maps,
 )
 from paneloom.llm.common import text_of
 
@@ -185,6 +187,10 @@ def mixture(spark, sf):
     )
 
 
+def neighbours(spark, sf):
+    return posting_lists.search(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def phrases(spark, sf):
     return collocations.collocations(_table(spark, sf, "documents"))
 
@@ -230,6 +236,12 @@ QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase
 """
 
 
+def hard_negatives(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf, "embeddings")
+    return zone_maps.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES = {
     "op1_near_duplicates": near_duplicates,
     "op2_pieces": pieces,
@@ -241,7 +253,9 @@ QUERIES = {
     "op8_url_verdicts": url_verdicts,
     "op9_exact_duplicates": exact_duplicates,
     "op10_mixture": mixture,
+    "op11_neighbours": neighbours,
     "op12_collocations": phrases,
+    "op13_hard_negatives": hard_negatives,
 }
 
 ORACLE_SQL = {
