@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from paneloom.functions.defaults import MAX_LOSS, PERIODS, QUANTILES
 from paneloom.functions.scalars import no_nan
-from paneloom.lookup import lookup_table
 from paneloom.operators.calendar import Calendar
-from paneloom.operators.ranking import BROADCAST_LOOKUP_ROWS, rank_cross_section
+from paneloom.operators.ranking import rank_cross_section
 from paneloom.operators.skew import cross_section, has_hot_group, with_group_aggregates
 
 CELL = ["factor_name", "date"]
@@ -144,17 +143,13 @@ def loss_gate(aligned: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
 def clean_factor(aligned: DataFrame, max_loss: float | None = MAX_LOSS) -> DataFrame:
     """Complete, bucketed rows of the factors that pass the loss gate; ``None`` skips the gate.
 
-    The gate, one row per factor, is evaluated first. Up to ``BROADCAST_LOOKUP_ROWS`` passing
-    names are broadcast, more are joined by name.
+    The gate is one row per factor, aggregated and semi-joined inside the plan. It reads ``aligned``
+    as well, so callers checkpoint that first.
     """
     kept = aligned.where(F.col("complete") & F.col("bucket").isNotNull()).drop("complete")
     if max_loss is None:
         return kept
     passed = loss_gate(aligned, max_loss).where(F.col("status") == "ok").select("factor_name")
-    names = passed.limit(BROADCAST_LOOKUP_ROWS + 1).collect()
-    if len(names) <= BROADCAST_LOOKUP_ROWS:
-        few = lookup_table(aligned.sparkSession, [tuple(r) for r in names], "factor_name string")
-        passed = F.broadcast(few)
     return kept.join(passed, "factor_name", "left_semi")
 
 
@@ -279,13 +274,17 @@ def cumulative_return(
 
 
 def factor_alpha_beta(returns: DataFrame, periods_per_year: int = 252) -> DataFrame:
-    """Regression of the factor portfolio on the universe return, per factor and period."""
+    """Regression of the factor portfolio on the universe return, per factor and period.
+
+    A loss of everything (alpha of -1 or below) has no yearly rate.
+    """
     fit = returns.groupBy("factor_name", "period").agg(
         F.regr_intercept("factor_return", "universe_return").alias("alpha"),
         F.regr_slope("factor_return", "universe_return").alias("beta"),
     )
-    yearly = F.pow(F.lit(1.0) + F.col("alpha"), F.lit(float(periods_per_year)) / F.col("period"))
-    return fit.withColumn("annual_alpha", yearly - F.lit(1.0))
+    growth = F.lit(1.0) + F.col("alpha")
+    yearly = F.pow(growth, F.lit(float(periods_per_year)) / F.col("period")) - F.lit(1.0)
+    return fit.withColumn("annual_alpha", F.when(growth > 0, yearly))
 
 
 def ic_daily(

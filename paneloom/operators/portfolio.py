@@ -293,7 +293,10 @@ def equity_curve(
     ledger: DataFrame,
     initial_cash: float = INITIAL_CASH,
 ) -> DataFrame:
-    """Cash, position value, equity and daily return per bar (one row per date from here on)."""
+    """Cash, position value, equity and daily return per bar (one row per date from here on).
+
+    Amounts are kept in whole cents, so bars without a change have a return of exactly 0.
+    """
     flows = ledger.groupBy("date").agg(
         F.sum(-F.col("quantity") * F.col("price") - F.col("commission")).alias("_flow")
     )
@@ -312,8 +315,9 @@ def equity_curve(
         .join(flows, "date", "left")
         .join(worth, "date", "left")
         .na.fill(0.0, ["_flow", "position_value"])
-        .withColumn("cash", start + F.sum("_flow").over(so_far))
-        .withColumn("equity", F.col("cash") + F.col("position_value"))
+        .withColumn("cash", F.round(start + F.sum("_flow").over(so_far), 2))
+        .withColumn("position_value", F.round("position_value", 2))
+        .withColumn("equity", F.round(F.col("cash") + F.col("position_value"), 2))
     )
     previous = F.coalesce(F.lag("equity").over(by_date), start)
     return curve.withColumn(
@@ -329,9 +333,9 @@ def _growth(returns: DataFrame, column: str) -> DataFrame:
     grown = returns.select("date", F.col(column).alias("r")).where(F.col("r").isNotNull())
     grown = grown.withColumn("wealth", F.product(F.lit(1.0) + F.col("r")).over(so_far))
     peak = F.greatest(F.lit(1.0), F.max("wealth").over(so_far))
-    return grown.withColumn("peak", peak).withColumn(
-        "drawdown", F.try_divide(F.col("wealth"), F.col("peak")) - F.lit(1.0)
-    )
+    below = F.try_divide(F.col("wealth"), F.col("peak")) - F.lit(1.0)
+    # equal depths stay equal whatever order the product was taken in
+    return grown.withColumn("peak", peak).withColumn("drawdown", F.round(below, 12))
 
 
 def performance_summary(

@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations
+from math import comb
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneloom.lookup import lookup_table
 from paneloom.operators.panel import union_all
 from paneloom.operators.skew import cross_section, has_hot_group
 
-# rows of a driver-built lookup table up to which it is broadcast
-BROADCAST_LOOKUP_ROWS = 200_000
-
 
 def rank_cross_section(
     df: DataFrame,
@@ -102,16 +98,56 @@ def _rank_sums(tall, k, keys, asset, positive_corr, hot):
     return ranked.drop("_weighted")
 
 
-def combo_table(factors: Sequence[str], combo_size: int) -> list[tuple[int, str, list[int]]]:
-    """All combinations in input order: (combo_id, label, 1-based factor positions)."""
-    if combo_size < 1:
+def _check_combinations(n: int, size: int) -> int:
+    """How many combinations of at most ``size`` out of ``n`` there are; the size they have."""
+    if size < 1:
         raise ValueError("combo_size must be at least 1")
-    size = min(combo_size, len(factors))
-    positions = combinations(range(len(factors)), size)
-    return [
-        (i, "_".join(factors[p] for p in combo), [p + 1 for p in combo])
-        for i, combo in enumerate(positions)
-    ]
+    if not n:
+        raise ValueError("no factors to combine")
+    size = min(size, n)
+    if comb(n, size) >= 2**63:
+        raise ValueError(f"combinations of {size} out of {n} factors can't be numbered in 64 bits")
+    return size
+
+
+def _binomials(n: int, size: int) -> Column:
+    """C(n - 1 - p, size) by position p, from 1 on as in ``element_at``."""
+    return F.array(*[F.lit(comb(n - 1 - p, size)).cast("long") for p in range(n)])
+
+
+def combo_positions(combo_id: Column, n: int, size: int) -> Column:
+    """The 0-based positions of a combination, from its place in lexicographic order.
+
+    The combinatorial number system counts from the end: what is left to the last combination is
+    a sum of C(c, size) + ... + C(c', 1), and the largest c whose binomial fits gives each position.
+    """
+    binomials = F.array(
+        *[F.array(*[F.lit(comb(c, k)).cast("long") for c in range(n)]) for k in range(size, 0, -1)]
+    )
+    start = F.struct(
+        (F.lit(comb(n, size) - 1).cast("long") - combo_id).alias("rest"),
+        F.array().cast("array<int>").alias("places"),
+    )
+
+    def step(state: Column, row: Column) -> Column:
+        c = F.size(F.filter(row, lambda x: x <= state["rest"])) - 1
+        return F.struct(
+            (state["rest"] - F.element_at(row, c + 1)).alias("rest"),
+            F.concat(state["places"], F.array(F.lit(n - 1) - c)).alias("places"),
+        )
+
+    return F.aggregate(binomials, start, step, lambda state: state["places"])
+
+
+def combo_table(spark: SparkSession, factors: Sequence[str], combo_size: int) -> DataFrame:
+    """(combo_id, combo, positions): all combinations in input order, numbered and unranked on the
+    executors. Positions are 1-based."""
+    size = _check_combinations(len(factors), combo_size)
+    names = F.array(*[F.lit(f) for f in factors])
+    positions = F.transform(combo_positions(F.col("id"), len(factors), size), lambda p: p + 1)
+    label = F.array_join(F.transform("positions", lambda p: F.element_at(names, p)), "_")
+    table = spark.range(comb(len(factors), size)).select(F.col("id").alias("combo_id"), positions.alias("positions"))
+    return table.select("combo_id", label.alias("combo"), "positions")
 
 
 def weighted_rank_combos(
@@ -121,21 +157,28 @@ def weighted_rank_combos(
     weights: Sequence[float] | None = None,
     positive_corr: bool = True,
     hot: bool | None = None,
+    ids: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Weighted rank of every combination of ``combo_size`` factors, all in one job.
 
-    Ranks become one array per (date, asset) first, so each combination is an expression on that
-    row: the only further exchange is the one that ranks (combo, date) groups. Weights are by
-    position inside the combination; none or a wrong number means equal weights.
+    Ranks become one array per (date, asset) first. Combinations then grow by one factor at a time,
+    so those with equal beginnings share their partial sum, and one that misses a rank is given up
+    where it does. After the first two factors the rows are dealt by these and the date: all that a
+    combination ranks on a date is together from then on, and no complete combination is ever
+    shuffled. No list of combinations exists anywhere; a row's arrays have as many entries as there
+    are factors. ``combo_id`` is the place in input order, computed from the positions.
+
+    Weights are by position inside the combination; none or a wrong number means equal weights.
+    ``ids`` = (first, stop) evaluates these combinations only, leaving out whole beginnings early.
     """
+    n = len(factors)
+    size = _check_combinations(n, combo_size)
     if hot is None:
         # a (combination, date) group is never larger than its factors' groups
         hot = has_hot_group(ranks, ["factor_name", "date"])
-    combos = combo_table(factors, combo_size)
-    size = len(combos[0][2])
     if weights is None or len(weights) != size:
         weights = [1.0 / size] * size
-    wide = (
+    rows = (
         ranks.where(F.col("factor_name").isin(*factors))
         .groupBy("date", "asset")
         .agg(
@@ -143,22 +186,35 @@ def weighted_rank_combos(
                 *[F.max(F.when(F.col("factor_name") == f, F.col("rank"))) for f in factors]
             ).alias("_ranks")
         )
+        .withColumns({"_sum": F.lit(0.0), "_last": F.lit(comb(n, size) - 1).cast("long")})
     )
-    table = lookup_table(
-        ranks.sparkSession, combos, "combo_id int, combo string, _positions array<int>"
+    block = [f"_p{i}" for i in range(min(2, size - 1))]
+    for i in range(size):
+        here, before = f"_p{i}", F.col(f"_p{i - 1}") + 1 if i else F.lit(0)
+        place = F.col(here) + 1
+        rows = rows.withColumn(
+            here, F.explode(F.sequence(before, F.lit(n - size + i)))
+        )
+        term = F.element_at("_ranks", place) * F.lit(float(weights[i]))
+        # the last combination that begins like this; all of them are numbered in a row
+        last = F.col("_last") - F.element_at(_binomials(n, size - i), place)
+        rows = rows.withColumns(
+            {"_sum": F.col("_sum") + term if i else term, "_last": last}
+        ).where(F.col("_sum").isNotNull())
+        if ids is not None:
+            count = F.element_at(_binomials(n, size - i - 1), place)
+            rows = rows.where(
+                (F.col("_last") >= ids[0]) & (F.col("_last") - count + 1 < ids[1])
+            )
+        if here == (block[-1:] or [None])[0]:
+            rows = rows.repartition(*block, "date")
+    positions = [f"_p{i}" for i in range(size)]
+    summed = rows.select(
+        "date", "asset", *positions, F.col("_last").alias("combo_id"), F.col("_sum").alias("_weighted")
     )
-    if len(combos) * size <= BROADCAST_LOOKUP_ROWS:
-        table = F.broadcast(table)
-    terms = [
-        F.element_at("_ranks", F.element_at("_positions", i + 1)) * F.lit(float(w))
-        for i, w in enumerate(weights)
-    ]
-    summed = (
-        wide.withColumn("combo_id", F.explode(F.sequence(F.lit(0), F.lit(len(combos) - 1))))
-        .join(table, "combo_id")
-        .select("combo_id", "combo", "date", "asset", _sum_left_to_right(terms).alias("_weighted"))
-        .where(F.col("_weighted").isNotNull())
+    ranked = rank_cross_section(
+        summed, positive_corr, "_weighted", "weighted_rank", (*block, "date", "combo_id"), hot=hot
     )
-    return rank_cross_section(
-        summed, positive_corr, "_weighted", "weighted_rank", ("combo_id", "date"), hot=hot
-    ).drop("_weighted")
+    names = F.array(*[F.lit(f) for f in factors])
+    label = F.concat_ws("_", *[F.element_at(names, F.col(p) + 1) for p in positions])
+    return ranked.select("combo_id", label.alias("combo"), "date", "asset", "weighted_rank")

@@ -64,6 +64,11 @@ def _r(x: str, digits: int) -> str:
     return f"round({x}, {digits}) + 0.0::DOUBLE"
 
 
+def _significant(x: str) -> str:
+    """Nine significant digits, for values of any size."""
+    return f"CAST(printf('%.8e', {x}) AS DOUBLE) + 0.0::DOUBLE"
+
+
 def _buckets(source: str) -> str:
     """Bucket of ``value`` per (factor_name, date) among rows of ``source``."""
     return f"""
@@ -195,6 +200,47 @@ WHERE m.date = (SELECT max(date) FROM mv WHERE date <= DATE '1998-03-10')
 QUALIFY rank <= 20""",
     "targets": """
 SELECT unnest([DATE '1996-03-10', DATE '1997-07-01', DATE '1999-12-31', DATE '2001-05-15']) AS target""",
+    "star_members": """
+SELECT m.stock_id, company_name, strftime(list_date, '%Y-%m-%d') AS list_date, industry, market,
+       market_value, strftime(d, '%Y-%m-%d') AS market_value_date,
+       CAST(row_number() OVER (PARTITION BY target ORDER BY market_value DESC NULLS LAST, m.stock_id) AS INT) AS rank,
+       20 AS top_n, CAST(NULL AS VARCHAR) AS delist_date, '1995-01-01' AS run_start, '2001-12-31' AS run_end,
+       strftime(target, '%Y-%m-%d') AS mv_date
+FROM (SELECT target, (SELECT max(date) FROM mv WHERE date <= target) AS d
+      FROM (SELECT unnest([DATE '1996-03-10', DATE '1998-03-10']) AS target) t) t
+JOIN mv m ON m.date = t.d JOIN company USING (stock_id)
+WHERE (industry IS NULL OR industry NOT IN ('NATION_3', 'NATION_7'))
+  AND market = 'sii' AND list_date < DATE '1995-10-01'
+QUALIFY rank <= 20""",
+    "star_days": "SELECT DISTINCT date FROM daily WHERE asset IN (SELECT stock_id FROM star_members)",
+    "measures": """
+SELECT CAST(date_trunc('year', l_shipdate) AS date) AS date, concat('S', CAST(l_suppkey AS string)) AS asset,
+       CAST(sum(CAST(l_extendedprice AS decimal(18,4))) AS double) AS f1,
+       CASE WHEN sum(l_quantity) % 7 <> 0 THEN sum(l_quantity) END AS f2,
+       CAST(count(*) FILTER (l_returnflag = 'R') AS double) / count(*) AS f3,
+       CAST(count(*) AS double) AS f4,
+       CAST(sum(CAST(l_extendedprice AS decimal(18,4))) AS double) / count(*) AS f5,
+       CAST(sum(CAST(l_discount AS decimal(18,4))) AS double) / count(*) AS f6,
+       CAST(sum(CAST(l_tax AS decimal(18,4))) AS double) / count(*) AS f7,
+       max(l_extendedprice) AS f8, min(l_extendedprice) AS f9,
+       CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS decimal(18,4))) AS double) AS f10,
+       CAST(count(*) FILTER (l_linestatus = 'O') AS double) / count(*) AS f11,
+       CAST(max(l_partkey) - min(l_partkey) AS double) AS f12
+FROM lineitem GROUP BY 1, 2""",
+    "measure_names": """
+SELECT * FROM (VALUES (1, 'revenue'), (2, 'units'), (3, 'return_rate'), (4, 'lines'), (5, 'mean_price'),
+  (6, 'mean_discount'), (7, 'mean_tax'), (8, 'largest_line'), (9, 'smallest_line'), (10, 'net_revenue'),
+  (11, 'open_share'), (12, 'part_spread')) t(i, factor_name)""",
+    "measure_ranks": f"""
+SELECT date, asset, i, {_average_rank("i, date", "value")} AS rank FROM (
+  SELECT date, asset, i, [f1, f2, f3, f4, f5, f6, f7, f8, f9, f10, f11, f12][i] AS value
+  FROM measures CROSS JOIN measure_names) m""",
+    "measure_combos": """
+SELECT row_number() OVER (ORDER BY a.i, b.i, c.i, d.i, e.i) - 1 AS combo_id,
+       concat_ws('_', a.factor_name, b.factor_name, c.factor_name, d.factor_name, e.factor_name) AS combo,
+       a.i AS a, b.i AS b, c.i AS c, d.i AS d, e.i AS e
+FROM measure_names a JOIN measure_names b ON a.i < b.i JOIN measure_names c ON b.i < c.i
+JOIN measure_names d ON c.i < d.i JOIN measure_names e ON d.i < e.i""",
     "report_ranks": f"""
 SELECT report_date AS date, asset, factor_name, value,
        {_average_rank("factor_name, report_date", "value")} AS rank FROM report""",
@@ -314,9 +360,9 @@ FROM sized o JOIN panel n ON n.asset = o.asset AND n.t = o.t + 1 WHERE o.enter O
 SELECT n.date, sum(CASE WHEN side = 'long' THEN 1 ELSE -1 END * size * n.close) AS worth
 FROM sized o JOIN panel n ON n.asset = o.asset AND n.t = o.t + 1 WHERE held GROUP BY 1""",
     "curve": """
-SELECT date, cash, worth, cash + worth AS equity FROM (
-  SELECT c.date, 20000000.0::DOUBLE + sum(coalesce(f.flow, 0)) OVER (ORDER BY c.date) AS cash,
-         coalesce(p.worth, 0) AS worth
+SELECT date, cash, worth, round(cash + worth, 2) AS equity FROM (
+  SELECT c.date, round(20000000.0::DOUBLE + sum(coalesce(f.flow, 0)) OVER (ORDER BY c.date), 2) AS cash,
+         round(coalesce(p.worth, 0), 2) AS worth
   FROM cal c
   LEFT JOIN (SELECT date, sum(-quantity * price - 0.001 * abs(quantity) * price) AS flow
              FROM ledger GROUP BY 1) f USING (date)
@@ -334,7 +380,7 @@ SELECT date, close / lag(close) OVER (ORDER BY date) - 1 AS r FROM (
 
 def _wealth(source: str) -> str:
     return f"""(SELECT date, r, wealth,
-       wealth / greatest(1.0, max(wealth) OVER (ORDER BY date)) - 1 AS drawdown
+       round(wealth / greatest(1.0, max(wealth) OVER (ORDER BY date)) - 1, 12) AS drawdown
 FROM (SELECT date, r, product(1 + r) OVER (ORDER BY date) AS wealth
       FROM {source} WHERE r IS NOT NULL) g)"""
 
@@ -347,10 +393,10 @@ def _performance(source: str, year: int, digits: int) -> str:
     annual = f"CASE WHEN g > 0 THEN pow(CASE WHEN g > 0 THEN g END, {year}.0 / n) - 1 END"
     return f"""
 SELECT n AS n_days, {r("g - 1")} AS total_return, {r(annual)} AS annual_return,
-       {r(f"s * sqrt({year}.0)")} AS annual_volatility, {r(f"m / s * sqrt({year}.0)")} AS sharpe,
-       {r(f"m / down * sqrt({year}.0)")} AS sortino, {r("dd")} AS max_drawdown,
-       {r(f"({annual}) / abs(dd)")} AS calmar, {r("gain / loss")} AS omega,
-       {r("abs(p95) / abs(p05)")} AS tail_ratio, {r("skew")} AS skew, {r("kurt")} AS kurtosis,
+       {r(f"s * sqrt({year}.0)")} AS annual_volatility, {r(f"m / nullif(s, 0) * sqrt({year}.0)")} AS sharpe,
+       {r(f"m / nullif(down, 0) * sqrt({year}.0)")} AS sortino, {r("dd")} AS max_drawdown,
+       {r(f"({annual}) / nullif(abs(dd), 0)")} AS calmar, {r("gain / nullif(loss, 0)")} AS omega,
+       {r("abs(p95) / nullif(abs(p05), 0)")} AS tail_ratio, {r("skew")} AS skew, {r("kurt")} AS kurtosis,
        {r("p05")} AS var_5pct, {r("m - 2 * s")} AS value_at_risk, CASE WHEN lowest > -1 THEN {r(level)} END AS stability
 FROM (
   SELECT count(*) AS n, min(r) AS lowest, product(1 + r) AS g, avg(r) AS m, stddev_samp(r) AS s,
@@ -395,6 +441,54 @@ WHERE factor_name = 'units' AND report_date BETWEEN DATE '1997-01-01' AND DATE '
     "factor_scan_wide": """
 SELECT report_date AS date, asset AS stock_id, value AS return_rate FROM report
 WHERE factor_name = 'return_rate' AND report_date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'""",
+    "factor_sources": """
+SELECT report_date AS date, asset, factor_name, CASE WHEN factor_name = 'return_rate' THEN value * 10 ELSE value END AS value
+FROM report WHERE report_date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'""",
+    "factor_sources_report": """
+SELECT CAST(position AS INT) AS position, n.factor_name, source, count(r.asset) AS n_rows,
+       CASE WHEN count(r.asset) > 0 THEN 'found' ELSE 'missing' END AS status
+FROM (VALUES (0, 'revenue', 'local'), (1, 'unknown', NULL), (2, 'units', 'local'), (3, 'return_rate', 'warehouse'))
+  n(position, factor_name, source)
+LEFT JOIN (SELECT * FROM report WHERE report_date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31') r
+  ON r.factor_name = n.factor_name GROUP BY 1, 2, 3""",
+    "snapshot_scan": """
+SELECT date, stock_id, open * 2 AS open, high * 2 AS high, low * 2 AS low, close * 2 AS close, volume,
+       daily_return, is_suspended, is_limit_up, is_limit_down
+FROM fact_price WHERE year(date) = 1997""",
+    "tagged_runs": """
+SELECT strftime(report_date, '%Y-%m-%d') AS date, asset AS stock_id, factor_name, value, '1995-01-01' AS run_start,
+       '2001-12-31' AS run_end, '1998-03-10' AS mv_date, CAST(top_n AS INT) AS top_n, factor_set
+FROM report CROSS JOIN (VALUES ('value', 20), ('growth', 30)) s(factor_set, top_n)
+WHERE factor_name = 'units'""",
+    "export_upsert": """
+SELECT stock_id, company_name, list_date, industry, market,
+       '["' || market || '",' || CASE WHEN industry IS NULL THEN 'null' ELSE '"' || industry || '"' END || ']' AS tags,
+       '' AS note
+FROM company""",
+    "upsert_stored": """
+SELECT date, stock_id, open, high, low, CASE WHEN date >= DATE '1998-06-01' THEN close * 2 ELSE close END AS close,
+       volume, daily_return, is_suspended, is_limit_up, is_limit_down
+FROM fact_price WHERE year(date) < 2000""",
+    "star_universe": "SELECT * FROM star_members",
+    "star_prices": "SELECT * FROM fact_price WHERE stock_id IN (SELECT stock_id FROM star_members)",
+    "star_benchmark": """
+SELECT date, ltrim(index_id, '^') AS index_id, close,
+       close / lag(close) OVER (PARTITION BY index_id ORDER BY date) - 1 AS daily_return
+FROM index_daily WHERE date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'""",
+    "star_factors": """
+SELECT g.date, g.asset AS stock_id, g.factor_name, r.value, 'default' AS factor_set
+FROM (SELECT date, asset, s.factor_name
+      FROM (SELECT DISTINCT factor_name, asset FROM report WHERE factor_name IN ('revenue', 'units')
+            AND asset IN (SELECT stock_id FROM star_members)) s
+      JOIN (SELECT factor_name, date FROM star_days, (VALUES ('revenue'), ('units')) n(factor_name)
+            UNION SELECT factor_name, report_date FROM report
+            WHERE asset IN (SELECT stock_id FROM star_members)
+              AND report_date BETWEEN (SELECT min(date) FROM star_days) AND (SELECT max(date) FROM star_days)) c
+      USING (factor_name)) g
+ASOF LEFT JOIN (SELECT * FROM report WHERE value IS NOT NULL) r
+ON g.asset = r.asset AND g.factor_name = r.factor_name AND g.date >= r.report_date""",
+    "no_factors": """
+SELECT report_date AS date, asset AS stock_id, factor_name, value FROM report WHERE factor_name = 'unknown'""",
     "factor_wide_to_long": "SELECT * FROM report",
     "factor_triple": """
 SELECT report_date AS date, asset, value FROM report
@@ -510,12 +604,19 @@ SELECT date, asset, {_average_rank('date', 'w', True)} AS weighted_rank FROM (
   JOIN report_ranks b ON a.date = b.date AND a.asset = b.asset
   WHERE a.factor_name = 'units' AND b.factor_name = 'return_rate') s""",
     "weighted_rank_combos": f"""
-SELECT combo_id, combo, date, asset, {_average_rank('combo_id, date', 'w')} AS weighted_rank FROM (
+SELECT CAST(combo_id AS BIGINT) AS combo_id, combo, date, asset,
+       {_average_rank('combo_id, date', 'w')} AS weighted_rank FROM (
   SELECT combo_id, combo, x.date, x.asset, x.rank * 0.75 + y.rank * 0.25 AS w
   FROM (VALUES (0, 'revenue_units', 'revenue', 'units'), (1, 'revenue_return_rate', 'revenue', 'return_rate'),
                (2, 'units_return_rate', 'units', 'return_rate')) c(combo_id, combo, a, b)
   JOIN report_ranks x ON x.factor_name = a
   JOIN report_ranks y ON y.factor_name = b AND y.date = x.date AND y.asset = x.asset) s""",
+    "weighted_rank_catalogue": f"""
+SELECT combo_id, combo, date, asset, {_average_rank('combo_id, date', 'w')} AS weighted_rank FROM (
+  SELECT combo_id, combo, date, asset,
+         r[a] * 0.5 + r[b] * 0.25 + r[c] * 0.125 + r[d] * 0.0625 + r[e] * 0.0625 AS w
+  FROM measure_combos CROSS JOIN (
+    SELECT date, asset, list(rank ORDER BY i) AS r FROM measure_ranks GROUP BY 1, 2) x) s""",
     "forward_returns": " UNION ALL ".join(
         f"SELECT date, asset, {k} AS period, {_r(f'fwd_{k}', 9)} AS forward_return FROM fwd" for k in (1, 5, 10)
     ),
@@ -531,9 +632,11 @@ SELECT factor_name, n_rows, n_with_returns, n_kept, {_r('1.0::DOUBLE - n_kept::D
   SELECT factor_name, count(*) AS n_rows, count(*) FILTER (complete) AS n_with_returns
   FROM f_joined GROUP BY 1) j
 JOIN (SELECT factor_name, count(*) AS n_kept FROM f_clean GROUP BY 1) c USING (factor_name)""",
-    "clean_factor_gated": """
-SELECT factor_name, count(*) AS n_rows FROM f_clean c GROUP BY 1
-HAVING 1.0 - count(*)::DOUBLE / (SELECT count(*) FROM f_joined j WHERE j.factor_name = c.factor_name) <= 0.1225""",
+    "clean_factor_gated": f"""
+SELECT factor_name, date, asset, value, t, bucket, {_r('fwd_1', 9)} AS fwd_1, {_r('fwd_5', 9)} AS fwd_5,
+       {_r('fwd_10', 9)} AS fwd_10 FROM f_clean
+WHERE factor_name IN (SELECT factor_name FROM f_clean c GROUP BY 1
+  HAVING 1.0 - count(*)::DOUBLE / (SELECT count(*) FROM f_joined j WHERE j.factor_name = c.factor_name) <= 0.1225)""",
     "quantile_stats": f"""
 SELECT factor_name, bucket, {_r('min(value)', 6)} AS min, {_r('max(value)', 6)} AS max,
        {_r('avg(value)', 6)} AS mean, {_r('stddev_samp(value)', 6)} AS std, count(*) AS count,
@@ -557,11 +660,15 @@ SELECT factor_name, date, period, {_r('factor_return', 6)} AS factor_return,
        {_r('universe_return', 6)} AS universe_return FROM f_factor_return""",
     "cumulative_return": f"""
 SELECT factor_name, period, date,
-  {_r('product(1 + universe_return / 100) OVER (PARTITION BY factor_name, period ORDER BY date) - 1', 6)} AS cumulative_return
-FROM f_factor_return WHERE period = 1""",
+  {_significant('product(1 + coalesce(factor_return, 0)) OVER (PARTITION BY factor_name, period ORDER BY date) - 1')}
+    AS cumulative_return
+FROM f_factor_return""",
     "factor_alpha_beta": f"""
-SELECT factor_name, period, {_r('regr_intercept(factor_return, universe_return)', 6)} AS alpha,
-       {_r('regr_slope(factor_return, universe_return)', 6)} AS beta FROM f_factor_return GROUP BY 1, 2""",
+SELECT factor_name, period, {_r('alpha', 6)} AS alpha, {_r('beta', 6)} AS beta,
+  {_significant('CASE WHEN alpha > -1 THEN pow(CASE WHEN alpha > -1 THEN 1 + alpha END, 252.0 / period) - 1 END')}
+    AS annual_alpha
+FROM (SELECT factor_name, period, regr_intercept(factor_return, universe_return) AS alpha,
+             regr_slope(factor_return, universe_return) AS beta FROM f_factor_return GROUP BY 1, 2) f""",
     "ic_daily": f"SELECT factor_name, date, period, {_r('ic', 8)} AS ic FROM f_ic",
     "ic_summary": f"""
 SELECT factor_name, period, n, {_r('m', 6)} AS ic_mean, {_r('s', 6)} AS ic_std,
@@ -594,13 +701,16 @@ WHERE a.t > period GROUP BY 1, 2, 3""",
         for b in _FACTORS[i:]
     ),
     "backtest_equity": f"""
-SELECT date, {_r('cash', 2)} AS cash, {_r('worth', 2)} AS position_value, {_r('equity', 2)} AS equity
-FROM portfolio_returns""",
+SELECT date, {_r('cash', 2)} AS cash, {_r('worth', 2)} AS position_value, {_r('equity', 2)} AS equity,
+       {_r('r', 6)} AS daily_return FROM portfolio_returns""",
     "pca_scores": f"""
 SELECT date, asset, {_r('(z1 + s * z2) / sqrt(2.0)', 6)} AS "PC1", {_r('(z1 - s * z2) / sqrt(2.0)', 6)} AS "PC2" FROM z""",
     "pca_components": f"SELECT date, asset, 'PC2' AS factor_name, {_r('value', 6)} AS value FROM pc_scores WHERE k = 2",
     "component_study": "SELECT * FROM p_headline",
     "factor_study": "SELECT * FROM f_headline",
+    "factor_study_default": """
+SELECT CASE factor_name WHEN 'revenue' THEN 'EBITDA' ELSE '自由現金流量' END AS factor_name, * EXCLUDE (factor_name)
+FROM f_headline WHERE factor_name IN ('revenue', 'units')""",
     "combo_study": "SELECT * FROM c_headline",
     "quarter_schedule_rank": "SELECT * FROM scheduled",
     "price_rank_merge": """
@@ -608,7 +718,7 @@ SELECT * FROM (SELECT date, asset,
   last_value(open IGNORE NULLS) OVER w AS open, last_value(high IGNORE NULLS) OVER w AS high,
   last_value(low IGNORE NULLS) OVER w AS low, last_value(close IGNORE NULLS) OVER w AS close,
   last_value(volume IGNORE NULLS) OVER w AS volume, last_value(rank IGNORE NULLS) OVER w AS rank
-  FROM monthly FULL OUTER JOIN (SELECT * FROM scheduled WHERE date < DATE '2001-01-01') s USING (date, asset)
+  FROM monthly FULL OUTER JOIN scheduled s USING (date, asset)
   WINDOW w AS (PARTITION BY asset ORDER BY date)) f WHERE open IS NOT NULL AND close IS NOT NULL""",
     "aligned_panel": "SELECT date, CAST(t AS INT) AS t, * EXCLUDE (date, t) FROM panel",
     "aligned_panel_lookahead": """
@@ -636,7 +746,8 @@ UNION ALL
 SELECT date, asset, 'short', CAST(low_place AS INT), rank FROM places WHERE low_place <= 20""",
     "holdings": "SELECT date, asset, side, size FROM sized WHERE held",
     "trade_orders": """
-SELECT date, asset, side, CASE WHEN enter THEN 'enter' ELSE 'exit' END AS action FROM moves WHERE enter OR leave""",
+SELECT date, asset, side, CASE WHEN enter THEN 'enter' ELSE 'exit' END AS action, size FROM sized
+WHERE enter OR leave""",
     "trade_ledger": """
 SELECT date, asset, side, action, quantity, price,
        0.001::DOUBLE * (abs(quantity) * price) AS commission FROM ledger""",
@@ -647,8 +758,7 @@ SELECT date, {_r('cash', 2)} AS cash, {_r('worth', 2)} AS position_value, {_r('e
     "monthly_returns": _periodic("portfolio_returns", "month", 6),
     "yearly_returns": _periodic("portfolio_returns", "year", 4),
     "drawdowns": _drawdowns("portfolio_returns"),
-    "benchmark_performance": f"""
-SELECT * EXCLUDE (total_return) FROM ({_performance("market_returns", 252, 5)}) p""",
+    "benchmark_performance": _performance("market_returns", 252, 5),
     "benchmark_monthly": _periodic("market_returns", "month", 6),
     "benchmark_drawdowns": _drawdowns("market_returns"),
 }

@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneloom.functions.defaults import COMBO_SIZE, COMPONENTS, MAX_LOSS, PERIODS, QUANTILES
+from paneloom.functions.defaults import (
+    COMBO_SIZE,
+    COMPONENTS,
+    FACTOR_CATALOGUE,
+    MAX_LOSS,
+    PERIODS,
+    QUANTILES,
+)
 from paneloom.operators import evaluate as ev
 from paneloom.operators.calendar import Calendar
 from paneloom.operators.panel import available_factors, factor_matrix
@@ -16,6 +23,8 @@ from paneloom.operators.ranking import rank_cross_section, weighted_rank_combos
 from paneloom.operators.skew import has_hot_group
 from paneloom.session import materialise
 
+EVERY_FACTOR = "*"
+
 
 def factor_report(
     factors: DataFrame,
@@ -23,18 +32,18 @@ def factor_report(
     periods: Sequence[int] = PERIODS,
     quantiles: int = QUANTILES,
     max_loss: float | None = MAX_LOSS,
-    factor_names: Sequence[str] | None = None,
+    factor_names: Sequence[str] | str = FACTOR_CATALOGUE,
     hot: bool | None = None,
 ) -> dict[str, DataFrame]:
     """All report tables by name.
 
     ``factors`` is (date, asset, factor_name, value), ``prices`` (date, asset, close). Factors
     joined with returns are checkpointed once; every table reads that and is keyed by factor.
-    Without ``factor_names`` every factor of the table is evaluated (``FACTOR_CATALOGUE`` names the
-    usual ones). Factors losing more than ``max_loss`` of their rows are reported in ``gate`` and
+    ``factor_names`` defaults to the catalogue; ``EVERY_FACTOR`` evaluates all that the table has.
+    Names without rows are absent from the tables. Factors losing more than ``max_loss`` of their rows are reported in ``gate`` and
     left out.
     """
-    if factor_names:
+    if factor_names != EVERY_FACTOR:
         factors = factors.where(F.col("factor_name").isin(*factor_names))
     if hot is None:
         hot = has_hot_group(factors, ev.CELL)
@@ -95,7 +104,7 @@ def combo_report(
         F.col("combo").alias("factor_name"),
         F.col("weighted_rank").alias("value"),
     )
-    return _strict(factor_report(combos, prices, hot=hot, **options))
+    return _strict(factor_report(combos, prices, factor_names=EVERY_FACTOR, hot=hot, **options))
 
 
 def component_report(
@@ -116,7 +125,7 @@ def component_report(
         components,
         prefix="_".join(names) + "_",
     )
-    return _strict(factor_report(chosen, prices, **options))
+    return _strict(factor_report(chosen, prices, factor_names=EVERY_FACTOR, **options))
 
 
 def _strict(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -6,12 +6,14 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom import functions as fn
 from paneloom import views as v
 from paneloom.functions import round_to
+from paneloom.functions.defaults import FACTOR_CATALOGUE
 from paneloom.operators import calendar as cal
 from paneloom.operators import evaluate as ev
 from paneloom.operators import panel as pn
@@ -19,8 +21,8 @@ from paneloom.operators import pca
 from paneloom.operators import portfolio as pf
 from paneloom.operators import ranking as rk
 from paneloom.operators import universe as un
-from paneloom.plans import backtest, reports
-from paneloom.session import materialise
+from paneloom.plans import backtest, etl, reports
+from paneloom.session import materialise, scratch_path
 from paneloom.sources import readers as rd
 from paneloom.sources import writers as wr
 
@@ -40,6 +42,14 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: round_to(c, digits) for c in columns})
 
 
+def _significant(df: DataFrame, *columns: str) -> DataFrame:
+    """Nine significant digits, for values of any size."""
+    def short(c: str):
+        return F.when(F.col(c).isNotNull(), F.format_string("%.8e", c)).cast("double") + F.lit(0.0)
+
+    return df.withColumns({c: short(c) for c in columns})
+
+
 def _raw(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("date", "datetime")
 
@@ -51,25 +61,159 @@ def clean_ohlcv(spark, sf):
     return pn.clean_ohlcv(_raw(v.ohlcv_daily(spark, sf)), unique=True)
 
 
+def _stored(spark, df: DataFrame, name: str, by=("date", "stock_id")) -> str:
+    """A clustered table of this run."""
+    path = scratch_path(spark, name)
+    wr.write_clustered(df, path, by)
+    return path
+
+
 def price_scan(spark, sf):
-    return rd.prices_between(clean_ohlcv(spark, sf), "1997-01-01", "1998-12-31")
+    """The stored price fact, by an interval that its files' statistics prune."""
+    path = _stored(spark, clean_ohlcv(spark, sf), "fact_price")
+    return rd.read_price(spark, path, "1997-01-01", "1998-12-31")
 
 
-def _factor_fact(spark, sf):
-    return v.factor_report(spark, sf).withColumnsRenamed(
-        {"report_date": "date", "asset": "stock_id"}
-    )
+def _factor_fact(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({"report_date": "date", "asset": "stock_id"})
+
+
+FACTOR_ORDER = ("factor_name", "date", "stock_id")
 
 
 def factor_scan(spark, sf):
-    return rd.factor_between(_factor_fact(spark, sf), "units", "1997-01-01", "1999-12-31")
+    path = _stored(spark, _factor_fact(v.factor_report(spark, sf)), "fact_factor", FACTOR_ORDER)
+    return rd.read_factor(spark, path, "units", "1997-01-01", "1999-12-31")
 
 
 def factor_scan_wide(spark, sf):
-    wide = v.factor_report_wide(spark, sf).withColumnsRenamed(
-        {"report_date": "date", "asset": "stock_id"}
+    path = _stored(spark, _factor_fact(v.factor_report_wide(spark, sf)), "fact_factor_wide")
+    return rd.read_factor(spark, path, "return_rate", "1997-01-01", "1999-12-31")
+
+
+def _resolved(spark, sf) -> rd.ResolvedFactors:
+    """A local snapshot with two factors, a warehouse table whose units are ten times as large, and
+    a path without a table."""
+    facts = _factor_fact(v.factor_report(spark, sf))
+    local = facts.where(F.col("factor_name").isin("revenue", "units"))
+    warehouse = facts.where(F.col("factor_name").isin("units", "return_rate")).withColumn(
+        "value", F.col("value") * 10
+    )
+    sources = {
+        "absent": scratch_path(spark, "absent"),
+        "local": _stored(spark, local, "local", FACTOR_ORDER),
+        "warehouse": _stored(spark, warehouse, "warehouse", FACTOR_ORDER),
+    }
+    names = ["revenue", "unknown", "units", "return_rate"]
+    return rd.resolve_factors(spark, sources, names, "1997-01-01", "1999-12-31")
+
+
+def factor_sources(spark, sf):
+    return _resolved(spark, sf).rows
+
+
+def factor_sources_report(spark, sf):
+    return _resolved(spark, sf).report
+
+
+def snapshot_scan(spark, sf):
+    """The newer of two stored price snapshots with the wanted tag."""
+    root = scratch_path(spark, "snapshots")
+    daily = _raw(v.ohlcv_daily(spark, sf))
+    for tag, share in (("old", 0.5), ("1995_to_2001", 1.0), ("1995_to_2001_again", 2.0)):
+        prices = daily.withColumns({c: F.col(c) * share for c in ("open", "high", "low", "close")})
+        wr.write_zone(pn.clean_ohlcv(prices, unique=True), f"{root}/fact_price_{tag}")
+    newest = rd.latest_snapshot(spark, root, "price", tag="1995_to_2001")
+    return rd.read_price(spark, newest, "1997-01-01", "1997-12-31")
+
+
+def tagged_runs(spark, sf):
+    """One table for all runs: the first replaces, later ones append, run parameters and the factor
+    set are partition columns."""
+    path = scratch_path(spark, "fact_factor_runs")
+    facts = _factor_fact(v.factor_report(spark, sf)).where("factor_name = 'units'")
+    keys = ["mv_date", "factor_set"]
+    for factor_set, top_n, write in (
+        ("stale", 10, wr.truncate_table),
+        ("value", 20, wr.truncate_table),
+        ("growth", 30, wr.append_table),
+    ):
+        run = wr.tag_run(facts, "1995-01-01", "2001-12-31", "1998-03-10", top_n, factor_set)
+        write(run, path, keys, flat=True)
+    return spark.read.parquet(path).withColumn("mv_date", F.col("mv_date").cast("string"))
+
+
+def export_upsert(spark, sf):
+    """Flat columns for a keyed load: a text column without any value becomes empty text."""
+    listed = v.company_info(spark, sf).withColumns(
+        {"tags": F.array("market", "industry"), "note": F.lit(None).cast("string")}
+    )
+    return wr.export_scalars(listed, upsert=True)
+
+
+def upsert_stored(spark, sf):
+    """Two keyed upserts into a stored table, with a failed one in between."""
+    path = scratch_path(spark, "fact_price_upserted")
+    prices = clean_ohlcv(spark, sf)
+    wr.upsert_table(prices.where("year(date) < 1999"), path)
+    broken = F.when(F.col("close") > 0, F.raise_error(F.lit("lost"))).otherwise(F.col("close"))
+    try:
+        wr.upsert_table(prices.withColumn("close", broken.cast("double")), path)
+    except PySparkException:
+        pass  # the table stays as it was
+    else:
+        raise AssertionError("the failing batch was written")
+    batch = prices.where("date >= DATE'1998-06-01' AND year(date) < 2000")
+    wr.upsert_table(batch.withColumn("close", F.col("close") * 2), path)
+    return rd.read_price(spark, path, "1995-01-01", "2001-12-31")
+
+
+STAR_DATES = ["1996-03-10", "1998-03-10"]
+
+
+def _star(spark, sf, name: str) -> DataFrame:
+    paths = etl.build_star_schema(
+        _raw(v.ohlcv_daily(spark, sf)),
+        v.company_info(spark, sf),
+        v.market_value(spark, sf),
+        scratch_path(spark, "star"),
+        "1995-01-01",
+        "2001-12-31",
+        STAR_DATES,
+        top_n=20,
+        excluded_industries=["NATION_3", "NATION_7"],
+        listed_until="1995-10-01",
+        benchmark=v.index_daily(spark, sf),
+        reports=v.factor_report(spark, sf),
+        factor_names=["revenue", "units"],
     )
-    return rd.factor_between(wide, "return_rate", "1997-01-01", "1999-12-31")
+    return spark.read.parquet(paths[name])
+
+
+def star_universe(spark, sf):
+    out = _star(spark, sf, "dim_universe")
+    return out.withColumn("mv_date", F.col("mv_date").cast("string"))
+
+
+def star_prices(spark, sf):
+    return _star(spark, sf, "fact_price").drop("year")
+
+
+def star_benchmark(spark, sf):
+    return _star(spark, sf, "fact_benchmark_daily")
+
+
+def star_factors(spark, sf):
+    return _star(spark, sf, "fact_factor").select("date", "stock_id", "factor_name", "value", "factor_set")
+
+
+def no_factors(spark, sf):
+    """An empty stock list and an unknown factor: no rows, but the layout."""
+    stocks = universe_topn(spark, sf).select("stock_id")
+    days, span = _weekdays(spark, sf), (dt.date(1997, 1, 1), dt.date(1999, 12, 31))
+    reports = v.factor_report(spark, sf)
+    nobody = cal.factor_daily(reports, ["revenue"], stocks.where("false"), days, *span)
+    return nobody.unionByName(cal.factor_daily(reports, ["unknown"], stocks, days, *span))
 
 
 def factor_wide_to_long(spark, sf):
@@ -347,6 +491,13 @@ def weighted_rank_lists(spark, sf):
     return rk.weighted_rank(frames, [0.25, 0.75], positive_corr=False)
 
 
+def weighted_rank_catalogue(spark, sf):
+    """All 792 combinations of five out of twelve factors."""
+    ranks = rk.rank_cross_section(v.measures(spark, sf), keys=("factor_name", "date"))
+    weights = [0.5, 0.25, 0.125, 0.0625, 0.0625]
+    return rk.weighted_rank_combos(ranks, v.MEASURES, 5, weights)
+
+
 def weighted_rank_combos(spark, sf):
     return rk.weighted_rank_combos(_ranks(spark, sf), FACTORS, 2, [0.75, 0.25])
 
@@ -393,9 +544,8 @@ def loss_gate(spark, sf):
 
 
 def clean_factor_gated(spark, sf):
-    aligned = _aligned(spark, sf)
-    kept = ev.clean_factor(aligned, 0.1225)
-    return kept.groupBy("factor_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    kept = ev.clean_factor(materialise(_aligned(spark, sf)), 0.1225)
+    return _rounded(kept, 9, *[ev.fwd(p) for p in PERIODS])
 
 
 def quantile_stats(spark, sf):
@@ -425,18 +575,15 @@ def factor_portfolio_return(spark, sf):
 
 
 def cumulative_return(spark, sf):
-    """Running product of the universe return, which stays above -100 %."""
-    daily = ev.factor_returns(_clean(spark, sf), PERIODS).where(F.col("period") == 1)
-    halved = daily.withColumn("universe_return", F.col("universe_return") / 100)
-    out = ev.cumulative_return(halved, "universe_return")
-    return _rounded(out, 6, "cumulative_return").select(
+    out = ev.cumulative_return(ev.factor_returns(_clean(spark, sf), PERIODS))
+    return _significant(out, "cumulative_return").select(
         "factor_name", "period", "date", "cumulative_return"
     )
 
 
 def factor_alpha_beta(spark, sf):
     fit = ev.factor_alpha_beta(ev.factor_returns(_clean(spark, sf), PERIODS))
-    return _rounded(fit.drop("annual_alpha"), 6, "alpha", "beta")
+    return _significant(_rounded(fit, 6, "alpha", "beta"), "annual_alpha")
 
 
 def ic_daily(spark, sf):
@@ -502,6 +649,15 @@ def factor_study(spark, sf):
     return _rounded(reports.report_headline(tables), 6, *HEADLINE)
 
 
+def factor_study_default(spark, sf):
+    """Without names the study takes the factors of the catalogue and leaves others out."""
+    names = dict(zip(FACTORS, ["EBITDA", FACTOR_CATALOGUE[-1]]))
+    of = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.col("factor_name"))
+    factors = v.monthly_factors(spark, sf).withColumn("factor_name", F.coalesce(of, "factor_name"))
+    tables = reports.factor_report(factors, v.ohlcv_monthly(spark, sf))
+    return _rounded(reports.report_headline(tables), 6, *HEADLINE)
+
+
 def combo_study(spark, sf):
     tables = reports.combo_report(
         v.monthly_factors(spark, sf), v.ohlcv_monthly(spark, sf), FACTORS, 2, [0.75, 0.25]
@@ -530,8 +686,9 @@ def quarter_schedule_rank(spark, sf):
 
 
 def price_rank_merge(spark, sf):
-    ranks = quarter_schedule_rank(spark, sf).where(F.col("date") < F.lit(dt.date(2001, 1, 1)))
-    return pf.merge_prices_and_ranks(v.ohlcv_monthly(spark, sf), ranks)
+    return pf.merge_prices_and_ranks(
+        v.ohlcv_monthly(spark, sf), quarter_schedule_rank(spark, sf)
+    )
 
 
 def _panel(spark, sf):
@@ -568,7 +725,7 @@ def holdings(spark, sf):
 
 
 def trade_orders(spark, sf):
-    return pf.trade_orders(_held(spark, sf)).drop("size")
+    return pf.trade_orders(_held(spark, sf))
 
 
 def trade_ledger(spark, sf):
@@ -598,7 +755,8 @@ def backtest_equity(spark, sf):
         buy_n=BUY_N,
         sell_n=SELL_N,
     )
-    return _rounded(tables["equity"], 2, "cash", "position_value", "equity").drop("daily_return")
+    equity = _rounded(tables["equity"], 2, "cash", "position_value", "equity")
+    return _rounded(equity, 6, "daily_return")
 
 
 def performance_summary(spark, sf):
@@ -628,9 +786,7 @@ def _market(spark, sf):
 
 def benchmark_performance(spark, sf):
     out = pf.performance_summary(_market(spark, sf))
-    return _rounded(out, 5, *[c for c in out.columns if c not in ("n_days", "total_return")]).drop(
-        "total_return"
-    )
+    return _rounded(out, 5, *[c for c in out.columns if c != "n_days"])
 
 
 def benchmark_monthly(spark, sf):
@@ -647,6 +803,17 @@ QUERIES: dict[str, Query] = {
         price_scan,
         factor_scan,
         factor_scan_wide,
+        factor_sources,
+        factor_sources_report,
+        snapshot_scan,
+        tagged_runs,
+        export_upsert,
+        upsert_stored,
+        star_universe,
+        star_prices,
+        star_benchmark,
+        star_factors,
+        no_factors,
         factor_wide_to_long,
         factor_triple,
         vendor_assemble,
@@ -686,6 +853,7 @@ QUERIES: dict[str, Query] = {
         weighted_rank,
         weighted_rank_lists,
         weighted_rank_combos,
+        weighted_rank_catalogue,
         forward_returns,
         quantile_buckets,
         clean_factor_rows,
@@ -708,6 +876,7 @@ QUERIES: dict[str, Query] = {
         pca_scores,
         pca_components,
         factor_study,
+        factor_study_default,
         combo_study,
         component_study,
         quarter_schedule_rank,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,18 +31,28 @@ def build_session(master: str | None = None, app_name: str = "paneloom", **conf:
     return builder.getOrCreate()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, which all executors share.
 
     Only a local master without that setting falls back to a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="paneloom-checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="paneloom-checkpoint-")
         context.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path for a table of this run, below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

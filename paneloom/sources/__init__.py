@@ -9,6 +9,7 @@ from paneloom.sources.readers import (
     read_factor,
     read_factors,
     read_price,
+    resolve_factors,
 )
 from paneloom.sources.writers import (
     append_table,
@@ -17,6 +18,7 @@ from paneloom.sources.writers import (
     tag_run,
     truncate_table,
     upsert_table,
+    write_clustered,
     write_zone,
 )
 
@@ -32,8 +34,10 @@ __all__ = [
     "read_factor",
     "read_factors",
     "read_price",
+    "resolve_factors",
     "tag_run",
     "truncate_table",
     "upsert_table",
+    "write_clustered",
     "write_zone",
 ]

@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneloom.functions.scalars import strip_type_prefix, symbol_root
-from paneloom.operators.panel import wide_to_long
+from paneloom.lookup import lookup_table
+from paneloom.operators.panel import union_all, wide_to_long
 from paneloom.schemas import FACT_PRICE, RAW_PRICE
 
 KEYS = ("date", "stock_id")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    """Whether there is anything at ``path``; its files are listed, none is read."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).schema
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def first_available(spark: SparkSession, candidates: Sequence[str | None]) -> str | None:
@@ -25,11 +34,20 @@ def first_available(spark: SparkSession, candidates: Sequence[str | None]) -> st
     return next((p for p in candidates if p and _exists(spark, p)), None)
 
 
+def _between(df: DataFrame, start: str, end: str) -> Column:
+    """A closed interval of days, comparing the stored column itself so that file statistics apply."""
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    kind = df.schema["date"].dataType
+    if isinstance(kind, T.DateType):
+        return F.col("date").between(first, last)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return (F.col("date") >= first.cast(kind)) & (F.col("date") < F.date_add(last, 1).cast(kind))
+    return F.to_date("date").between(first, last)
+
+
 def prices_between(df: DataFrame, start: str, end: str) -> DataFrame:
     """The 11 price columns on a closed date interval."""
-    return df.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select(
-        *FACT_PRICE.fieldNames()
-    )
+    return df.where(_between(df, start, end)).select(*FACT_PRICE.fieldNames())
 
 
 def read_price(spark: SparkSession, path: str, start: str, end: str, ordered: bool = False) -> DataFrame:
@@ -44,7 +62,7 @@ def factor_between(df: DataFrame, name: str, start: str, end: str) -> DataFrame:
     without one of that name the first column that is no key is taken if numeric, else the first
     numeric one.
     """
-    df = df.where(F.to_date("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    df = df.where(_between(df, start, end))
     others = [f for f in df.schema.fields if f.name not in (*KEYS, "factor_name")]
     numeric = [f.name for f in others if isinstance(f.dataType, T.NumericType)]
     if "factor_name" in df.columns:
@@ -61,14 +79,13 @@ def read_factor(spark: SparkSession, path: str, name: str, start: str, end: str)
     return factor_between(spark.read.parquet(path), name, start, end)
 
 
-def read_factors(
-    spark: SparkSession, path: str, names: Sequence[str], start: str, end: str
-) -> DataFrame:
-    """Many factors in one scan, as (date, asset, factor_name, value)."""
-    df = spark.read.parquet(path)
-    df = df.where(F.to_date("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+def factors_between(df: DataFrame, names: Sequence[str], start: str, end: str) -> DataFrame:
+    """Many factors of either table layout, as (date, asset, factor_name, value)."""
+    df = df.where(_between(df, start, end))
     if "factor_name" not in df.columns:
-        df = wide_to_long(df, KEYS, [n for n in names if n in df.columns])
+        present = [n for n in names if n in df.columns]
+        # without any of them: no rows, but the layout
+        df = wide_to_long(df, KEYS, present or [df.columns[0]]).where(F.lit(bool(present)))
     return df.where(F.col("factor_name").isin(*names)).select(
         F.to_date("date").alias("date"),
         F.col("stock_id").cast("string").alias("asset"),
@@ -77,6 +94,68 @@ def read_factors(
     )
 
 
+def read_factors(
+    spark: SparkSession, path: str, names: Sequence[str], start: str, end: str
+) -> DataFrame:
+    """Many factors in one scan, as (date, asset, factor_name, value)."""
+    return factors_between(spark.read.parquet(path), names, start, end)
+
+
+@dataclass(frozen=True)
+class ResolvedFactors:
+    """``rows``: (date, asset, factor_name, value). ``report``: one row for each requested name,
+    with the source it came from and its number of rows there, or status ``missing``."""
+
+    rows: DataFrame
+    report: DataFrame
+    missing: tuple[str, ...]
+
+
+def resolve_factors(
+    spark: SparkSession,
+    sources: Mapping[str, str | DataFrame],
+    names: Sequence[str],
+    start: str,
+    end: str,
+) -> ResolvedFactors:
+    """Each factor from the first source that has rows of it in the interval.
+
+    ``sources`` are paths or tables in order of preference, by name; a path without a table is
+    passed over. A source is only asked for the names that no earlier one had, so its scan is pruned
+    to these, and none is opened once every name is found. A name that all sources lack is reported,
+    not an error. The driver receives one count for each requested name.
+    """
+    wanted = list(dict.fromkeys(names))
+    parts: list[DataFrame] = []
+    found: dict[str, tuple[str, int]] = {}
+    for source, place in sources.items():
+        open_names = [n for n in wanted if n not in found]
+        if not open_names:
+            break
+        if isinstance(place, str):
+            if not _exists(spark, place):
+                continue
+            place = spark.read.parquet(place)
+        rows = factors_between(place, open_names, start, end)
+        counts = rows.groupBy("factor_name").agg(F.count(F.lit(1)).alias("n")).collect()
+        if not counts:
+            continue
+        found |= {r["factor_name"]: (source, r["n"]) for r in counts}
+        parts.append(rows.where(F.col("factor_name").isin(*[r["factor_name"] for r in counts])))
+    missing = tuple(n for n in wanted if n not in found)
+    lines = [
+        (i, n, *found.get(n, (None, 0)), "missing" if n in missing else "found")
+        for i, n in enumerate(wanted)
+    ]
+    report = lookup_table(
+        spark, lines, "position int, factor_name string, source string, n_rows long, status string"
+    )
+    if not parts:
+        empty = "date date, asset string, factor_name string, value double"
+        return ResolvedFactors(lookup_table(spark, [], empty), report, missing)
+    return ResolvedFactors(union_all(parts), report, missing)
+
+
 def latest_snapshot(
     spark: SparkSession, root: str, kind: str = "price", tag: str | None = None
 ) -> str | None:

@@ -107,6 +107,44 @@ def monthly_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factor_report(spark, sf_dir, "month").withColumnRenamed("report_date", "date")
 
 
+MEASURES = (
+    "revenue", "units", "return_rate", "lines", "mean_price", "mean_discount", "mean_tax",
+    "largest_line", "smallest_line", "net_revenue", "open_share", "part_spread",
+)
+
+
+def measures(spark: SparkSession, sf_dir: str, unit: str = "year") -> DataFrame:
+    """Twelve factors per supplier and period, as (date, asset, factor_name, value)."""
+    count = F.count(F.lit(1)).cast("double")
+
+    def total(c: "F.Column") -> "F.Column":
+        return F.sum(c.cast("decimal(18,4)")).cast("double")
+
+    def share(c: "F.Column") -> "F.Column":
+        return F.count(F.when(c, 1)).cast("double") / count
+
+    price, units = F.col("l_extendedprice"), F.sum("l_quantity")
+    wide = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.trunc("l_shipdate", unit).alias("date"), "l_suppkey")
+        .agg(
+            total(price).alias("revenue"),
+            F.when(units % 7 != 0, units).alias("units"),
+            share(F.col("l_returnflag") == "R").alias("return_rate"),
+            count.alias("lines"),
+            (total(price) / count).alias("mean_price"),
+            (total(F.col("l_discount")) / count).alias("mean_discount"),
+            (total(F.col("l_tax")) / count).alias("mean_tax"),
+            F.max(price).alias("largest_line"),
+            F.min(price).alias("smallest_line"),
+            total(price * (1 - F.col("l_discount"))).alias("net_revenue"),
+            share(F.col("l_linestatus") == "O").alias("open_share"),
+            (F.max("l_partkey") - F.min("l_partkey")).cast("double").alias("part_spread"),
+        )
+    )
+    return wide_to_long(wide.select("date", _asset(), *MEASURES), ["date", "asset"])
+
+
 def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
     return (

@@ -257,7 +257,8 @@ def test_factor_report_tables(study):
     assert tables["ic_summary"].count() == len(names) * 2
     for name, df in tables.items():
         assert not df.isEmpty(), name
-    lossy = factor_report(long, prices, (1, 5), max_loss=0.01)
+    lossy = factor_report(long, prices, (1, 5), max_loss=0.01, factor_names="*")
+    assert factor_report(long, prices, (1, 5))["gate"].isEmpty()  # none of them is in the catalogue
     assert {r.status for r in lossy["gate"].collect()} == {"skipped"}
     assert lossy["ic"].isEmpty()
 

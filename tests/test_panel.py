@@ -1,8 +1,12 @@
 import datetime as dt
+import random
+from itertools import combinations
+from math import comb
 
 import pytest
 from pyspark.sql import functions as F
 
+from paneloom import views
 from paneloom.operators import calendar as cal
 from paneloom.operators import panel, ranking, universe
 from paneloom.schemas import FACT_PRICE
@@ -307,13 +311,72 @@ def test_negative_direction_is_applied_twice(spark):
     assert (final["d", "A"], final["d", "B"], final["d", "C"]) == (3, 1, 2)
 
 
-def test_combos(spark):
-    assert [c[1:] for c in ranking.combo_table(["x", "y", "z"], 2)] == [
-        ("x_y", [1, 2]), ("x_z", [1, 3]), ("y_z", [2, 3])
+@pytest.mark.parametrize("n, k", [(3, 2), (2, 5), (1, 1), (7, 1), (7, 7), (9, 4), (12, 5)])
+def test_combination_numbers(spark, n, k):
+    """Unranked combinations are those of itertools, in its order."""
+    names = [f"f{i}" for i in range(n)]
+    rows = ranking.combo_table(spark, names, k).orderBy("combo_id").collect()
+    want = list(combinations(range(n), min(k, n)))
+    assert [(r.combo_id, [p - 1 for p in r.positions]) for r in rows] == [(i, list(c)) for i, c in enumerate(want)]
+    assert [r.combo for r in rows] == ["_".join(names[p] for p in c) for c in want]
+
+
+def test_combinations_far_beyond_memory(spark):
+    """The last of C(53, 5) and C(60, 30) combinations, without making the others."""
+    first, last = [
+        spark.range(1).select(ranking.combo_positions(F.lit(i), 53, 5)).first()[0]
+        for i in (0, 2_869_684)
     ]
-    assert len(ranking.combo_table(["x", "y"], 5)) == 1
+    assert first == [0, 1, 2, 3, 4] and last == [48, 49, 50, 51, 52]
+    middle = 10**17
+    p = spark.range(1).select(ranking.combo_positions(F.lit(middle), 60, 30)).first()[0]
+    assert p == sorted(set(p)) and sum(comb(59 - x, 30 - i) for i, x in enumerate(p)) == comb(60, 30) - 1 - middle
+    with pytest.raises(ValueError, match="64 bits"):
+        ranking.combo_table(spark, ["x"] * 100, 50)
+    with pytest.raises(ValueError):
+        ranking.combo_table(spark, [], 2)
+
+
+def test_combinations_of_the_catalogue(spark):
+    """Rows of a window of C(53, 5) combinations equal those computed one by one."""
+    n, k, first, stop = 53, 5, 1_234_000, 1_234_060
+    rng = random.Random(1)
+    long = spark.createDataFrame(
+        [("d", f"a{j}", f"f{i}", None if rng.random() < 0.02 else float(rng.randrange(9))) for j in range(6) for i in range(n)],
+        "date string, asset string, factor_name string, rank double",
+    )
+    values = {(r.asset, r.factor_name): r["rank"] for r in long.collect()}
+    out = ranking.weighted_rank_combos(long, [f"f{i}" for i in range(n)], k, ids=(first, stop)).collect()
+    positions = spark.range(first, stop).select("id", ranking.combo_positions(F.col("id"), n, k).alias("p"))
+    want = {}
+    for i, p in map(tuple, positions.collect()):
+        sums = {}
+        for j in range(6):
+            terms = [values[f"a{j}", f"f{x}"] for x in p]
+            if None not in terms:
+                total = 0.0
+                for t in terms:
+                    total = total + t * 0.2 if total else t * 0.2
+                sums[f"a{j}"] = total
+        for a, s in sums.items():
+            lower, equal = sum(x < s for x in sums.values()), sum(x == s for x in sums.values())
+            want[i, "_".join(f"f{x}" for x in p), a] = lower + (equal + 1) / 2
+    assert {(r.combo_id, r.combo, r.asset): r.weighted_rank for r in out} == want
+
+
+def test_combinations_are_not_shuffled_whole(spark, sf_dir):
+    """The exchange before ranking carries rows of two factors' beginnings, not combinations."""
+    ranks = ranking.rank_cross_section(views.measures(spark, sf_dir), keys=("factor_name", "date"), hot=False)
+    df = ranking.weighted_rank_combos(ranks, views.MEASURES, 5, hot=False)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    above, _, _ = plan.partition("Exchange hashpartitioning(_p0")
+    assert "Window" in above and "Exchange" not in above
+    assert df.groupBy("date", "asset").count().select("count").distinct().collect() == [(792,)]
+
+
+def test_combos(spark):
     with pytest.raises(ValueError):
-        ranking.combo_table(["x"], 0)
+        ranking.combo_table(spark, ["x"], 0)
     long = spark.createDataFrame(
         [("d", a, f, r) for a, rs in {"A": (1, 3, 1), "B": (2, 1, 2), "C": (3, 2, None)}.items()
          for f, r in zip("xyz", map(lambda v: v and float(v), rs))],

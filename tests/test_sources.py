@@ -1,7 +1,9 @@
 import datetime as dt
+import glob
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,9 +23,11 @@ from paneloom.sources import (
     read_factor,
     read_factors,
     read_price,
+    resolve_factors,
     tag_run,
     truncate_table,
     upsert_table,
+    write_clustered,
     write_zone,
 )
 
@@ -208,3 +212,80 @@ def test_catalogue_names_are_distinct():
     from paneloom.functions.defaults import FACTOR_CATALOGUE
 
     assert len(set(FACTOR_CATALOGUE)) == len(FACTOR_CATALOGUE) == 53
+
+
+def scanned_rows(df):
+    """Rows that the scan hands on after pruning by file statistics."""
+    execution = df._jdf.queryExecution()
+    df.collect()
+    leaf = execution.executedPlan().collectLeaves().head()
+    return leaf.metrics().get("numOutputRows").get().value()
+
+
+def test_clustered_files_are_pruned(spark, tmp_path, prices):
+    clustered, mixed = f"{tmp_path}/clustered", f"{tmp_path}/mixed"
+    write_clustered(prices, clustered, files=8)
+    prices.repartition(8, F.rand(1)).write.parquet(mixed)
+    span = ("1996-03-01", "1996-03-31")
+    df = read_price(spark, clustered, *span)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(date,1996-03-01)" in pushed and "LessThanOrEqual(date,1996-03-31)" in pushed
+    everything = prices.count()
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, read_price(spark, mixed, *span).collect()))
+    ranges = [
+        pq.ParquetFile(f).metadata.row_group(g).column(0).statistics
+        for f in glob.glob(f"{clustered}/*.parquet")
+        for g in range(pq.ParquetFile(f).metadata.num_row_groups)
+    ]
+    first, last = dt.date(1996, 3, 1), dt.date(1996, 3, 31)
+    assert sum(s.min <= last and s.max >= first for s in ranges) <= 2 < len(ranges)
+    assert 0 < scanned_rows(df) < everything / 2
+    assert scanned_rows(read_price(spark, mixed, *span)) > everything * 0.9
+
+
+def test_stored_timestamps_are_compared_as_stored(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.createDataFrame(
+        [(dt.datetime(2024, 1, d, 23, 30), "A", float(d)) for d in range(1, 6)], "date timestamp_ntz, stock_id string, f double"
+    ).write.parquet(path)
+    df = read_factor(spark, path, "f", "2024-01-02", "2024-01-03")
+    assert [r.f for r in df.orderBy("f").collect()] == [2.0, 3.0]
+    assert "GreaterThanOrEqual(date" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_factors_come_from_the_first_source_that_has_them(spark, tmp_path):
+    day, before = dt.date(2024, 1, 2), dt.date(2020, 1, 2)
+    kind = "date date, stock_id string, factor_name string, value double"
+    first = spark.createDataFrame([(day, "A", "f", 1.0), (day, "B", "f", None), (before, "A", "h", 7.0)], kind)
+    second = spark.createDataFrame([(day, "A", "f", -1.0), (day, "A", "g", 2.0), (day, "A", "h", 3.0)], kind)
+    write_zone(first, f"{tmp_path}/first", ["factor_name"])
+    write_zone(second, f"{tmp_path}/second", ["factor_name"])
+    wide = spark.createDataFrame([(day, "A", 4.0, 5.0)], "date date, stock_id string, g double, k double")
+    sources = {"none": f"{tmp_path}/none", "first": f"{tmp_path}/first", "second": f"{tmp_path}/second", "wide": wide}
+    span = ("2024-01-01", "2024-12-31")
+    got = resolve_factors(spark, sources, ["f", "g", "h", "k", "q", "f"], *span)
+    assert {(r.factor_name, r.asset, r.value) for r in got.rows.collect()} == {
+        ("f", "A", 1.0), ("f", "B", None), ("g", "A", 2.0), ("h", "A", 3.0), ("k", "A", 5.0)
+    }
+    assert sorted(map(tuple, got.report.collect())) == [
+        (0, "f", "first", 2, "found"), (1, "g", "second", 1, "found"), (2, "h", "second", 1, "found"),
+        (3, "k", "wide", 1, "found"), (4, "q", None, 0, "missing"),
+    ]
+    assert got.missing == ("q",)
+    # later sources are read for the names still open only, and the last isn't opened at all
+    few = resolve_factors(spark, {**sources, "broken": "no-such-scheme://x"}, ["f", "g"], *span)
+    plan = few.rows._jdf.queryExecution().executedPlan().toString()
+    assert few.missing == () and plan.count("Scan parquet") == 2
+    filters = [x.split("]")[0] for x in plan.split("PartitionFilters: ")[1:]]
+    assert "= f)" in filters[0] and "= g)" in filters[1] and "f," not in filters[1]
+    nothing = resolve_factors(spark, {"none": f"{tmp_path}/none"}, ["f"], *span)
+    assert nothing.rows.isEmpty() and nothing.missing == ("f",) and nothing.rows.columns == got.rows.columns
+
+
+def test_export_for_upsert_scans_once(spark, tmp_path):
+    spark.createDataFrame([("a", None, None, 1), (None, None, "c", 2)], "x string, y string, z string, n int").write.parquet(f"{tmp_path}/t")
+    out = export_scalars(spark.read.parquet(f"{tmp_path}/t"), upsert=True)
+    assert sorted(map(tuple, out.collect()), key=str) == [("a", "", None, 1), (None, "", "c", 2)]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedSubquery") == 2  # one run tells for all three text columns
