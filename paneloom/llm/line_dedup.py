@@ -4,13 +4,14 @@ Lines (ends trimmed) that are equal, or of at least ``MIN_CHARS`` code points an
 ``threshold`` edits, are linked; of each linked class the first line stays, by doc_id (null last),
 then position. A line is cut into threshold + 1 segments, one of which survives so few edits:
 segment hashes with the line's length form the index, and each line probes it with the substrings that
-segments of its own and slightly shorter lengths can have moved to. An edit changes the counts of frequent letters by two at
-most, so pairs whose counts are further apart never leave the join. Candidates are verified by an edit
+segments of its own and slightly shorter lengths can have moved to. A hash that only one line has is dropped by
+a mergeable aggregate before lines meet. An edit changes the counts of letters by two at most, so pairs
+whose counts are further apart never leave the join. Candidates are verified by an edit
 distance kept in the bits of one long, a band of 2 * threshold + 1 diagonals.
 
 Lines are made distinct before the join by a mergeable aggregate, so a line in a third of all
-documents is one row. Texts don't move for it: only hashes do, and the texts of candidates, which
-a bitmap of fixed size (2 MB) picks out before the exchange.
+documents is one row. Texts don't move for it: only hashes do, and the texts of lines whose hashes meet, which
+a bitmap of fixed size (2 MB) picks out before the exchange; letters are counted in these alone.
 
 Definitions: null texts count as empty; blank lines stay; repeated rows (same id and text) are one
 document and get the same result; extra columns stay. Lines end at line feeds alone.
@@ -29,7 +30,7 @@ from paneloom.session import materialise
 THRESHOLD = 2
 MIN_CHARS = 10  # two edits are at most a fifth; shorter lines are compared for equality only
 _BITS = 1 << 24
-_LETTERS = "etaonihr"  # counted modulo 16, four bits each
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"  # counted modulo 4, two bits each
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -78,24 +79,24 @@ def probes(line: Column, length: Column, threshold: int) -> list[tuple[bool, Col
     return look
 
 
-def shape(line: Column, length: Column) -> Column:
-    """One long: the line's length above the counts of ``_LETTERS`` modulo 16."""
-    packed = F.shiftleft(length.cast("long"), 32)
+def letters(line: Column) -> Column:
+    """One long: the counts of ``_LETTERS`` modulo 4."""
+    packed = F.lit(0).cast("long")
     for i, letter in enumerate(_LETTERS):
         count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        packed = packed.bitwiseOR(F.shiftleft((count % 16).cast("long"), 4 * i))
+        packed = packed.bitwiseOR(F.shiftleft((count % 4).cast("long"), 2 * i))
     return packed
 
 
 def may_be_near(a: Column, b: Column, threshold: int) -> Column:
-    """Whether letter counts of two shapes are as close as those of lines within ``threshold`` edits.
+    """Whether letter counts of two lines are as close as those of lines within ``threshold`` edits.
 
-    Counts modulo 16 are at least as close as the counts, so no such pair is left out.
+    Counts modulo 4 are at least as close as the counts, so no such pair is left out.
     """
 
     def apart(i: int) -> Column:
-        gap = (F.shiftright(a, 4 * i) - F.shiftright(b, 4 * i)).bitwiseAND(F.lit(15))
-        return F.least(gap, F.lit(16) - gap)
+        gap = (F.shiftright(a, 2 * i) - F.shiftright(b, 2 * i)).bitwiseAND(F.lit(3))
+        return F.least(gap, F.lit(4) - gap)
 
     return reduce(lambda x, y: x + y, map(apart, range(len(_LETTERS)))) <= 2 * threshold
 
@@ -208,76 +209,102 @@ def _marked(df: DataFrame, id_col: str, bitmap: DataFrame) -> DataFrame:
     )
 
 
-def near_lines(
-    docs: DataFrame,
-    threshold: int = THRESHOLD,
-    min_chars: int = MIN_CHARS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """Links between different lines: a, b (line keys), edits."""
-    if min_chars <= 2 * threshold:
-        raise ValueError("min_chars must be above twice the threshold")
-    lines = _lines(docs, id_col, text_col).select(
-        "line", "line_key", F.xxhash64("line").alias("id"), F.char_length("line").alias("length")
-    ).where(F.col("length") >= min_chars)
+def _meeting(lines: DataFrame, threshold: int) -> DataFrame:
+    """(hash, id, own): the looked-up hashes of different lines that meet one of another line's own."""
     look = probes(F.col("line"), F.col("length"), threshold)
     names = [f"h{n}" for n in range(len(look))]
-    own = [n for n, (is_own, _) in zip(names, look) if is_own]
     distinct = (
-        lines.select(
-            "line_key",
-            "id",
-            shape(F.col("line"), F.col("length")).alias("shape"),
-            *[c.alias(n) for n, (_, c) in zip(names, look)],
-        )
+        lines.select("line_key", "id", *[c.alias(n) for n, (_, c) in zip(names, look)])
         .groupBy("line_key")
-        .agg(*[F.min(c).alias(c) for c in ["id", "shape", *names]])
+        .agg(*[F.min(c).alias(c) for c in ["id", *names]])
     )
-    index = distinct.select(
-        F.explode(F.array(*own)).alias("hash"),
-        F.col("id").alias("b"),
-        F.col("shape").alias("b_shape"),
+    looked = distinct.select(
+        "id",
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.col(n).alias("hash"), F.lit(own).alias("own"))
+                    for n, (own, _) in zip(names, look)
+                ]
+            )
+        ).alias("look"),
+    ).select("id", "look.hash", "look.own").where("hash is not null")
+    shared = (
+        looked.groupBy("hash")
+        .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.max("own").alias("any_own"))
+        .where("least <> most and any_own")
+        .select("hash")
     )
-    probing = distinct.select(
-        F.explode(F.array_distinct(F.array(*names))).alias("hash"), F.col("id").alias("a"), "shape"
-    ).where("hash is not null")
-    length, b_length = F.shiftright("shape", 32), F.shiftright("b_shape", 32)
-    pairs = materialise(
-        probing.join(index, "hash")
-        .where((length > b_length) | ((length == b_length) & (F.col("a") < F.col("b"))))
-        .where(may_be_near(F.col("shape"), F.col("b_shape"), threshold))
-        .select("a", "b")
-        .distinct()
+    return materialise(
+        looked.join(shared, "hash", "left_semi")
+        .groupBy("hash", "id")
+        .agg(F.max("own").alias("own"))
+    )
+
+
+def _linked(
+    docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """Links between different lines, and all lines (doc, doc_hash, line_no, line_key)."""
+    if min_chars <= 2 * threshold:
+        raise ValueError("min_chars must be above twice the threshold")
+    lines = _lines(docs, id_col, text_col).withColumns(
+        {"id": F.xxhash64("line"), "length": F.char_length("line")}
+    )
+    meeting = _meeting(lines.where(F.col("length") >= min_chars), threshold)
+    ids = meeting.select("id").distinct()
+    marked = _marked(lines, "id", _bitmap(ids)).withColumn(
+        "line", F.when(F.col("in_bitmap") & (F.col("length") >= min_chars), F.col("line"))
     )
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    lines = materialise(marked.select("doc", "doc_hash", "line_no", "line_key", "id", "line"))
     texts = materialise(
-        _marked(lines.select("line_key", "id", "line"), "id", _bitmap(ids))
-        .where("in_bitmap")
-        .join(ids.distinct(), "id", "left_semi")
+        lines.where("line is not null")
+        .join(ids, "id", "left_semi")
         .groupBy("line_key", "id")
         .agg(F.min("line").alias("line"))
+        .withColumns({"length": F.char_length("line"), "letters": letters(F.col("line"))})
     )
-
-    def chars(line: str) -> Column:
-        return F.regexp_extract_all(line, F.lit("(?s)."), F.lit(0))
-
-    left = texts.select(
-        F.col("id").alias("a"), F.col("line_key").alias("a_key"), chars("line").alias("a_chars")
-    )
-    right = texts.select(
-        F.col("id").alias("b"), F.col("line_key").alias("b_key"), chars("line").alias("b_chars")
+    found = meeting.join(texts.select("id", "line_key", "length", "letters"), "id")
+    index = found.where("own").select(
+        "hash",
+        F.col("line_key").alias("b"),
+        F.col("length").alias("b_length"),
+        F.col("letters").alias("b_letters"),
     )
-    return materialise(
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select(
-            F.col("a_key").alias("a"),
-            F.col("b_key").alias("b"),
-            within_edits(F.col("a_chars"), F.col("b_chars"), threshold).alias("edits"),
+    pairs = materialise(
+        found.select("hash", F.col("line_key").alias("a"), "length", "letters")
+        .join(index, "hash")
+        .where(
+            F.col("length").between(F.col("b_length"), F.col("b_length") + threshold)
+            & ((F.col("length") > F.col("b_length")) | (F.col("a") < F.col("b")))
         )
+        .where(may_be_near(F.col("letters"), F.col("b_letters"), threshold))
+        .select("a", "b")
+        .distinct()
+    )
+
+    def side(name: str) -> DataFrame:
+        chars = F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))
+        return texts.select(F.col("line_key").alias(name), chars.alias(f"{name}_chars"))
+
+    links = (
+        pairs.join(side("a"), "a")
+        .join(side("b"), "b")
+        .select("a", "b", within_edits(F.col("a_chars"), F.col("b_chars"), threshold).alias("edits"))
         .where("edits is not null")
     )
+    return materialise(links), lines.drop("id", "line")
+
+
+def near_lines(
+    docs: DataFrame,
+    threshold: int = THRESHOLD,
+    min_chars: int = MIN_CHARS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Links between different lines: a, b (line keys), edits."""
+    return _linked(docs, threshold, min_chars, id_col, text_col)[0]
 
 
 def repeated_lines(
@@ -288,19 +315,11 @@ def repeated_lines(
     text_col: str = "text",
 ) -> DataFrame:
     """doc, doc_hash, dropped: for each document that loses lines, their numbers from 0, ascending."""
-    classes = components(near_lines(docs, threshold, min_chars, id_col, text_col)).select(
-        F.col("node").alias("line_key"), "component"
-    )
-    lines = _lines(docs, id_col, text_col).select("doc", "doc_hash", "line_no", "line_key")
+    links, lines = _linked(docs, threshold, min_chars, id_col, text_col)
+    classes = components(links).select(F.col("node").alias("line_key"), "component")
     place = F.struct(F.col("doc").isNull().alias("last"), "doc", "doc_hash", "line_no")
-    placed = (
-        lines.join(classes, "line_key", "left")
-        .select(
-            "doc",
-            "doc_hash",
-            "line_no",
-            F.coalesce("component", "line_key").alias("class"),
-        )
+    placed = lines.join(classes, "line_key", "left").select(
+        "doc", "doc_hash", "line_no", F.coalesce("component", "line_key").alias("class")
     )
     first = (
         placed.groupBy("class")
