@@ -39,6 +39,7 @@ TOP = 2000
 COVERED_PERCENT = 80
 LANGS = 10_000  # languages whose size the tasks know; the others are mined at local support 1
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
+KEY_SHIFT = np.uint64(16)  # keys of 48 bits: narrower rows; equal keys only add candidates
 SALTS = 64
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D.,;:!?]+"
@@ -90,16 +91,16 @@ class Shard:
         return int(self.own.sum())
 
     def phrases(self, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(words, starts, hashes) of all phrases of 1 to ``most`` words."""
+        """(words, starts, keys) of all phrases of 1 to ``most`` words."""
         starts, hashes = np.flatnonzero(self.own), self.hashes
         values = hashes[starts]
-        yield 1, starts, values
+        yield 1, starts, values >> KEY_SHIFT
         for n in range(2, most + 1):
             inside = starts + n <= len(self.ids)
             inside[inside] = self.ids[starts[inside] + n - 1] > 0
             starts, values = starts[inside], values[inside]
             values = _mixed(values * np.uint64(0xD6E8FEB86659FD93) + hashes[starts + n - 1])
-            yield n, starts, values
+            yield n, starts, values >> KEY_SHIFT
 
     def exact(self, starts: np.ndarray, n: int) -> tuple[list[bytes], np.ndarray]:
         """Different phrases at ``starts`` and their numbers, told apart by their words."""
