@@ -210,7 +210,8 @@ def _marked(df: DataFrame, id_col: str, bitmap: DataFrame) -> DataFrame:
 
 
 def _meeting(lines: DataFrame, threshold: int) -> DataFrame:
-    """(hash, id, own): the looked-up hashes of different lines that meet one of another line's own."""
+    """(hash, id, own): the looked-up hashes that occur twice, once as a line's own. A line that has
+    such a hash twice by itself is among them, and meets nothing later."""
     look = probes(F.col("line"), F.col("length"), threshold)
     names = [f"h{n}" for n in range(len(look))]
     distinct = (
@@ -229,10 +230,11 @@ def _meeting(lines: DataFrame, threshold: int) -> DataFrame:
             )
         ).alias("look"),
     ).select("id", "look.hash", "look.own").where("hash is not null")
+    # id is counted, so that both readers need the same columns and share the exchange of ``distinct``
     shared = (
         looked.groupBy("hash")
-        .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.max("own").alias("any_own"))
-        .where("least <> most and any_own")
+        .agg(F.count("id").alias("times"), F.max("own").alias("any_own"))
+        .where("times > 1 and any_own")
         .select("hash")
     )
     return materialise(
