@@ -231,14 +231,21 @@ def _meeting(lines: DataFrame, threshold: int) -> DataFrame:
         ).alias("look"),
     ).select("id", "look.hash", "look.own").where("hash is not null")
     # id is counted, so that both readers need the same columns and share the exchange of ``distinct``
-    shared = (
-        looked.groupBy("hash")
-        .agg(F.count("id").alias("times"), F.max("own").alias("any_own"))
-        .where("times > 1 and any_own")
-        .select("hash")
+    def shared(rows: DataFrame) -> DataFrame:
+        return (
+            rows.groupBy("hash")
+            .agg(F.count("id").alias("times"), F.max("own").alias("any_own"))
+            .where("times > 1 and any_own")
+            .select("hash")
+        )
+
+    # a bitmap of fixed size keeps nearly all rows out of a second exchange; the rest is told exactly
+    bitmap = _bitmap(shared(looked).select(F.col("hash").alias("id")))
+    likely = materialise(
+        _marked(looked, "hash", bitmap).where("in_bitmap").select("hash", "id", "own")
     )
     return materialise(
-        looked.join(shared, "hash", "left_semi")
+        likely.join(shared(likely), "hash", "left_semi")
         .groupBy("hash", "id")
         .agg(F.max("own").alias("own"))
     )
