@@ -17,7 +17,7 @@ from paneloom.functions.defaults import MAX_LOSS, PERIODS, QUANTILES
 from paneloom.functions.scalars import no_nan
 from paneloom.operators.calendar import Calendar
 from paneloom.operators.ranking import rank_cross_section
-from paneloom.operators.skew import cross_section, has_hot_group, with_group_aggregates
+from paneloom.operators.skew import cross_section, rank_columns, with_group_aggregates
 
 CELL = ["factor_name", "date"]
 
@@ -68,8 +68,6 @@ def quantile_buckets(
     quantiles: int = QUANTILES,
     value: str = "value",
     keys: Sequence[str] = CELL,
-    hot: bool | None = None,
-    limit: int | None = None,
 ) -> DataFrame:
     """Bucket 1..quantiles of each value inside its group, by linearly interpolated edges.
 
@@ -90,7 +88,7 @@ def quantile_buckets(
             ],
         )
 
-    placed = cross_section(df, keys, value, group_flag=spans_two_edges, hot=hot, limit=limit)
+    placed = cross_section(df, keys, value, group_flag=spans_two_edges)
     above = [
         (F.col("_before") > F.floor(edge(F.col("_n"), j))).cast("int") for j in range(1, quantiles)
     ]
@@ -106,7 +104,6 @@ def align_factor(
     periods: Sequence[int] = PERIODS,
     quantiles: int = QUANTILES,
     calendar: Calendar | None = None,
-    hot: bool | None = None,
 ) -> DataFrame:
     """Factor rows with forward returns and bucket.
 
@@ -115,8 +112,6 @@ def align_factor(
     known = factors.select("factor_name", "date", "asset", no_nan("value").alias("value")).where(
         F.col("value").isNotNull()
     )
-    if hot is None:
-        hot = has_hot_group(known, CELL)
     joined = known.join(
         forward_returns(prices, periods, calendar), ["date", "asset"], "left"
     )
@@ -124,7 +119,7 @@ def align_factor(
     joined = joined.withColumn("complete", complete).withColumn(
         "_usable", F.when(F.col("complete"), F.col("value"))
     )
-    return quantile_buckets(joined, quantiles, "_usable", CELL, hot=hot).drop("_usable")
+    return quantile_buckets(joined, quantiles, "_usable", CELL).drop("_usable")
 
 
 def loss_gate(aligned: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
@@ -236,14 +231,12 @@ def quantile_spread(moments: DataFrame, quantiles: int = QUANTILES) -> DataFrame
     )
 
 
-def factor_returns(
-    clean: DataFrame, periods: Sequence[int] = PERIODS, hot: bool | None = None
-) -> DataFrame:
+def factor_returns(clean: DataFrame, periods: Sequence[int] = PERIODS) -> DataFrame:
     """Per date: return of the factor-weighted portfolio and of the equal-weighted universe.
 
     Weights are the demeaned factor values scaled to gross exposure 1.
     """
-    centred = with_group_aggregates(clean, CELL, {"_mean": F.avg("value")}, hot=hot).withColumn(
+    centred = with_group_aggregates(clean, CELL, {"_mean": F.avg("value")}).withColumn(
         "_w", F.col("value") - F.col("_mean")
     )
     gross = F.sum(F.abs("_w"))
@@ -287,15 +280,13 @@ def factor_alpha_beta(returns: DataFrame, periods_per_year: int = 252) -> DataFr
     return fit.withColumn("annual_alpha", F.when(growth > 0, yearly))
 
 
-def ic_daily(
-    clean: DataFrame, periods: Sequence[int] = PERIODS, hot: bool | None = None
-) -> DataFrame:
+def ic_daily(clean: DataFrame, periods: Sequence[int] = PERIODS) -> DataFrame:
     """Spearman correlation of factor and forward return per factor, date and period."""
-    if hot is None:
-        hot = has_hot_group(clean, CELL)
-    ranked = rank_cross_section(clean, True, "value", "_rv", CELL, hot=hot)
-    for p in periods:
-        ranked = rank_cross_section(ranked, True, fwd(p), f"_r{p}", CELL, hot=hot)
+    ranked = rank_columns(
+        clean.select(*CELL, "value", *map(fwd, periods)),
+        CELL,
+        {"_rv": "value", **{f"_r{p}": fwd(p) for p in periods}},
+    )
     daily = ranked.groupBy(*CELL).agg(*[F.corr("_rv", f"_r{p}").alias(f"_ic{p}") for p in periods])
     return _per_period(daily, CELL, periods, {"ic": lambda p: f"_ic{p}"})
 
@@ -340,12 +331,10 @@ def bucket_turnover(clean: DataFrame, periods: Sequence[int] = PERIODS) -> DataF
     return rows.where(F.col("t") > F.col("period")).drop("t")
 
 
-def rank_autocorrelation(
-    clean: DataFrame, periods: Sequence[int] = PERIODS, hot: bool | None = None
-) -> DataFrame:
+def rank_autocorrelation(clean: DataFrame, periods: Sequence[int] = PERIODS) -> DataFrame:
     """Correlation of factor ranks with the ranks ``period`` trading days earlier."""
     ranked = rank_cross_section(
-        clean.select(*CELL, "asset", "t", "value"), True, "value", "_rank", CELL, hot=hot
+        clean.select(*CELL, "asset", "t", "value"), True, "value", "_rank", CELL
     )
     ranked = ranked.withColumns({f"_r{p}": _periods_earlier("_rank", p) for p in periods})
     daily = ranked.groupBy(*CELL, "t").agg(

@@ -1,16 +1,19 @@
 """Principal components of a factor matrix.
 
-Means, deviations and all pairwise covariances come out of one aggregate on the executors; the
-driver receives those k(k+1)/2 + 2k numbers, solves the k x k eigenproblem and the scores are plain
-column expressions again.
+Each task reduces its rows to their count, means and k x k centred moments, which are merged row by
+row of that matrix in two steps; the driver receives the k rows, solves the k x k eigenproblem and
+the scores are plain column expressions again. The plan has the same size for any number of factors.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,40 +49,96 @@ class Moments:
         return np.where(deviation <= tiny, 1.0, deviation)
 
 
-def _moment_aggregates(columns: Sequence[str]) -> tuple[list[Column], list[tuple[int, int]]]:
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    return [
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs],
-    ], pairs
+#: Task results that one merging group of the first step takes.
+MERGED_AT_ONCE = 256
+PARTIAL = "i int, part int, n bigint, means array<double>, moments array<double>"
+
+
+def _merge(a: tuple, b: tuple) -> tuple:
+    """Count, means and centred moments of two sets of rows together (pairwise update)."""
+    n = a[0] + b[0]
+    delta = b[1] - a[1]
+    cross = np.multiply.outer(b[2] - a[2], delta) * (a[0] * b[0] / n)
+    return n, a[1] + delta * (b[0] / n), a[2] + (b[2] - a[2]) * (b[0] / n), a[3] + b[3] + cross
+
+
+def _partial_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per matrix row of a task's own moments."""
+    whole = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        means = x.mean(axis=0)
+        x = x - means
+        here = (len(x), means, means, x.T @ x)
+        whole = here if whole is None else _merge(whole, here)
+    if whole is None:
+        return
+    n, means, _, moments = whole
+    k, part = len(means), TaskContext.get().partitionId()
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(range(k), pa.int32()),
+            pa.array([part] * k, pa.int32()),
+            pa.array([n] * k, pa.int64()),
+            pa.array([means] * k, pa.list_(pa.float64())),
+            pa.array(list(moments), pa.list_(pa.float64())),
+        ],
+        ["i", "part", "n", "means", "moments"],
+    )
+
+
+def _merged_rows(rows: pd.DataFrame) -> pd.DataFrame:
+    """The partial results of one matrix row, in the order of their parts, as one."""
+    rows = rows.sort_values("part")
+    i, part = int(rows["i"].iloc[0]), int(rows["part"].iloc[0])
+    whole = None
+    for n, means, moments in zip(rows["n"], rows["means"], rows["moments"]):
+        means = np.asarray(means)
+        here = (n, means, means[i], np.asarray(moments))
+        whole = here if whole is None else _merge(whole, here)
+    n, means, _, moments = whole
+    return pd.DataFrame([(i, part, n, means, moments)], columns=list(rows.columns))
+
+
+def _moment_rows(matrix: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(i, n, means, moments), one row per factor; rows with a missing value take no part."""
+    values = matrix.select(*[F.col(f"`{n}`").cast("double").alias(f"c{i}") for i, n in enumerate(names)])
+    partial = values.na.drop().mapInArrow(_partial_moments, PARTIAL)
+    block = F.floor(F.col("part") / F.lit(MERGED_AT_ONCE))
+    return (
+        partial.groupBy("i", block)
+        .applyInPandas(_merged_rows, PARTIAL)
+        .groupBy("i")
+        .applyInPandas(_merged_rows, PARTIAL)
+        .drop("part")
+    )
 
 
 def matrix_moments(matrix: DataFrame, names: Sequence[str]) -> Moments:
-    """Count, means and covariances of the complete matrix, from one aggregation."""
-    aggregates, pairs = _moment_aggregates([f"`{n}`" for n in names])
-    row = matrix.agg(*aggregates).first()
-    if not row["n"]:
+    """Count, means and covariances of the complete rows of a matrix."""
+    rows = sorted(_moment_rows(matrix, names).collect())  # one per factor
+    if not rows:
         raise ValueError("no complete factor rows")
-    covariance = np.zeros((len(names), len(names)))
-    for i, j in pairs:
-        covariance[i, j] = covariance[j, i] = row[f"c{i}_{j}"]
-    means = np.array([row[f"m{i}"] for i in range(len(names))])
-    return Moments(tuple(names), row["n"], means, covariance)
+    n = rows[0]["n"]
+    moments = np.array([r["moments"] for r in rows])
+    return Moments(tuple(names), n, np.array(rows[0]["means"]), (moments + moments.T) / (2 * n))
 
 
 def covariance_table(matrix: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The same covariances as rows (factor_a, factor_b, covariance)."""
-    aggregates, pairs = _moment_aggregates([f"`{n}`" for n in names])
-    rows = [
-        F.struct(
-            F.lit(names[i]).alias("factor_a"),
-            F.lit(names[j]).alias("factor_b"),
-            F.col(f"c{i}_{j}").alias("covariance"),
-        )
-        for i, j in pairs
-    ]
-    return matrix.agg(*aggregates).select(F.inline(F.array(*rows)))
+    """The same covariances as rows (factor_a, factor_b, covariance), each pair once; NULL over no rows."""
+    label = F.array(*[F.lit(n) for n in names])
+    found = _moment_rows(matrix, names).select("i", "n", F.posexplode("moments").alias("j", "moment"))
+    pairs = matrix.sparkSession.range(len(names)).select(
+        F.col("id").cast("int").alias("i"),
+        F.explode(F.sequence(F.col("id").cast("int"), F.lit(len(names) - 1))).alias("j"),
+    )
+    return pairs.join(found, ["i", "j"], "left").select(
+        F.element_at(label, F.col("i") + 1).alias("factor_a"),
+        F.element_at(label, F.col("j") + 1).alias("factor_b"),
+        (F.col("moment") / F.col("n")).alias("covariance"),
+    )
 
 
 def _z(means: Sequence[float], scales: Sequence[float], names: Sequence[str]) -> list[Column]:

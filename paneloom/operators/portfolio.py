@@ -27,7 +27,8 @@ from paneloom.lookup import lookup_table
 from paneloom.operators.calendar import Calendar, carry_forward
 from paneloom.operators.panel import forward_fill
 from paneloom.operators.ranking import _sum_left_to_right, rank_cross_section
-from paneloom.operators.skew import first_k, has_hot_group
+from paneloom.operators.skew import first_k
+from paneloom.session import materialise
 
 OHLCV = ("open", "high", "low", "close", "volume")
 
@@ -67,19 +68,15 @@ def factors_used(schedule: Sequence[tuple[str, int, str, float]]) -> list[str]:
     return list(dict.fromkeys(name for _, _, name, _ in schedule))
 
 
-def fill_and_rank(
-    factors: DataFrame, positive_corr: bool = True, hot: bool | None = None
-) -> DataFrame:
+def fill_and_rank(factors: DataFrame, positive_corr: bool = True) -> DataFrame:
     """Carry each asset's factor forward, drop what is still missing, rank per factor and date."""
     factors = factors.withColumn("value", no_nan("value"))
-    if hot is None:
-        hot = has_hot_group(factors, ["factor_name", "date"])
     filled = forward_fill(factors, ["value"], ["factor_name", "asset"]).where(
         F.col("value").isNotNull()
     )
-    return rank_cross_section(
-        filled, positive_corr, keys=("factor_name", "date"), hot=hot
-    ).select("date", "asset", "factor_name", "rank")
+    return rank_cross_section(filled, positive_corr, keys=("factor_name", "date")).select(
+        "date", "asset", "factor_name", "rank"
+    )
 
 
 def scheduled_rank(
@@ -87,7 +84,6 @@ def scheduled_rank(
     schedule: Sequence[tuple[str, int, str, float]],
     positive_corr: bool = True,
     final_ascending: bool = False,
-    hot: bool | None = None,
 ) -> DataFrame:
     """Weighted rank per date under the factors and weights of the date's disclosure quarter.
 
@@ -96,8 +92,6 @@ def scheduled_rank(
     ``positive_corr`` applies to the combined rank too, as callers expect, which undoes a negative
     direction; ``final_ascending`` ranks the combination low-to-high instead.
     """
-    if hot is None:
-        hot = has_hot_group(ranks, ["factor_name", "date"])
     table = lookup_table(
         ranks.sparkSession,
         list(schedule),
@@ -107,24 +101,28 @@ def scheduled_rank(
     planned = ranks.withColumn("quarter", disclosure_quarter("date")).join(
         F.broadcast(table), ["quarter", "factor_name"]
     )
-    wide = planned.groupBy("quarter", "date", "asset").agg(
-        *[
-            F.max(F.when(F.col("_pos") == i, F.col("rank") * F.col("_weight"))).alias(f"_t{i}")
-            for i in range(width)
-        ]
+    # read twice below, so filling and ranking run once
+    wide = materialise(
+        planned.groupBy("quarter", "date", "asset").agg(
+            *[
+                F.max(F.when(F.col("_pos") == i, F.col("rank") * F.col("_weight"))).alias(f"_t{i}")
+                for i in range(width)
+            ]
+        )
     )
     terms = [F.col(f"_t{i}") for i in range(width)]
     present = _sum_left_to_right([t.isNotNull().cast("int") for t in terms])
+    anywhere = [F.max(t.isNotNull().cast("int")) for t in terms]
     total = _sum_left_to_right([F.coalesce(t, F.lit(0.0)) for t in terms])
     # one row per quarter of the schedule: how many of its factors have any data
-    expected = planned.groupBy("quarter").agg(F.count_distinct("_pos").alias("_expected"))
+    expected = wide.groupBy("quarter").agg(_sum_left_to_right(anywhere).alias("_expected"))
     summed = (
         wide.join(F.broadcast(expected), "quarter")
         .where(present == F.col("_expected"))
         .select("date", "asset", total.alias("_weighted"))
     )
     return rank_cross_section(
-        summed, positive_corr or final_ascending, "_weighted", "rank", hot=hot
+        summed, positive_corr or final_ascending, "_weighted", "rank"
     ).drop("_weighted")
 
 

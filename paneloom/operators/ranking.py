@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from math import comb
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paneloom.operators.panel import union_all
-from paneloom.operators.skew import cross_section, has_hot_group
+from paneloom.operators.skew import average_rank, cross_section
 
 
 def rank_cross_section(
@@ -19,16 +19,13 @@ def rank_cross_section(
     rank_column: str = "value",
     rank_result_column: str = "rank",
     keys: Sequence[str] = ("date",),
-    hot: bool | None = None,
-    limit: int | None = None,
 ) -> DataFrame:
     """Rank every group; equal values share their average rank, a missing value gets rank 0.
 
     ``positive_corr`` ranks small values low (1), otherwise large values low.
     """
-    placed = cross_section(df, keys, rank_column, not positive_corr, hot=hot, limit=limit)
-    average = F.col("_before") + (F.col("_ties") + 1) / F.lit(2.0)
-    rank = F.coalesce(average, F.lit(0.0))
+    placed = cross_section(df, keys, rank_column, not positive_corr)
+    rank = F.coalesce(average_rank(), F.lit(0.0))
     return placed.withColumn(rank_result_column, rank).drop("_before", "_ties", "_n")
 
 
@@ -49,7 +46,6 @@ def weighted_rank(
     rank_column: str = "rank",
     date: str = "date",
     asset: str = "asset",
-    hot: bool | None = None,
 ) -> DataFrame:
     """Weighted sum of ranks per (date, asset), ranked again per date.
 
@@ -62,7 +58,7 @@ def weighted_rank(
         for i, (df, w) in enumerate(zip(ranked, weights))
     ]
     tall = union_all(parts)
-    return _rank_sums(tall, len(parts), [date], asset, positive_corr, hot)
+    return _rank_sums(tall, len(parts), [date], asset, positive_corr)
 
 
 def weighted_rank_of(
@@ -70,7 +66,6 @@ def weighted_rank_of(
     factors: Sequence[str],
     weights: Sequence[float],
     positive_corr: bool = True,
-    hot: bool | None = None,
 ) -> DataFrame:
     """:func:`weighted_rank` over a long (date, asset, factor_name, rank) table: one scan."""
     _check_weights(len(factors), weights)
@@ -79,12 +74,10 @@ def weighted_rank_of(
     tall = ranks.where(F.col("factor_name").isin(*factors)).select(
         "date", "asset", (F.col("rank") * weight).alias("_term"), (position - 1).alias("_pos")
     )
-    return _rank_sums(tall, len(factors), ["date"], "asset", positive_corr, hot)
+    return _rank_sums(tall, len(factors), ["date"], "asset", positive_corr)
 
 
-def _rank_sums(tall, k, keys, asset, positive_corr, hot):
-    if hot is None:
-        hot = has_hot_group(tall, [*keys, "_pos"])
+def _rank_sums(tall, k, keys, asset, positive_corr):
     wide = tall.groupBy(*keys, asset).agg(
         *[F.max(F.when(F.col("_pos") == i, F.col("_term"))).alias(f"_t{i}") for i in range(k)]
     )
@@ -93,7 +86,7 @@ def _rank_sums(tall, k, keys, asset, positive_corr, hot):
         F.col("_weighted").isNotNull()
     )
     ranked = rank_cross_section(
-        summed, positive_corr, "_weighted", "weighted_rank", keys, hot=hot
+        summed, positive_corr, "_weighted", "weighted_rank", keys
     )
     return ranked.drop("_weighted")
 
@@ -156,7 +149,6 @@ def weighted_rank_combos(
     combo_size: int,
     weights: Sequence[float] | None = None,
     positive_corr: bool = True,
-    hot: bool | None = None,
     ids: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Weighted rank of every combination of ``combo_size`` factors, all in one job.
@@ -164,8 +156,8 @@ def weighted_rank_combos(
     Ranks become one array per (date, asset) first. Combinations then grow by one factor at a time,
     so those with equal beginnings share their partial sum, and one that misses a rank is given up
     where it does. After the first two factors the rows are dealt by these and the date: all that a
-    combination ranks on a date is together from then on, and no complete combination is ever
-    shuffled. No list of combinations exists anywhere; a row's arrays have as many entries as there
+    combination ranks on a date is together from then on, ranked by a window (one date's assets under
+    one combination), and no complete combination is ever shuffled. No list of combinations exists anywhere; a row's arrays have as many entries as there
     are factors. ``combo_id`` is the place in input order, computed from the positions.
 
     Weights are by position inside the combination; none or a wrong number means equal weights.
@@ -173,9 +165,6 @@ def weighted_rank_combos(
     """
     n = len(factors)
     size = _check_combinations(n, combo_size)
-    if hot is None:
-        # a (combination, date) group is never larger than its factors' groups
-        hot = has_hot_group(ranks, ["factor_name", "date"])
     if weights is None or len(weights) != size:
         weights = [1.0 / size] * size
     rows = (
@@ -212,9 +201,10 @@ def weighted_rank_combos(
     summed = rows.select(
         "date", "asset", *positions, F.col("_last").alias("combo_id"), F.col("_sum").alias("_weighted")
     )
-    ranked = rank_cross_section(
-        summed, positive_corr, "_weighted", "weighted_rank", (*block, "date", "combo_id"), hot=hot
-    )
+    order = F.col("_weighted").asc() if positive_corr else F.col("_weighted").desc()
+    group = Window.partitionBy(*block, "date", "combo_id").orderBy(order)
+    ties = F.count(F.lit(1)).over(group.rangeBetween(Window.currentRow, Window.currentRow))
+    ranked = summed.withColumn("weighted_rank", F.rank().over(group) + (ties - 1) / F.lit(2.0))
     names = F.array(*[F.lit(f) for f in factors])
     label = F.concat_ws("_", *[F.element_at(names, F.col(p) + 1) for p in positions])
     return ranked.select("combo_id", label.alias("combo"), "date", "asset", "weighted_rank")

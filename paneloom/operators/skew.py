@@ -1,19 +1,13 @@
 """Cross-sections of any size.
 
-Ranks, buckets and per-date averages need all rows of one group (a date, or a factor on a date).
-Two plans give identical results:
-
-* plain   one exchange on the group key and window functions;
-* split   used when a group is larger than ``HOT_GROUP_ROWS``: the group is cut into value
-          ranges, equal values are counted before the shuffle, positions come from range totals,
-          and the join back to the rows is salted by the measured size of each key.
-
-Which one runs is decided by size: an input of a few hundred MB cannot hold a large group and is
-not measured; anything bigger costs one column-pruned count job. Callers that already know pass
-``hot`` themselves.
-
-Series keyed by asset need neither: once (series, date) is unique, a series has at most one row per
-calendar day.
+Ranks, buckets and per-date averages need all rows of one group (a date, or a factor on a date), and
+one group may hold a third of all rows. One plan serves every size: equal values are counted before
+the shuffle, each group is cut into value ranges that are ordered on their own, positions come from
+range totals, and they return to the rows by a join on (group, value). No task ever needs a whole
+group; a value that many rows share is one row until that join, where adaptive execution splits it.
+
+Series keyed by asset need none of this: once (series, date) is unique, a series has at most one row
+per calendar day.
 """
 
 from __future__ import annotations
@@ -28,26 +22,9 @@ from pyspark.sql import functions as F
 from paneloom.functions.scalars import missing_as_null
 from paneloom.session import materialise
 
-HOT_GROUP_ROWS = 5_000_000
-SMALL_INPUT_BYTES = 256 << 20
 RANGES_PER_OCTAVE = 1024
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of all tables below the plan, from file statistics alone: no job, no optimization."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
-def has_hot_group(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    if input_bytes(df) <= SMALL_INPUT_BYTES:
-        return False
-    return largest_group(df, keys) > (limit or HOT_GROUP_ROWS)
+#: Parts a group is dealt to before the final choice of a long top list.
+TOP_PARTS = 64
 
 
 def value_range(v: Column, per_octave: int = RANGES_PER_OCTAVE) -> Column:
@@ -74,159 +51,113 @@ def value_range(v: Column, per_octave: int = RANGES_PER_OCTAVE) -> Column:
     )
 
 
-def salted_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    weight: str,
-    limit: int | None = None,
-    sizes: DataFrame | None = None,
-    unmatched: Column | None = None,
+def null_safe_join(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], value: str | None = None
 ) -> DataFrame:
-    """Left join ``rows`` to a ``lookup`` that is unique on ``on`` and knows, in ``weight``, how
-    many rows each key has.
-
-    Keys above ``limit`` are spread over ceil(weight / limit) salts and only their lookup row is
-    repeated. The list of such keys has at most rows/limit entries, so it is broadcast; it is read
-    from ``sizes`` when that holds the same weights more cheaply than ``lookup``. NULL keys are keys
-    like others; rows that are ``unmatched`` have no lookup row and are spread freely.
-    """
-    limit = limit or HOT_GROUP_ROWS
+    """Left join in which a NULL key meets a NULL key, as in grouping; a NULL ``value`` meets none."""
     on = list(on)
-    salts = F.ceil(F.col(weight) / F.lit(float(limit))).cast("int")
-    sizes = lookup if sizes is None else sizes
-    hot = sizes.where(F.col(weight) > limit).select(*on, salts.alias("_salts"))
-    alone = F.lit(1) if unmatched is None else F.when(unmatched, F.lit(1024)).otherwise(F.lit(1))
-    spread = F.coalesce(F.col("_salts"), alone)
-    salted = (
-        _null_safe(rows.withColumn("_h", F.xxhash64(*rows.columns)), hot, on, True)
-        .withColumn("_salt", F.pmod(F.col("_h"), spread).cast("int"))
-        .drop("_h", "_salts")
-    )
-    repeated = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1))
-    )
-    return _null_safe(salted, repeated, [*on, "_salt"]).drop("_salt")
-
-
-def _null_safe(
-    rows: DataFrame, lookup: DataFrame, on: Sequence[str], small: bool = False
-) -> DataFrame:
-    """Left join in which a NULL key meets a NULL key, as in grouping."""
-    names = {c: f"_of_{c}" for c in on}
+    names = {c: f"_of_{c}" for c in (on if value is None else [*on, value])}
     other = lookup.withColumnsRenamed(names)
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
-    return rows.join(F.broadcast(other) if small else other, same, "left").drop(*names.values())
+    same = [F.col(c).eqNullSafe(F.col(names[c])) for c in on]
+    if value is not None:
+        same.append(F.col(value) == F.col(names[value]))
+    return rows.join(other, reduce(and_, same), "left").drop(*names.values())
 
 
-def cross_section(
-    df: DataFrame,
+def positions(
+    base: DataFrame,
     keys: Sequence[str],
     value: str,
     descending: bool = False,
     group_flag: Callable[[Column, Column, Column], Column] | None = None,
-    hot: bool | None = None,
-    limit: int | None = None,
 ) -> DataFrame:
-    """Add the position of each value inside its group.
+    """One row per group and different value: ``_before``, ``_ties``, ``_n`` (and ``_flag``).
 
-    ``_before`` rows with a strictly smaller (descending: larger) value, ``_ties`` rows with the
-    same value, ``_n`` rows with a value. All NULL-valued rows keep NULL ``_before``. With
-    ``group_flag(before, ties, n)`` a boolean ``_flag`` tells whether it holds for any row of the
-    group.
+    Totals of the value ranges give the rows before a range, a window inside the range the rest. A
+    group has at most 2 x ``RANGES_PER_OCTAVE`` ranges per power of two that its values span.
     """
     keys = list(keys)
-    if hot is None:
-        hot = has_hot_group(df, keys, limit)
-    df = df.withColumn("_v", missing_as_null(F.col(value).cast("double")))
-    plan = _split if hot else _plain
-    return plan(df, keys, descending, group_flag, limit).drop("_v")
-
-
-def _plain(df, keys, descending, group_flag, limit):
-    order = F.col("_v").desc_nulls_last() if descending else F.col("_v").asc_nulls_last()
-    ordered = Window.partitionBy(*keys).orderBy(order)
-    peers = ordered.rangeBetween(Window.currentRow, Window.currentRow)
-    present = F.col("_v").isNotNull()
-    out = df.withColumns(
-        {
-            "_before": F.when(present, F.rank().over(ordered) - 1).cast("bigint"),
-            "_ties": F.count("_v").over(peers),
-            "_n": F.count("_v").over(Window.partitionBy(*keys)),
-        }
-    )
-    if group_flag is None:
-        return out
-    flag = present & group_flag(F.col("_before"), F.col("_ties"), F.col("_n"))
-    return out.withColumn(
-        "_flag", F.coalesce(F.max(flag).over(Window.partitionBy(*keys)), F.lit(False))
-    )
-
-
-def _split(df, keys, descending, group_flag, limit):
-    base = materialise(df)
-    band = value_range(F.col("_v"))
-    # read three times below: for range totals, for positions and for the list of large keys
-    distinct = materialise(
-        base.where(F.col("_v").isNotNull())
-        .groupBy(*keys, "_v")
+    band = value_range(F.col(value))
+    distinct = (
+        base.where(F.col(value).isNotNull())
+        .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_ties"))
         .withColumn("_band", -band if descending else band)
     )
-    bands = distinct.groupBy(*keys, "_band").agg(F.sum("_ties").alias("_band_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_band").rowsBetween(
-        Window.unboundedPreceding, -1
+    up_to_here = Window.unboundedPreceding, -1
+    ranges = Window.partitionBy(*keys).orderBy("_band").rowsBetween(*up_to_here)
+    below = (
+        distinct.groupBy(*keys, "_band")
+        .agg(F.sum("_ties").alias("_band_n"))
+        .select(
+            *keys,
+            "_band",
+            F.coalesce(F.sum("_band_n").over(ranges), F.lit(0)).alias("_below"),
+            F.sum("_band_n").over(Window.partitionBy(*keys)).alias("_n"),
+        )
     )
-    bands = bands.select(
-        *keys,
-        "_band",
-        F.coalesce(F.sum("_band_n").over(earlier), F.lit(0)).alias("_below"),
-        F.sum("_band_n").over(Window.partitionBy(*keys)).alias("_n"),
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    inside = Window.partitionBy(*keys, "_band").orderBy(order).rowsBetween(*up_to_here)
+    ordered = distinct.withColumn("_inside", F.coalesce(F.sum("_ties").over(inside), F.lit(0)))
+    placed = null_safe_join(ordered, below, [*keys, "_band"]).select(
+        *keys, value, (F.col("_below") + F.col("_inside")).alias("_before"), "_ties", "_n"
     )
-    order = F.col("_v").desc() if descending else F.col("_v").asc()
-    inside = Window.partitionBy(*keys, "_band").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    positions = _null_safe(distinct, bands, [*keys, "_band"]).select(
-        *keys,
-        "_v",
-        (F.col("_below") + F.coalesce(F.sum("_ties").over(inside), F.lit(0))).alias("_before"),
-        "_ties",
-        "_n",
-    )
-    out = salted_join(base, positions, [*keys, "_v"], "_ties", limit, distinct, F.col("_v").isNull())
     if group_flag is None:
-        return out
-    flags = positions.groupBy(*keys).agg(
-        F.max(group_flag(F.col("_before"), F.col("_ties"), F.col("_n"))).alias("_flag"),
-        F.max("_n").alias("_size"),
-    )
-    return (
-        salted_join(out, flags, keys, "_size", limit)
-        .drop("_size")
-        .withColumn("_flag", F.coalesce("_flag", F.lit(False)))
+        return placed
+    flags = placed.groupBy(*keys).agg(
+        F.coalesce(
+            F.max(group_flag(F.col("_before"), F.col("_ties"), F.col("_n"))), F.lit(False)
+        ).alias("_flag")
     )
+    return null_safe_join(placed, flags, keys)
 
 
-def with_group_aggregates(
+def cross_section(
     df: DataFrame,
     keys: Sequence[str],
-    aggregates: dict[str, Column],
-    hot: bool | None = None,
-    limit: int | None = None,
+    value: str,
+    descending: bool = False,
+    group_flag: Callable[[Column, Column, Column], Column] | None = None,
 ) -> DataFrame:
-    """Attach per-group aggregates to every row; large groups are pre-aggregated and joined salted."""
-    keys = list(keys)
-    if hot is None:
-        hot = has_hot_group(df, keys, limit)
-    if not hot:
-        whole = Window.partitionBy(*keys)
-        return df.withColumns({name: agg.over(whole) for name, agg in aggregates.items()})
-    base = materialise(df)
-    stats = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_size"), *[a.alias(n) for n, a in aggregates.items()]
+    """Add the position of each value inside its group.
+
+    ``_before`` rows with a strictly smaller (descending: larger) value, ``_ties`` rows with the
+    same value, ``_n`` rows with a value. With ``group_flag(before, ties, n)`` a boolean ``_flag``
+    tells whether it holds for any row of the group. Rows without a value (NULL or NaN) have NULL
+    in all of these. NULL keys form a group.
+    """
+    base = materialise(df.withColumn("_v", missing_as_null(F.col(value).cast("double"))))
+    placed = positions(base, keys, "_v", descending, group_flag)
+    return null_safe_join(base, placed, keys, "_v").drop("_v")
+
+
+def rank_columns(df: DataFrame, keys: Sequence[str], ranks: dict[str, str]) -> DataFrame:
+    """Average ranks (smallest value first, 0 without a value) of several columns, {rank: column};
+    the rows are computed and kept once for all of them."""
+    values = {f"_v{i}": column for i, column in enumerate(ranks.values())}
+    base = materialise(
+        df.withColumns({v: missing_as_null(F.col(c).cast("double")) for v, c in values.items()})
     )
-    return salted_join(base, stats, keys, "_size", limit).drop("_size")
+    out = base
+    for rank, v in zip(ranks, values):
+        placed = positions(base, keys, v).select(*keys, v, average_rank().alias(rank))
+        out = null_safe_join(out, placed, keys, v)
+    return out.drop(*values).na.fill(0.0, list(ranks))
+
+
+def average_rank() -> Column:
+    """Rank that equal values share."""
+    return F.col("_before") + (F.col("_ties") + 1) / F.lit(2.0)
+
+
+def with_group_aggregates(
+    df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]
+) -> DataFrame:
+    """Attach per-group aggregates to every row: groups of any size are aggregated before the
+    shuffle and one row per group comes back."""
+    base = materialise(df)
+    stats = base.groupBy(*keys).agg(*[a.alias(n) for n, a in aggregates.items()])
+    return null_safe_join(base, stats, keys)
 
 
 def first_k(
@@ -235,11 +166,16 @@ def first_k(
     """The first ``k`` rows of each group with their position.
 
     ``row_number() <= k`` is evaluated before the shuffle too, so at most ``k`` rows per group
-    leave a task; the optimizer's limit for that rewrite is raised when ``k`` exceeds it.
+    leave a task. The optimizer does so up to a length set in the session; a longer list is first
+    chosen in ``TOP_PARTS`` parts of each group, so no task sees more than that many lists.
     """
-    conf = df.sparkSession.conf
-    name = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(conf.get(name, "1000")) < k:
-        conf.set(name, str(k))
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(position, F.row_number().over(window)).where(F.col(position) <= k)
+    longest = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+    def chosen(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(*order)
+        return rows.withColumn(position, F.row_number().over(window)).where(F.col(position) <= k)
+
+    if k > longest:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(TOP_PARTS))
+        df = chosen(df.withColumn("_part", part), [*keys, "_part"]).drop("_part", position)
+    return chosen(df, keys)

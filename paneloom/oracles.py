@@ -593,6 +593,12 @@ LEFT JOIN report r ON r.factor_name = n.factor_name GROUP BY 1, 2""",
     "rank_positive": f"SELECT date, asset, close, {_average_rank('date', 'close')} AS rank FROM monthly",
     "rank_negative": f"SELECT date, asset, volume, {_average_rank('date', 'volume', True)} AS rank FROM monthly",
     "rank_missing_zero": "SELECT date, asset, factor_name, value, rank FROM report_ranks",
+    "rank_hot_date": f"""
+SELECT l_orderkey, l_linenumber, l_partkey, date, {_average_rank('date', 'v')} AS rank FROM (
+  SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity <> 50 THEN l_discount END AS v,
+         CASE WHEN l_orderkey % 3 = 0 THEN DATE '1995-01-01'
+              WHEN l_linenumber <> 4 THEN CAST(date_trunc('year', l_shipdate) AS DATE) END AS date
+  FROM lineitem) s""",
     "weighted_rank": f"""
 SELECT date, asset, {_average_rank('date', 'w')} AS weighted_rank FROM (
   SELECT a.date, a.asset, a.rank * 0.5 + b.rank * 0.5 AS w FROM report_ranks a

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from paneloom.functions.defaults import BUY_N, COMMISSION, INITIAL_CASH, SELL_N
 from paneloom.operators import portfolio as pf
 from paneloom.operators.calendar import Calendar
-from paneloom.operators.skew import has_hot_group
 from paneloom.session import materialise
 
 
@@ -41,9 +40,8 @@ def run_backtest(
     inside = F.col("date").between(start, end)
     prices = prices.where(inside)
     wanted = factors.where(inside & F.col("factor_name").isin(*pf.factors_used(schedule)))
-    hot = has_hot_group(wanted, ["factor_name", "date"])
-    ranks = pf.fill_and_rank(wanted, positive_corr, hot)
-    ranks = pf.scheduled_rank(ranks, schedule, positive_corr, hot=hot)
+    ranks = pf.fill_and_rank(wanted, positive_corr)
+    ranks = pf.scheduled_rank(ranks, schedule, positive_corr)
     merged = pf.merge_prices_and_ranks(prices, ranks)
     calendar = Calendar.of(prices) if base_calendar == "all" else None
     panel = pf.align_panel(merged, calendar, base_calendar, allow_lookahead)

@@ -20,7 +20,6 @@ from paneloom.operators.calendar import Calendar
 from paneloom.operators.panel import available_factors, factor_matrix
 from paneloom.operators.pca import component_scores, fit_components, select_components
 from paneloom.operators.ranking import rank_cross_section, weighted_rank_combos
-from paneloom.operators.skew import has_hot_group
 from paneloom.session import materialise
 
 EVERY_FACTOR = "*"
@@ -33,7 +32,6 @@ def factor_report(
     quantiles: int = QUANTILES,
     max_loss: float | None = MAX_LOSS,
     factor_names: Sequence[str] | str = FACTOR_CATALOGUE,
-    hot: bool | None = None,
 ) -> dict[str, DataFrame]:
     """All report tables by name.
 
@@ -45,15 +43,13 @@ def factor_report(
     """
     if factor_names != EVERY_FACTOR:
         factors = factors.where(F.col("factor_name").isin(*factor_names))
-    if hot is None:
-        hot = has_hot_group(factors, ev.CELL)
     aligned = materialise(
-        ev.align_factor(factors, prices, periods, quantiles, Calendar.of(prices), hot)
+        ev.align_factor(factors, prices, periods, quantiles, Calendar.of(prices))
     )
     clean = ev.clean_factor(aligned, max_loss)
     moments = ev.bucket_moments(clean, periods)
-    returns = ev.factor_returns(clean, periods, hot)
-    ic = ev.ic_daily(clean, periods, hot)
+    returns = ev.factor_returns(clean, periods)
+    ic = ev.ic_daily(clean, periods)
     return {
         "gate": ev.loss_gate(aligned, 1.0 if max_loss is None else max_loss),
         "quantile_stats": ev.quantile_stats(clean),
@@ -67,7 +63,7 @@ def factor_report(
         "ic_summary": ev.ic_summary(ic),
         "ic_monthly": ev.ic_monthly(ic),
         "turnover": ev.bucket_turnover(clean, periods),
-        "rank_autocorrelation": ev.rank_autocorrelation(clean, periods, hot),
+        "rank_autocorrelation": ev.rank_autocorrelation(clean, periods),
     }
 
 
@@ -96,15 +92,14 @@ def combo_report(
     names = available_factors(factors, factor_names)
     chosen = factors.where(F.col("factor_name").isin(*names))
     # a (combination, date) group is never larger than its factors' groups
-    hot = has_hot_group(chosen, ev.CELL)
-    ranks = rank_cross_section(chosen, positive_corr, keys=ev.CELL, hot=hot)
-    combos = weighted_rank_combos(ranks, names, combo_size, weights, positive_corr, hot).select(
+    ranks = rank_cross_section(chosen, positive_corr, keys=ev.CELL)
+    combos = weighted_rank_combos(ranks, names, combo_size, weights, positive_corr).select(
         "date",
         "asset",
         F.col("combo").alias("factor_name"),
         F.col("weighted_rank").alias("value"),
     )
-    return _strict(factor_report(combos, prices, factor_names=EVERY_FACTOR, hot=hot, **options))
+    return _strict(factor_report(combos, prices, factor_names=EVERY_FACTOR, **options))
 
 
 def component_report(

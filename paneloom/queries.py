@@ -473,6 +473,21 @@ def rank_negative(spark, sf):
     )
 
 
+def rank_hot_date(spark, sf):
+    """Discounts of all order lines, a third of them on one date, some without a date or a value."""
+    line = v.table(spark, sf, "lineitem")
+    date = (
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit("1995-01-01").cast("date"))
+        .when(F.col("l_linenumber") != 4, F.trunc(F.to_date("l_shipdate"), "year"))
+        .alias("date")
+    )
+    value = F.when(F.col("l_quantity") == 50, F.lit(float("nan"))).otherwise(F.col("l_discount"))
+    rows = line.select(
+        "l_orderkey", "l_linenumber", "l_partkey", date, value.alias("value")
+    )
+    return rk.rank_cross_section(rows).drop("value")
+
+
 def _ranks(spark, sf):
     return rk.rank_cross_section(_report_factors(spark, sf), keys=("factor_name", "date"))
 
@@ -850,6 +865,7 @@ QUERIES: dict[str, Query] = {
         rank_positive,
         rank_negative,
         rank_missing_zero,
+        rank_hot_date,
         weighted_rank,
         weighted_rank_lists,
         weighted_rank_combos,

@@ -158,19 +158,6 @@ def test_information_coefficient(world):
     assert monthly[1, dt.date(2024, 1, 1)] == pytest.approx(january.mean())
 
 
-def test_split_groups_change_nothing(world, monkeypatch):
-    from paneloom.operators import skew
-
-    monkeypatch.setattr(skew, "HOT_GROUP_ROWS", 4)
-    for plain, split in (
-        (ev.ic_daily(world["clean"], PERIODS, hot=False), ev.ic_daily(world["clean"], PERIODS, hot=True)),
-        (ev.factor_returns(world["clean"], PERIODS, hot=False), ev.factor_returns(world["clean"], PERIODS, hot=True)),
-    ):
-        value = plain.columns[-1]
-        a, b = (rows(x, "period", "date", value=value) for x in (plain, split))
-        assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
-
-
 def test_turnover_and_autocorrelation(world):
     b = buckets_of(world)
     position = {d.date(): i + 1 for i, d in enumerate(world["close"].index)}
@@ -271,3 +258,25 @@ def test_combination_and_component_reports(study):
         combo_report(long, prices, names, 2, periods=(1,), max_loss=0.01)
     parts = component_report(long, prices, names, periods=(1,), max_loss=0.9)
     assert {r.factor_name for r in parts["alpha_beta"].collect()} == {"w_x_y_z_PC2"}
+
+
+def test_moments_of_many_columns(spark):
+    """200 columns, far from zero, over many partitions; one row lacks a value."""
+    k, n = 200, 3000
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(n, k)) * rng.uniform(0.1, 10, k) + 1e6
+    names = [f"f{i}" for i in range(k)]
+    gap = pd.DataFrame([[None] + [1.0] * (k - 1)], columns=names)
+    frame = pd.concat([pd.DataFrame(x, columns=names), gap]).astype(float)
+    schema = ", ".join(f"{c} double" for c in names)
+    matrix = spark.createDataFrame(frame, schema).replace(float("nan"), None).repartition(17)
+    moments = pca.matrix_moments(matrix, names)
+    expected = np.cov(x, rowvar=False, bias=True)
+    assert moments.n == n
+    assert np.allclose(moments.means, x.mean(axis=0), rtol=1e-12)
+    assert np.allclose(moments.covariance, expected, rtol=1e-7, atol=1e-7)
+    table = {(r.factor_a, r.factor_b): r.covariance for r in pca.covariance_table(matrix, names[:9]).collect()}
+    assert len(table) == 45 and table["f0", "f8"] == pytest.approx(expected[0, 8], abs=1e-7)
+    with pytest.raises(ValueError):
+        pca.matrix_moments(matrix.limit(0), names)
+    assert [r.covariance for r in pca.covariance_table(matrix.limit(0), ["f0"]).collect()] == [None]

@@ -17,25 +17,15 @@ D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 NAN = float("nan")
 
 
-def test_split_plan_knows_null_keys(spark):
-    rows = [(None, 1.0), (None, 2.0), (D1, 3.0), (D1, 4.0), (None, None), (D1, None)]
+def test_null_keys_form_a_group(spark):
+    rows = [(None, 1.0), (None, 2.0), (D1, 3.0), (D1, 4.0), (None, None), (D1, NAN)]
     df = lookup_table(spark, rows, "date date, value double")
-
-    def positions(hot):
-        out = skew.cross_section(df, ["date"], "value", hot=hot, limit=1)
-        return sorted(((r["date"], r["value"], r["_before"]) for r in out.collect()), key=str)
-
-    assert positions(True) == positions(False)
-    means = [
-        sorted(
-            ((r["date"], r["m"]) for r in skew.with_group_aggregates(
-                df, ["date"], {"m": F.avg("value")}, hot=hot, limit=1
-            ).collect()),
-            key=str,
-        )
-        for hot in (True, False)
-    ]
-    assert means[0] == means[1]
+    placed = skew.cross_section(df, ["date"], "value").where("_n IS NOT NULL").collect()
+    assert {(r["date"], r["value"]): (r["_before"], r["_ties"], r["_n"]) for r in placed} == {
+        (None, 1.0): (0, 1, 2), (None, 2.0): (1, 1, 2), (D1, 3.0): (0, 1, 2), (D1, 4.0): (1, 1, 2),
+    }
+    means = skew.with_group_aggregates(df.where("value < 10"), ["date"], {"m": F.avg("value")})
+    assert {(r["date"], r["m"]) for r in means.collect()} == {(None, 1.5), (D1, 3.5)}
 
 
 def test_nan_market_value_is_last(spark):
@@ -53,7 +43,7 @@ def test_nan_is_filled_and_carried(spark):
         spark, [("f", D1, "A", 1.0), ("f", D1, "B", 0.5), ("f", D2, "A", NAN), ("f", D2, "B", 0.5)],
         "factor_name string, date date, asset string, value double",
     )
-    ranks = {(r["date"], r["asset"]): r["rank"] for r in pf.fill_and_rank(factors, hot=False).collect()}
+    ranks = {(r["date"], r["asset"]): r["rank"] for r in pf.fill_and_rank(factors).collect()}
     assert ranks[D2, "A"] == 2
     days = lookup_table(spark, [(D1,), (D2,)], "date date")
     carried = cal.carry_forward(factors.where("asset = 'A'"), cal.Calendar.of(days), ["value"], ["asset"])

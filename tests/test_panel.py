@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 import random
 from itertools import combinations
 from math import comb
@@ -253,6 +254,30 @@ def test_rolling_universe(companies, values):
     assert got == {"2024-01-05": "2317", "2024-02-05": "2603"}
 
 
+def test_universe_reads_values_once_and_carries_them_to_later_targets(companies, values):
+    asked = ["2024-03-01", None, "2024-01-10", "2024-01-05"]
+    out = universe.build_universe(companies, values, 1, asked, ["ships"], "2018-01-01")
+    got = {(str(r.target_date), r.market_value_date, r.stock_id, r["rank"]) for r in out.collect()}
+    assert got == {
+        ("2024-01-05", "2024-01-01", "2317", 1), ("2024-01-10", "2024-01-01", "2317", 1),
+        ("2024-03-01", "2024-02-01", "2330", 1), ("2024-02-01", "2024-02-01", "2330", 1),
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 2  # companies and values
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_universe_before_all_values_is_an_error(companies, values, empty):
+    values = values.where("stock_id = 'none'") if empty else values
+    with pytest.raises(Exception, match="no data on or before 2023-01-01"):
+        universe.build_universe(companies, values, 1, ["2023-01-01"]).collect()
+
+
+def test_universe_with_nobody_eligible_on_the_latest_date(companies, values):
+    late = values.unionByName(values.limit(1).selectExpr("date'2024-05-01' AS date", "'nobody' AS stock_id", "1.0D AS market_value"))
+    assert universe.build_universe(companies, late, 2, ["2024-06-01"]).collect() == []
+
+
 # ------------------------------------------------------------------ ranks
 
 
@@ -366,8 +391,8 @@ def test_combinations_of_the_catalogue(spark):
 
 def test_combinations_are_not_shuffled_whole(spark, sf_dir):
     """The exchange before ranking carries rows of two factors' beginnings, not combinations."""
-    ranks = ranking.rank_cross_section(views.measures(spark, sf_dir), keys=("factor_name", "date"), hot=False)
-    df = ranking.weighted_rank_combos(ranks, views.MEASURES, 5, hot=False)
+    ranks = ranking.rank_cross_section(views.measures(spark, sf_dir), keys=("factor_name", "date"))
+    df = ranking.weighted_rank_combos(ranks, views.MEASURES, 5)
     plan = df._jdf.queryExecution().executedPlan().toString()
     above, _, _ = plan.partition("Exchange hashpartitioning(_p0")
     assert "Window" in above and "Exchange" not in above
@@ -391,9 +416,12 @@ def test_combos(spark):
     assert {(r.combo, r.asset): r.weighted_rank for r in equal}["x_y", "B"] == 1
 
 
-def test_rank_uses_one_exchange(spark, sf_dir):
+def test_rank_deals_rows_by_group_and_value(spark, sf_dir):
+    """No exchange deals rows by the group alone, and equal values are counted before theirs."""
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         F.to_date("l_shipdate").alias("date"), F.col("l_tax").alias("value")
     )
     plan = ranking.rank_cross_section(df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    by_group = [line for line in plan.splitlines() if re.search(r"hashpartitioning\(date#\d+, \d+\)", line)]
+    assert len(by_group) == 1  # totals of value ranges
+    assert "partial_sum(_ties" in plan and "partial_count(1)" in plan

@@ -1,4 +1,4 @@
-"""The split plan for large groups must give exactly what the plain plan gives."""
+"""Cross-sections with a group that holds most rows, values that many rows share, and gaps."""
 
 import numpy as np
 import pandas as pd
@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from paneloom.operators import evaluate, ranking, skew
 
-LIMIT = 40
-
 
 @pytest.fixture(scope="module")
 def skewed(spark):
@@ -38,28 +36,24 @@ def test_ranks_agree_with_pandas(skewed, positive):
     expected = dict(
         zip(pdf.asset, pdf.groupby("date")["value"].rank(ascending=positive).fillna(0))
     )
-    for hot in (False, True):
-        ranked = ranking.rank_cross_section(df, positive, hot=hot, limit=LIMIT)
-        assert as_dict(ranked, "asset", "rank") == expected
-
-
-def test_buckets_agree(skewed):
-    df, _ = skewed
-    plain = evaluate.quantile_buckets(df, 10, keys=["date"], hot=False)
-    split = evaluate.quantile_buckets(df, 10, keys=["date"], hot=True, limit=LIMIT)
-    assert as_dict(plain, "asset", "bucket") == as_dict(split, "asset", "bucket")
+    ranked = ranking.rank_cross_section(df, positive)
+    assert as_dict(ranked, "asset", "rank") == expected
+    if positive:
+        several = skew.rank_columns(df.withColumn("minus", -F.col("value")), ["date"], {"r": "value", "m": "minus"})
+        assert as_dict(several, "asset", "r") == expected
+        down = pdf.groupby("date")["value"].rank(ascending=False).fillna(0)
+        assert as_dict(several, "asset", "m") == dict(zip(pdf.asset, down))
 
 
 def test_flat_group_has_no_bucket(spark):
     rows = [("d1", f"A{i}", 1.0 if i < 7 else float(i)) for i in range(10)]
     rows += [("d2", f"A{i}", float(i)) for i in range(10)] + [("d3", "A1", 5.0)]
     df = spark.createDataFrame(rows, "date string, asset string, value double")
-    for hot in (False, True):
-        got = evaluate.quantile_buckets(df, 5, keys=["date"], hot=hot, limit=2).collect()
-        buckets = {(r.date, r.asset): r.bucket for r in got}
-        assert {buckets["d1", f"A{i}"] for i in range(10)} == {None}
-        assert [buckets["d2", f"A{i}"] for i in range(10)] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
-        assert buckets["d3", "A1"] is None
+    got = evaluate.quantile_buckets(df, 5, keys=["date"]).collect()
+    buckets = {(r.date, r.asset): r.bucket for r in got}
+    assert {buckets["d1", f"A{i}"] for i in range(10)} == {None}
+    assert [buckets["d2", f"A{i}"] for i in range(10)] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+    assert buckets["d3", "A1"] is None
 
 
 def test_buckets_agree_with_interpolated_edges(spark):
@@ -99,35 +93,21 @@ def test_whole_numbers_get_their_own_range(spark):
 def test_group_aggregates_agree(skewed):
     df, pdf = skewed
     stats = {"top": F.max("value"), "rows": F.count(F.lit(1))}
-    plain = skew.with_group_aggregates(df, ["date"], stats, hot=False)
-    split = skew.with_group_aggregates(df, ["date"], stats, hot=True, limit=LIMIT)
-    rows = lambda d: {r.asset: (r.top, r.rows) for r in d.collect()}
-    assert rows(plain) == rows(split)
-    assert len(rows(split)) == len(pdf)
-
-
-def test_salted_join_spreads_a_large_key(skewed, spark):
-    df, _ = skewed
-    sizes = df.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
-    joined = skew.salted_join(df, sizes, ["date"], "n", LIMIT)
-    assert joined.count() == df.count()
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan
-
-
-def test_gate_measures_only_large_inputs(skewed, monkeypatch, sf_dir, spark):
-    df, _ = skewed
-    assert skew.largest_group(df, ["date"]) > 2000
-    assert skew.has_hot_group(df, ["date"], limit=100)
-    assert not skew.has_hot_group(df, ["date"])
-    small = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    monkeypatch.setattr(skew, "largest_group", lambda *_: pytest.fail("small input was measured"))
-    assert not skew.has_hot_group(small, ["l_suppkey"], limit=1)
+    got = {r.asset: (r.top, r.rows) for r in skew.with_group_aggregates(df, ["date"], stats).collect()}
+    by_date = pdf.groupby("date")
+    tops, sizes = by_date["value"].transform("max"), by_date["asset"].transform("size")
+    assert got == dict(zip(pdf.asset, zip(tops, sizes)))
 
 
 def test_first_k_limits_before_the_shuffle(spark):
     df = spark.range(10000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(setting)
     for k in (5, 1500):
         top = skew.first_k(df, ["g"], [F.col("v").desc()], k, "place")
-        assert top.count() == 3 * k
-        assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.g, r.place, r.v) for r in top.collect())
+        assert got == [(g, i + 1, 9999.0 - (9999 - g) % 3 - 3 * i) for g in range(3) for i in range(k)]
+        assert top.columns == ["g", "v", "place"]
+        if k == 5:
+            assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get(setting) == before
