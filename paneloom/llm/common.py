@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,36 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def own_names(*names: str) -> Callable:
+    """For operators that add columns of these names on the way: columns of the caller that are
+    called the same are set aside under other names and come back with the result."""
+
+    def around(operator: Callable) -> Callable:
+        @wraps(operator)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            aside = {}
+            for c in docs.columns:
+                if c.lower() in names:
+                    new = f"{c}_of_caller"
+                    while new.lower() in {x.lower() for x in [*docs.columns, *aside.values()]}:
+                        new += "_"
+                    aside[c] = new
+
+            def renamed(value):
+                return aside.get(value, value) if isinstance(value, str) else value
+
+            found = operator(
+                docs.withColumnsRenamed(aside),
+                *map(renamed, args),
+                **{k: renamed(x) for k, x in options.items()},
+            )
+            return found.withColumnsRenamed({new: c for c, new in aside.items()})
+
+        return run
+
+    return around
+
+
 def numbered(df: DataFrame, name: str = "row_key") -> DataFrame:
     """A checkpointed copy of narrow rows with a number that tells repeated rows apart.
 

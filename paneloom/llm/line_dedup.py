@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneloom.llm.common import components, text_of
+from paneloom.llm.common import components, own_names, text_of
 from paneloom.session import materialise
 
 THRESHOLD = 2
@@ -344,6 +344,7 @@ def repeated_lines(
     )
 
 
+@own_names("own_hash", "in_bitmap", "bitmap_bits", "dropped_doc", "dropped_hash")
 def deduplicate(
     docs: DataFrame,
     threshold: int = THRESHOLD,
@@ -354,11 +355,12 @@ def deduplicate(
     """``docs`` with its columns and ``dropped``, the numbers of the lines that go.
 
     Only texts that may lose lines move; the same kind of bitmap tells the others.
+    A column called ``dropped`` is replaced; all others stay as they are.
     """
     found = materialise(repeated_lines(docs, threshold, min_chars, id_col, text_col)).select(
         F.col("doc").alias("dropped_doc"), F.col("doc_hash").alias("dropped_hash"), "dropped"
     )
-    plain = docs.drop("dropped", "own_hash", "in_bitmap")
+    plain = docs.drop("dropped")
     marked = _marked(
         plain.withColumn("own_hash", F.xxhash64(text_of(text_col))),
         "own_hash",

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneloom.llm.common import text_of
+from paneloom.llm.common import own_names, text_of
 from paneloom.session import materialise
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -283,6 +283,7 @@ def drawn(sized: DataFrame, plan: DataFrame, draws: DataFrame) -> DataFrame:
     )
 
 
+@own_names("mix_at", "mix_of", "mix_block", "mix_cutoff")
 def mixed(
     docs: DataFrame,
     shards: int = 16,
@@ -294,7 +295,7 @@ def mixed(
 ) -> DataFrame:
     """The documents of the mix, repeated as drawn, with mix_shard and mix_order.
 
-    Columns of ``docs`` stay as they are. Write with one file group per mix_shard, sorted by mix_order.
+    Columns of ``docs`` stay as they are, but for two of the names of the results, which these replace. Write with one file group per mix_shard, sorted by mix_order.
     """
     _, _, draws = mix(
         docs, shards=shards, blocks=blocks, seed=seed, id_col=id_col, source_col=source_col, **options
@@ -306,7 +307,7 @@ def mixed(
         F.col("cutoff").alias("mix_cutoff"),
     )
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    drawn = docs.withColumn(
+    drawn = docs.drop("mix_shard", "mix_order").withColumn(
         "mix_at",
         F.struct(
             F.pmod(F.xxhash64(F.lit(seed + 1), name), F.lit(blocks)).cast("int").alias("block"),

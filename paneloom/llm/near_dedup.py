@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneloom.llm.common import components, text_of
+from paneloom.llm.common import components, own_names, text_of
 from paneloom.session import materialise
 
 WORDS = 5
@@ -576,8 +576,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return placed.join(heads, "class").select("doc_id", "class_id", "class_size")
 
 
+@own_names("own_key", "own_turn", "own_id", "own_node")
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class, that of the smallest doc_id (null last), then text hash."""
+    """``docs`` with one row of each class, that of the smallest doc_id (null last), then text hash.
+    All columns stay as they are, whatever they are called."""
     found = near_classes(docs, id_col, text_col)
     order = F.struct(F.col("own_id").isNull().alias("last"), "own_id", "own_node")
     rows = docs.select(F.col(id_col).alias("own_id"), _node(text_col).alias("own_node"))

@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paneloom.llm.common import own_names
+
 MARK = "▁"
 CACHED_CUTS = 1 << 17  # entries of a generation; a worker keeps the newer and the older one
 OUT_ROWS = 256  # in a batch that leaves a task
@@ -273,8 +275,10 @@ def decode(ids: Column | str, model: bytes) -> Column:
     return text(ids)
 
 
+@own_names("text_in")
 def transcode(docs: DataFrame, text_col: str, model: bytes) -> DataFrame:
-    """``docs`` with ``ids`` (packed) and ``decoded``, their text, in place of the text column.
+    """``docs`` with ``ids`` (packed) and ``decoded``, their text, in place of the text column
+    and of columns called like them. All others stay as they are.
 
     One worker a task does both, in small batches, so memory follows the longest texts only.
     """

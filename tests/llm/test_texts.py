@@ -11,7 +11,15 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from oracle_check import compare, connect
-from paneloom.llm import exact_dedup, line_dedup, near_dedup, piece_merge, queries, secret_scan
+from paneloom.llm import (
+    exact_dedup,
+    line_dedup,
+    mixing,
+    near_dedup,
+    piece_merge,
+    queries,
+    secret_scan,
+)
 from paneloom.llm.common import components
 from paneloom.lookup import lookup_table
 
@@ -453,3 +461,37 @@ def test_line_query(spark, sf_dir):
 def test_against_sql(spark, sf_dir, name):
     notes = compare(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLE_SQL[name])
     assert not notes, "\n".join(notes)
+
+
+# ------------------------------------------------------------------ names of the caller
+
+
+OWN = ["own_key", "Own_Turn", "own_id", "own_node", "own_hash", "in_bitmap", "bitmap_bits", "dropped_doc",
+       "dropped_hash", "mix_at", "mix_of", "mix_block", "mix_cutoff", "text_in", "text_in_of_caller"]
+
+
+def test_columns_called_like_the_operators_own_survive(spark, model):
+    rng = random.Random(17)
+    common = " ".join(words(rng, 40))
+    rows = [(i, f"{common}\n{' '.join(words(rng, 30))}", "s") for i in range(6)]
+    rows += [(9, rows[0][1], "s"), (10, None, None)]
+    docs = documents(spark, rows).withColumns({c: F.concat(F.lit(f"{c} "), "doc_id") for c in OWN})
+    docs = docs.withColumns({c: F.lit(-1) for c in ("dropped", "ids", "decoded", "mix_shard", "mix_order")})
+    plain = docs.drop(*OWN)
+
+    def rows_of(found, *names):
+        assert set(OWN) <= set(found.columns) and len(set(found.columns)) == len(found.columns)
+        got = found.select("doc_id", *OWN, *names).collect()
+        assert all(r[c] == f"{c} {r['doc_id']}" for r in got for c in OWN)
+        return sorted((r["doc_id"], *map(str, r[1 + len(OWN):])) for r in got)
+
+    def same(operator, *names):
+        a, b = rows_of(operator(docs), *names), operator(plain).select("doc_id", *names).collect()
+        assert a == sorted((r[0], *map(str, r[1:])) for r in b)
+        assert all("-1" not in x[1:] for x in a)
+        return a
+
+    assert len(same(near_dedup.one_of_each)) == 7
+    assert [x[1] for x in same(line_dedup.deduplicate, "dropped") if x[0] == 1] == ["[0]"]
+    assert same(lambda d: mixing.mixed(d, shards=3, blocks=8), "mix_shard", "mix_order")
+    assert len(same(lambda d: piece_merge.transcode(d, "text", model), "ids", "decoded")) == 8
