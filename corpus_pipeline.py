@@ -15,6 +15,9 @@ from paneloom.llm import line_dedup, mixing, near_dedup, piece_merge, toxicity
 from paneloom.llm.common import shared_folder, text_of
 from paneloom.llm.queries import tokenizer_path
 
+#: Characters of the input that one output shard of the mix stands for, and the least number of shards.
+SHARD_CHARS = 32_000_000
+LEAST_SHARDS = 16
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -46,12 +49,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix draws them, shuffled within their output shards."""
-    shards = 16
+    """Documents as often as the mix draws them, shuffled within their output shards.
+
+    One file a shard; the number of shards follows the size of the texts, so a shard's size doesn't.
+    """
+    chars = docs.agg(F.coalesce(F.sum("n_chars"), F.lit(0))).first()[0]
+    shards = max(LEAST_SHARDS, -(-chars // SHARD_CHARS))
     return (
         mixing.mixed(docs, shards=shards)
-        .repartition(shards, "mix_shard")
-        .sortWithinPartitions("mix_shard", "mix_order")
+        .repartitionById(shards, F.col("mix_shard"))
+        .sortWithinPartitions("mix_order")
         .select(*COLUMNS)
     )
 
