@@ -27,7 +27,7 @@ def quarter_bounds(quarter: str) -> tuple[dt.date, dt.date]:
     """Driver-side form of :func:`disclosure_window` for a literal such as ``2013-Q1``."""
     year_text, _, name = quarter.partition("-")
     if name not in WINDOWS:
-        raise ValueError(f"Invalid quarter: {quarter}")
+        raise ValueError(f"not a quarter such as 2013-Q1: {quarter}")
     year = int(year_text)
     y0, m0, d0, y1, m1, d1 = WINDOWS[name]
     return dt.date(year + y0, m0, d0), dt.date(year + y1, m1, d1)
@@ -38,7 +38,7 @@ def disclosure_window(quarter: Column | str) -> tuple[Column, Column]:
     quarter = F.col(quarter) if isinstance(quarter, str) else quarter
     year = F.split_part(quarter, F.lit("-"), F.lit(1)).cast("int")
     name = F.split_part(quarter, F.lit("-"), F.lit(2))
-    start = end = F.raise_error(F.concat(F.lit("Invalid quarter: "), quarter)).cast("date")
+    start = end = F.raise_error(F.concat(F.lit("not a quarter such as 2013-Q1: "), quarter)).cast("date")
     for q, (y0, m0, d0, y1, m1, d1) in WINDOWS.items():
         start = F.when(name == q, F.make_date(year + y0, F.lit(m0), F.lit(d0))).otherwise(start)
         end = F.when(name == q, F.make_date(year + y1, F.lit(m1), F.lit(d1))).otherwise(end)

@@ -28,9 +28,9 @@ def test_quarter_windows(spark, quarter, start, end):
 
 @pytest.mark.parametrize("bad", ["2013-Q5", "2013"])
 def test_invalid_quarter(spark, bad):
-    with pytest.raises(ValueError, match="Invalid quarter"):
+    with pytest.raises(ValueError, match="not a quarter such as"):
         fn.quarter_bounds(bad)
-    with pytest.raises(Exception, match="Invalid quarter|cast|CAST|INVALID"):
+    with pytest.raises(Exception, match="not a quarter such as"):
         lo, _ = fn.disclosure_window(F.lit(bad))
         spark.range(1).select(lo).collect()
 
