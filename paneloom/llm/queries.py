@@ -21,6 +21,7 @@ from paneloom.llm import (
     zone_maps,
 )
 from paneloom.llm.common import text_of
+from paneloom.session import scratch_path
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -68,40 +69,50 @@ def toxic(spark, sf):
 
 def _captures(pages: DataFrame) -> DataFrame:
     """Record texts of a crawl: each page as a response, a second of page_id after another, and
-    40,000 seconds later a 304 answer to the URL with a tracking key, whose ETag is that of the page."""
+    40,000 seconds later a 304 answer to the URL with a tracking key. By the bytes of the page the
+    answer carries an ETag, a Last-Modified, a payload digest or no validator."""
     at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id"))
     later = F.timestamp_seconds(F.lit(1_704_107_200) + F.col("page_id"))
-    tag = F.concat(F.lit("ETag: \""), F.md5(F.coalesce("html", F.lit(""))), F.lit("\"\r\n"))
+    html = F.coalesce("html", F.lit(""))
+    size = F.octet_length(html)
+    tag = F.concat(F.lit("ETag: \""), F.md5(html), F.lit("\"\r\n"))
+    second = F.timestamp_add("SECOND", size, F.lit("2020-09-13 12:26:40").cast("timestamp_ntz"))
+    changed = F.concat(
+        F.lit("Last-Modified: "), F.date_format(second, "EEE, dd MMM yyyy HH:mm:ss 'GMT'"), F.lit("\r\n")
+    )
+    digest = F.concat(F.lit("sha256:"), F.sha2(html.cast("binary"), 256))
     full = F.concat(
         F.lit("Content-Type: text/html\r\nCache-Control: max-age=60\r\nContent-Length: "),
-        F.octet_length(F.coalesce("html", F.lit(""))).cast("string"),
+        size.cast("string"),
         F.lit("\r\n"),
         tag,
+        changed,
+    )
+    short = F.concat(
+        F.lit("Cache-Control: max-age=600\r\nContent-Length: 0\r\nServer: x\r\n"),
+        F.when(size % 4 == 0, tag).when(size % 4 == 1, changed).otherwise(F.lit("")),
     )
-    short = F.concat(F.lit("Cache-Control: max-age=600\r\nContent-Length: 0\r\nServer: x\r\n"), tag)
     again = F.concat(
         F.regexp_replace("url", "(?s)#.*$", ""),
         F.when(F.col("url").contains("?"), F.lit("&")).otherwise(F.lit("?")),
         F.lit("utm_source=again"),
     )
     name = F.col("page_id").cast("string")
-    return pages.select(
-        F.explode(
-            F.array(
-                warc.record_text(
-                    "response", F.concat(F.lit("r"), name), F.col("url"), at, "200 OK", full, F.col("html")
-                ),
-                warc.record_text(
-                    "revisit", F.concat(F.lit("v"), name), again, later, "304 Not Modified", short, F.lit("")
-                ),
-            )
-        ).alias("record")
+    response = warc.record_text(
+        "response", F.concat(F.lit("r"), name), F.col("url"), at, "200 OK", full, F.col("html"), digest
     )
+    revisit = warc.record_text(
+        "revisit", F.concat(F.lit("v"), name), again, later, "304 Not Modified", short, F.lit(""),
+        F.when(size % 4 == 2, digest),
+    )
+    return pages.select(F.explode(F.array(response, revisit)).alias("record"))
 
 
 def revisits(spark, sf):
-    records = warc.parse(_captures(_table(spark, sf, "pages")))
-    found = warc.resolve(records.drop("body"))
+    """The pages as a crawl, written as WARC files and read back."""
+    crawl = scratch_path(spark, "crawl")
+    _captures(_table(spark, sf, "pages")).write.option("lineSep", "\r\n\r\n").text(crawl)
+    found = warc.resolve(warc.parse(warc.read(spark, crawl)).drop("body"))
 
     def number(name):
         return F.substring(name, 2, 30).cast("long")
@@ -131,28 +142,41 @@ parts AS (
       lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS kept
   FROM base),
 named AS (
-  SELECT page_id, md5(html) AS tag, strlen(html) AS bytes,
+  SELECT page_id, md5(html) AS tag, sha256(html) AS digest, strlen(html) AS bytes,
+    strftime(make_timestamp((1600000000 + strlen(html)) * 1000000), '%a, %d %b %Y %H:%M:%S GMT') AS changed,
     CASE WHEN regexp_matches(plain, '^[^:/?#]+://') THEN concat(name, place,
       CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END)
-      ELSE url END AS canonical_url
+      ELSE url END AS canonical_url,
+    CASE WHEN NOT regexp_matches(plain, '^[^:/?#]+://') THEN
+      plain || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'utm_source=again' END AS other
   FROM parts),
 events AS (
-  SELECT page_id, tag, bytes, canonical_url, 1704067200 + page_id AS sec, true AS stored FROM named
+  SELECT *, 1704067200 + page_id AS sec, true AS stored FROM named
   UNION ALL
-  SELECT page_id, tag, bytes, canonical_url, 1704107200 + page_id, false FROM named),
+  SELECT * REPLACE (coalesce(other, canonical_url) AS canonical_url), 1704107200 + page_id, false FROM named),
+seen AS (
+  SELECT *, max(CASE WHEN stored AND sec IS NOT NULL THEN {'sec': sec, 'id': 'r' || page_id,
+      'page_id': page_id, 'tag': tag, 'digest': digest, 'bytes': bytes, 'changed': changed} END)
+    OVER (PARTITION BY canonical_url ORDER BY sec RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last
+  FROM events),
 met AS (
-  SELECT *, max(CASE WHEN stored THEN {'sec': sec, 'id': 'r' || page_id, 'page_id': page_id,
-      'tag': tag, 'bytes': bytes} END)
-    OVER (PARTITION BY canonical_url ORDER BY sec RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b
-  FROM events)
-SELECT page_id, canonical_url,
-  CASE WHEN b IS NULL THEN 'no_response' WHEN b.tag = tag THEN 'resolved' ELSE 'mismatch' END AS outcome,
-  CASE WHEN b.tag = tag THEN b.page_id END AS response_page_id,
-  CASE WHEN b.tag = tag THEN b.sec END AS response_at,
-  CASE WHEN b.tag = tag
-    THEN concat('cache-control=max-age=600; content-length=', b.bytes, '; content-type=text/html; etag="', tag, '"')
-    ELSE concat('cache-control=max-age=600; content-length=0; etag="', tag, '"; server=x') END AS headers
-FROM met WHERE NOT stored
+  SELECT *, CASE WHEN canonical_url IS NOT NULL AND sec IS NOT NULL THEN last END AS b
+  FROM seen WHERE NOT stored),
+judged AS (
+  SELECT *, CASE WHEN b IS NULL THEN 'no_response' WHEN bytes % 4 = 3 THEN 'unchecked'
+    WHEN CASE bytes % 4 WHEN 0 THEN b.tag = tag WHEN 1 THEN b.changed = changed ELSE b.digest = digest END
+    THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM met)
+SELECT page_id, canonical_url, outcome,
+  CASE WHEN outcome IN ('resolved', 'unchecked') THEN b.page_id END AS response_page_id,
+  CASE WHEN outcome IN ('resolved', 'unchecked') THEN b.sec END AS response_at,
+  CASE WHEN outcome IN ('resolved', 'unchecked')
+    THEN concat('cache-control=max-age=600; content-length=', b.bytes, '; content-type=text/html; etag="', b.tag,
+      '"; last-modified=', b.changed)
+    ELSE concat('cache-control=max-age=600; content-length=0',
+      CASE bytes % 4 WHEN 0 THEN concat('; etag="', tag, '"') WHEN 1 THEN concat('; last-modified=', changed)
+        ELSE '' END, '; server=x') END AS headers
+FROM judged
 """
 
 

@@ -12,16 +12,28 @@ Responses of the revisit's own instant are not earlier; of several at the latest
 record id counts. Validators: ETag if the revisit has one (weak comparison), else Last-Modified,
 else the payload digest; a revisit without any is ``unchecked`` and still resolved. Only
 status 200 counts as a full response. Null and empty texts parse to records without type.
+
+``read`` splits files at every "WARC/1." on the executors, then one pass per file joins what belongs together:
+a record ends where its Content-Length says, so version lines inside a payload don't cut it. A record without
+that header ends at the next version line, one that reaches past the end of its file is given as far as it goes,
+and what lies between records is left out. A pass holds one record and one batch at a time.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paneloom.session import materialise
 
-VERSION = "WARC/1.0\r\n"
+MARK = "WARC/1."
+VERSION = f"{MARK}0\r\n"
+BATCH_BYTES = 4_000_000  # of records that leave a pass at once
+_LENGTH = re.compile(rb"^content-length:[ \t]*([0-9]+)", re.IGNORECASE | re.MULTILINE)
 SLICE_SECONDS = 3600
 # Headers of a 304 answer that update a stored response.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
@@ -44,29 +56,95 @@ def canonical_url(url: Column) -> Column:
     return F.when(plain.rlike("^[^:/?#]+://"), F.concat(name, place, tail)).otherwise(url)
 
 
+def _size(record: bytearray) -> int | None:
+    """Bytes that a record has by its header; None while the header is open or names no length."""
+    head = record.find(b"\r\n\r\n")
+    found = _LENGTH.search(record, 0, head) if head >= 0 else None
+    return head + 4 + int(found[1]) if found else None
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks (file, chunk, leading) in the order of their files to whole records."""
+    done: list[bytes] = []
+    file, record, size = None, bytearray(), None
+
+    def close():
+        if record:
+            done.append(bytes(record if size is None else record[:size]))
+
+    def flushed():
+        out = pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], names=["record"])
+        done.clear()
+        return out
+
+    for batch in batches:
+        for own, chunk, leading in zip(*(c.to_pylist() for c in batch.columns)):
+            if own != file:
+                close()
+                file, record, size = own, bytearray(), None
+            begins = not leading and chunk[:3] in (b"0\r\n", b"1\r\n")
+            if record and size is not None and len(record) < size:
+                begins = False  # inside a payload
+            elif record and record[-1:] != b"\n" and b"\r\n\r\n" not in record:
+                begins = False  # inside a header line
+            elif begins or size is not None:
+                close()
+                record, size = bytearray(), None
+            if begins or record:
+                record += MARK.encode() + chunk
+                if size is None:
+                    size = _size(record)
+            if sum(map(len, done)) > BATCH_BYTES:
+                yield flushed()
+    close()
+    yield flushed()
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Record texts of WARC files, plain or gzipped by record; splittable where plain."""
+    """Records of WARC files (versions 1.0 and 1.1), plain or gzipped by record, as texts."""
+    chunks = spark.read.option("lineSep", MARK).text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        F.col("value").cast("binary").alias("chunk"),
+    )
+    first = Window.partitionBy("file").orderBy("block", "place")
     return (
-        spark.read.option("lineSep", VERSION)
-        .text(path)
-        .where(F.length("value") > 0)
-        .select(F.concat(F.lit(VERSION), F.col("value")).alias("record"))
+        chunks.withColumn("leading", F.row_number().over(first) == 1)
+        .select("file", "chunk", "leading")
+        .mapInArrow(_records, "record binary")
+        .select(F.col("record").cast("string").alias("record"))
     )
 
 
 def record_text(
-    kind: str, record_id: Column, url: Column, date: Column, status: str, http: Column, body: Column
+    kind: str,
+    record_id: Column,
+    url: Column,
+    date: Column,
+    status: str,
+    http: Column,
+    body: Column,
+    digest: Column | None = None,
 ) -> Column:
-    """A record as text; ``http``: header lines, each ended by a line break."""
-    head = F.concat(
-        F.lit(f"{VERSION}WARC-Type: {kind}\r\nWARC-Record-ID: "),
-        record_id.cast("string"),
-        F.lit("\r\nWARC-Date: "),
-        F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        F.when(url.isNull(), F.lit("")).otherwise(F.concat(F.lit("\r\nWARC-Target-URI: "), url)),
-        F.lit(f"\r\n\r\nHTTP/1.1 {status}\r\n"),
+    """A record as text; ``http``: header lines, each ended by a line break. Headers without a value are left out."""
+    block = F.concat(
+        F.lit(f"HTTP/1.1 {status}\r\n"), http, F.lit("\r\n"), F.coalesce(body, F.lit(""))
+    )
+
+    def line(name, value):
+        return F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
+
+    return F.concat(
+        F.lit(f"{VERSION}WARC-Type: {kind}\r\n"),
+        line("WARC-Record-ID", record_id),
+        line("WARC-Date", F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        line("WARC-Target-URI", url),
+        line("WARC-Payload-Digest", F.lit(None) if digest is None else digest),
+        line("Content-Length", F.octet_length(block)),
+        F.lit("\r\n"),
+        block,
     )
-    return F.concat(head, http, F.lit("\r\n"), F.coalesce(body, F.lit("")))
 
 
 def _fields(block: Column) -> Column:
@@ -88,7 +166,7 @@ def header(fields: Column, name: str) -> Column:
 
 
 def parse(records: DataFrame, column: str = "record") -> DataFrame:
-    """record_id, type, url, date, status, headers, body of record texts."""
+    """record_id, type, url, date, payload_digest, status, headers, body of record texts."""
     parts = F.split(F.coalesce(F.col(column), F.lit("")), "\r\n\r\n", 3)
     cut = records.select(
         _fields(F.get(parts, F.lit(0))).alias("warc"),
@@ -102,6 +180,7 @@ def parse(records: DataFrame, column: str = "record") -> DataFrame:
         F.try_to_timestamp(
             header(F.col("warc"), "warc-date"), F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")
         ).alias("date"),
+        header(F.col("warc"), "warc-payload-digest").alias("payload_digest"),
         F.regexp_extract("http", "^HTTP/[0-9.]+ ([0-9]{3})", 1).try_cast("int").alias("status"),
         F.coalesce(_fields(F.col("http")), _fields(F.lit(""))).alias("headers"),
         "body",

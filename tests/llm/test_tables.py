@@ -183,7 +183,8 @@ def test_warc_files(spark, tmp_path):
         "page_id long, url string, html string",
     )
     texts = [r["record"] for r in queries._captures(pages).where("record is not null").collect()]
-    for name, packed in (("plain", "".join(texts).encode()), ("packed", b"".join(gzip.compress(t.encode()) for t in texts))):
+    assert len(texts) == 8
+    for name, packed in (("plain", "\r\n\r\n".join(texts).encode()), ("packed", b"".join(gzip.compress(t.encode()) for t in texts))):
         path = tmp_path / (f"{name}.warc" + (".gz" if name == "packed" else ""))
         path.write_bytes(packed)
         got = {r["record_id"]: r for r in warc.parse(warc.read(spark, str(path))).collect()}
@@ -194,6 +195,53 @@ def test_warc_files(spark, tmp_path):
     assert [r["type"] for r in odd] == [None] * 3
 
 
+def test_warc_lengths(spark, tmp_path):
+    """Versions inside URLs and payloads, both versions, no length, cut ends, several splits."""
+
+    def record(name, payload, version="1.0", length=True, url="http://a.org/"):
+        size = f"Content-Length: {len(payload.encode())}\r\n" if length else ""
+        return f"WARC/{version}\r\nWARC-Type: resource\r\nWARC-Record-ID: {name}\r\nWARC-Target-URI: {url}\r\n{size}\r\n{payload}"
+
+    rng, first, second = random.Random(8), {}, {}
+    for i in range(300):
+        payload = "".join(rng.choice(["WARC/1.", "WARC/1.0\r\n", "WARC/1.1\r\nContent-Length: 9\r\n\r\n", "\u00e9", "\r\n\r\n"]) for _ in range(rng.randrange(40)))
+        name = f"a{i}"
+        first[name] = record(name, payload, rng.choice(["1.0", "1.1"]), url=rng.choice(["http://a.org/", "http://a.org/WARC/1.0"]))
+    second = {"b1": record("b1", "no length", length=False), "b2": record("b2", "kept \u00e9")}
+    (tmp_path / "one.warc").write_bytes("\r\n\r\n".join(first.values()).encode())
+    (tmp_path / "two.warc").write_bytes(("junk" + "".join(second.values()) + "\r\n\r\n" + record("b3", "x" * 50)[:-20]).encode())
+    (tmp_path / "none.warc").write_bytes(b"")
+    expected = sorted([*first.values(), *second.values(), record("b3", "x" * 50)[:-20]])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in (before, "1000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            got = sorted(r["record"] for r in warc.read(spark, str(tmp_path)).collect())
+            assert got == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_revisits_of_odd_pages(spark, tmp_path):
+    """Rows without id, URL or text, empty and repeated ones, against the statement."""
+    import duckdb
+
+    texts = [None, "", "a", "bb", "ccc", "dddd WARC/1.0\r\n", "\u00e9" * 3]
+    rows = [(i, f"http://x.org/{i % 5}", texts[i % 7], "mine") for i in range(60)]
+    rows += [(None, "http://x.org/1", "a", None), (None, None, None, None), (70, None, "a", None), (71, "plain", "bb", None)]
+    odd = lookup_table(spark, [*rows, rows[3]], "page_id long, url string, html string, record string")
+    odd.write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((str(tuple(r)) for r in queries.revisits(spark, str(tmp_path)).collect()))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    names = "page_id, canonical_url, outcome, response_page_id, response_at, headers"
+    expected = duck.execute(f"SELECT {names} FROM ({queries.REVISITS_SQL})").fetchall()
+    assert got == sorted(map(str, expected)) and len(got) == 65
+    assert {r[2] for r in expected} == {"resolved", "unchecked", "mismatch", "no_response"}
+    odd.where("false").write.parquet(f"{tmp_path}/none/pages.parquet")
+    assert queries.revisits(spark, f"{tmp_path}/none").count() == 0
+
+
 # ------------------------------------------------------------------ URLs
 
 
