@@ -1,13 +1,15 @@
 """URL filtering by fixed host and path rules, else by association rules mined from labels.
 
 A labelled URL becomes the set of its tokens (scheme, host labels, path segments with digits as
-"0", extension, query keys, fragment) and, if its label is bad, the item ``block``. FP-growth
-finds frequent combinations; those that imply ``block`` with enough support and confidence stay, less
-those that a part of them implies as surely. Each rule is listed in an inverted index under its
-rarest token, so a URL meets only rules that share it, and is blocked when it has all their tokens.
+"0", extension, query keys, fragment) and, if its label is bad, the item ``block``. Tokens that too few
+URLs have can't be in a frequent combination and are left out; tokens that occur in exactly the same URLs
+(a template's fixed parts) count as one item, so long templates don't multiply their combinations.
+FP-growth finds the frequent combinations of any length. One that implies ``block`` becomes a rule if the
+lower confidence bound of its bad share (Wilson's, at ``Z``) reaches ``MIN_LIFT`` times the share of bad among all
+labelled URLs; rules that a part of them implies as surely go. Each rule is listed in an inverted
+index under its rarest token, so a URL meets only rules that share it, and is blocked when it has all their tokens.
 
-Everything runs on DataFrame and library functions. Rules are at most (tokens of a URL)^3 / support in
-number, whatever the input; joins are left to the optimizer, which sees their size.
+Everything runs on DataFrame and library functions; joins are left to the optimizer, which sees their size.
 
 Definitions: a null URL or one without "://" has empty host and path, and no tokens. A fixed rule holds for
 its host and all subdomains where the path starts with its path; the longest wins, then the earlier
@@ -16,6 +18,7 @@ one. Without any rule a URL is allowed. Labels of one id count once, bad if any
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -24,13 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneloom.llm.common import numbered
+from paneloom.session import materialise
 
 BLOCK = "block"
 MIN_SUPPORT = 0.002  # of the labelled URLs
 MIN_ROWS = 10  # labelled URLs that a rule rests on, at least
-MIN_CONFIDENCE = 0.7
-MOST_TOKENS = 3  # in a rule
-TOP_TOKENS = 24  # a URL shows the miner its first so many tokens; matching reads them all
+MIN_LIFT = 2.0  # of a rule's bad share, by its lower bound, over the share of all
+Z = 1.96  # standard errors below the bad share at which that bound lies
 # Action, host, path.
 RULES = (
     ("block", "net", "/"),
@@ -89,12 +92,41 @@ def fixed_rule(host_col: Column, path_col: Column, rules: Sequence[tuple[str, st
 _RULE_FIELDS = "rule_id long, tokens array<string>, confidence double, support double, token string"
 
 
+def _items(baskets: DataFrame, least: int) -> DataFrame:
+    """Tokens of at least ``least`` baskets (own, tokens) as (token, item, members, freq).
+
+    Tokens of the same baskets share the item: their count and two sums of basket hashes are equal.
+    """
+    single = baskets.select("own", F.explode("tokens").alias("token"))
+    bits = F.xxhash64("own")
+    marks = (
+        single.groupBy("token")
+        .agg(
+            F.count("*").alias("freq"),
+            F.bit_xor(bits).alias("mark"),
+            F.sum(F.shiftright(bits, 20)).alias("total"),
+        )
+        .where(F.col("freq") >= least)
+    )
+    classes = marks.groupBy("freq", "mark", "total").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    return classes.select(
+        F.explode("members").alias("token"), F.col("members")[0].alias("item"), "members", "freq"
+    )
+
+
+def lower_bound(share: Column, n: Column, z: float) -> Column:
+    """Wilson's lower bound of a share seen in ``n`` cases."""
+    spread = z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    return (share + z * z / (2 * n) - spread) / (1 + z * z / n)
+
+
 def mine(
     urls: DataFrame,
     labels: DataFrame,
     min_support: float = MIN_SUPPORT,
-    min_confidence: float = MIN_CONFIDENCE,
+    min_lift: float = MIN_LIFT,
     min_rows: int = MIN_ROWS,
+    z: float = Z,
     id_col: str = "page_id",
     url_col: str = "url",
     label_id: str = "doc_id",
@@ -111,59 +143,64 @@ def mine(
         .groupBy("labelled")
         .agg(F.max("bad").alias("bad"))
     )
-    baskets = (
-        urls.select(F.col(id_col).alias("own"), tokens(F.col(url_col)).alias("items"))
-        .join(known, F.col("own") == F.col("labelled"))
-        .where(F.size("items") > 0)
-        .select(
-            F.concat(
-                F.slice("items", 1, TOP_TOKENS),
-                F.when(F.col("bad"), F.array(F.lit(BLOCK))).otherwise(
-                    F.array().cast("array<string>")
-                ),
-            ).alias("items")
-        )
+    baskets = numbered(
+        urls.select(F.col(id_col).alias("page"), tokens(F.col(url_col)).alias("tokens"))
+        .join(known, F.col("page") == F.col("labelled"))
+        .where(F.size("tokens") > 0)
+        .select("tokens", "bad"),
+        "own",
     )
     spark = urls.sparkSession
-    rows = baskets.count()
-    if not rows:
+    rows, bads = baskets.agg(F.count("*"), F.count_if("bad")).first()
+    if not bads:
         return spark.createDataFrame([], T.StructType.fromDDL(_RULE_FIELDS))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_rows / rows)), minConfidence=min_confidence).fit(
-        baskets
-    )
-    rules = (
-        model.associationRules.where(F.col("consequent")[0] == BLOCK)
-        .where(F.size("antecedent") <= MOST_TOKENS)
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
+    least = max(min_rows, math.ceil(min_support * rows))
+    items = materialise(_items(baskets, least))
+    listed = (
+        baskets.select("own", F.explode("tokens").alias("token"))
+        .join(items.where("token = item"), "token")
+        .groupBy("own")
+        .agg(F.collect_list("item").alias("items"))
     )
-    parts = rules.select(
-        F.col("tokens").alias("whole"),
-        F.col("confidence").alias("whole_confidence"),
-        F.explode(_proper_parts(F.col("tokens"))).alias("part"),
-    ).join(rules.select(F.col("tokens").alias("part"), "confidence"), "part")
-    needless = parts.where("confidence >= whole_confidence").select(F.col("whole").alias("tokens"))
-    counts = model.freqItemsets.where(F.size("items") == 1).select(
-        F.col("items")[0].alias("token"), "freq"
+    none = F.array().cast("array<string>")
+    seen = materialise(
+        baskets.join(listed, "own", "left").select(
+            F.concat(
+                F.coalesce("items", none), F.when(F.col("bad"), F.array(F.lit(BLOCK))).otherwise(none)
+            ).alias("items")
+        )
     )
-    kept = numbered(rules.join(needless, "tokens", "left_anti"), "rule_id")
-    rarest = (
-        kept.select("rule_id", F.explode("tokens").alias("token"))
-        .join(counts, "token")
-        .groupBy("rule_id")
-        .agg(F.min(F.struct("freq", "token"))["token"].alias("token"))
+    base = bads / rows
+    model = FPGrowth(
+        itemsCol="items", minSupport=min(1.0, least / rows), minConfidence=min(1.0, min_lift * base)
+    ).fit(seen)
+    found = F.col("support") * rows / F.col("confidence")  # URLs that have the tokens
+    members = items.where("token = item").select("item", "members", "freq")
+    mined = numbered(
+        model.associationRules.where(F.col("consequent")[0] == BLOCK)
+        .where(lower_bound(F.col("confidence"), found, z) >= min_lift * base)
+        .select("antecedent", "confidence", "support"),
+        "rule_id",
     )
-    return kept.join(rarest, "rule_id").select(
-        "rule_id", "tokens", "confidence", "support", "token"
+    whole = (
+        mined.select("*", F.explode("antecedent").alias("item"))
+        .join(members, "item")
+        .groupBy("rule_id", "confidence", "support")
+        .agg(
+            F.array_sort(F.flatten(F.collect_list("members"))).alias("tokens"),
+            F.min(F.struct("freq", "item"))["item"].alias("token"),
+        )
     )
-
-
-def _proper_parts(items: Column) -> Column:
-    """All non-empty proper subsets of a sorted array of at most three."""
-    single = F.transform(items, lambda x: F.array(x))
-    without = F.transform(items, lambda x: F.array_except(items, F.array(x)))
-    return F.array_distinct(
-        F.filter(F.concat(single, without), lambda p: (F.size(p) > 0) & (F.size(p) < F.size(items)))
+    whole = materialise(whole.select("rule_id", "tokens", "confidence", "support", "token"))
+    # a rule is needless where another one's tokens are among its own and imply as much
+    part = whole.select(F.col("tokens").alias("fewer"), F.col("confidence").alias("as_sure"), "token")
+    needless = (
+        whole.select("rule_id", "tokens", "confidence", F.explode("tokens").alias("token"))
+        .join(part, "token")
+        .where("as_sure >= confidence and size(fewer) < size(tokens) and size(array_except(fewer, tokens)) = 0")
+        .select("rule_id")
     )
+    return whole.join(needless, "rule_id", "left_anti")
 
 
 def judge(

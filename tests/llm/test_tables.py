@@ -309,6 +309,54 @@ def test_mined_rules(spark):
         assert got[i]["verdict"] == ("block" if any(f <= own for f in found) else "allow")
 
 
+def test_mined_rules_against_brute_force(spark):
+    """Rules of all lengths over a template of many fixed parts, without the tokens that add nothing."""
+    import itertools
+    import math
+
+    rng, rows, labels = random.Random(4), [], []
+    template = "/".join(f"part{c}" for c in "abcdefghijklmnopqrstuvwxyzabcdefghijklmn")
+    for i in range(900):
+        a, b, c, d = (rng.choice([0, 1]) for _ in range(4))
+        place = template if rng.random() < 0.2 else "plain"
+        rows.append((i, f"http://{'abc'[i % 3]}.org/{place}?" + "&".join(f"{k}=1" for k, on in zip("wxyz", (a, b, c, d)) if on)))
+        bad = (a and b and c and d and rng.random() < 0.9) or (place == template and rng.random() < 0.5) or rng.random() < 0.03
+        labels.append((i, 0 if bad else 1))
+    urls = lookup_table(spark, rows, "page_id long, url string")
+    mined = url_rules.mine(urls, lookup_table(spark, labels, "doc_id long, quality int")).collect()
+    own = {r["page_id"]: frozenset(r["t"]) for r in urls.select("page_id", url_rules.tokens(F.col("url")).alias("t")).collect()}
+    bad = {i for i, q in labels if q == 0}
+    least, base = max(url_rules.MIN_ROWS, math.ceil(url_rules.MIN_SUPPORT * len(own))), len(bad) / len(own)
+    classes = {}
+    for t in set().union(*own.values()):
+        classes.setdefault(frozenset(i for i, x in own.items() if t in x), []).append(t)
+    found = {}
+    for k in range(1, len(classes) + 1):
+        for some in itertools.combinations([c for c in classes if len(c) >= least], k):
+            both = frozenset.intersection(*some)
+            hit = len(both & bad)
+            if hit < least:
+                continue
+            p, n, z = hit / len(both), len(both), url_rules.Z
+            low = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+            if low >= url_rules.MIN_LIFT * base:
+                found[frozenset(t for c in some for t in classes[c])] = p
+    expected = {r for r, p in found.items() if not any(o < r and q >= p for o, q in found.items())}
+    assert {frozenset(r["tokens"]) for r in mined} == expected
+    assert max(map(len, expected)) > 24 and frozenset(f"key:{k}" for k in "wxyz") in expected
+    assert all(r["token"] in r["tokens"] for r in mined)
+
+
+def test_mined_rule_decides_in_the_query(spark, tmp_path):
+    rows = [(i, f"http://{'bad' if i % 5 == 0 else 'good'}.io/{i}", "h", None) for i in range(200)]
+    rows += [(500, "http://bad.io/new", "h", None), (501, "http://good.io/new", "h", None), (502, "http://bad.example.net/en/", "h", None)]
+    lookup_table(spark, rows, "page_id long, url string, html string, lang string").write.parquet(f"{tmp_path}/pages.parquet")
+    lookup_table(spark, [(i, 0 if i % 5 == 0 else 3) for i in range(200)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["page_id"]: r for r in queries.url_verdicts(spark, str(tmp_path)).collect()}
+    assert got[500]["verdict"] == "block" and got[500]["rule"] is None and got[500]["mined_tokens"] == "host:bad"
+    assert got[501]["verdict"] == "allow" and got[502]["verdict"] == "allow"
+
+
 def test_url_query(spark, sf_dir):
     pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in queries.url_verdicts(spark, sf_dir).collect():
