@@ -2,7 +2,8 @@
 
 A first pass over the whole texts finds candidates: three base kinds, which always count, and stricter
 added kinds. Hashes of their values are then counted over distinct owners and repositories: a value that
-many owners carry is a widely copied example, one that stays with few looks live. Added
+many owners carry is a widely copied example, and so is one in many repositories, even if one owner
+has them all (forks, vendored samples); one that stays with few of both looks live. Added
 candidates become findings only if they look live; every finding is marked live or example.
 
 Only hashes, spans and counts leave the pass. Counting a value's repositories goes by (hash, owner,
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from paneloom.llm.common import numbered, text_of
 
 MOST_OWNERS = 2  # a value that more owners carry is a copied example
+MOST_REPOS = 10  # and one in more repositories (an owner's ones counted apart), whoever owns them
 # The kinds in the order in which they are listed; the first three are the base.
 KINDS = ("assign", "access", "hex", "private_key", "web_token", "code_host", "chat", "login_url")
 _ASSIGN = re.compile(
@@ -100,6 +102,7 @@ def scan(
     owner_col: str = "source",
     repo_col: str = "doc_id",
     most_owners: int = MOST_OWNERS,
+    most_repos: int = MOST_REPOS,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id and ``found``, an array by start, then kind, of
     (start, kind, stop, hash, owners, repos, live)."""
@@ -121,7 +124,7 @@ def scan(
     counted = ownership(single.select("hash", "owner", "repo"))
     judged = (
         single.join(counted, "hash")
-        .withColumn("live", F.col("owners") <= most_owners)
+        .withColumn("live", (F.col("owners") <= most_owners) & (F.col("repos") <= most_repos))
         .where(F.col("live") | (F.col("kind") < 3))
         .groupBy("row_key")
         .agg(

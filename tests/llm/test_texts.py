@@ -123,6 +123,8 @@ def test_secrets(spark):
         (6, github, "own"),
         (7, github, "own"),
         *[(10 + i, "see eyJhbGciOiJI.eyJzdWIiOiIx.abcdefghijklmnopqr", f"s{i}") for i in range(4)],
+        *[(20 + i, "ghp_" + "z9Y8" * 10, "one") for i in range(11)],
+        *[(40 + i // 2, "ghp_" + "k7L6" * 10, "two") for i in range(20)],
         (None, key, None),
         (3, f"é password = '{'a' * 12}' {key} {'0f' * 8}"),
     ]
@@ -138,6 +140,8 @@ def test_secrets(spark):
     by_id = {r["doc_id"]: r for r in got}
     assert by_id[6]["spans"] == f"code_host:0:{len(github)}" and by_id[6]["n_live"] == 1
     assert by_id[10]["spans"] == ""  # four owners share the token: an example
+    assert by_id[20]["spans"] == ""  # one owner, eleven repositories: an example
+    assert by_id[40]["n_live"] == 1  # ten repositories, each twice
     assert secret_scan.scan(documents(spark, [])).count() == 0
 
 
