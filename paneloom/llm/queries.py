@@ -23,6 +23,8 @@ from paneloom.llm import (
 from paneloom.llm.common import text_of
 from paneloom.session import scratch_path
 
+CRAWL_FILE_RECORDS = 50_000  # about a gigabyte of usual pages; a file is read in order by one task
+
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -111,8 +113,9 @@ def _captures(pages: DataFrame) -> DataFrame:
 def revisits(spark, sf):
     """The pages as a crawl, written as WARC files and read back."""
     crawl = scratch_path(spark, "crawl")
-    _captures(_table(spark, sf, "pages")).write.option("lineSep", "\r\n\r\n").text(crawl)
-    found = warc.resolve(warc.parse(warc.read(spark, crawl)).drop("body"))
+    captures = _captures(_table(spark, sf, "pages")).write.option("lineSep", "\r\n\r\n")
+    captures.option("maxRecordsPerFile", CRAWL_FILE_RECORDS).text(crawl)
+    found = warc.resolve(warc.parse(warc.read(spark, crawl, payloads=False)).drop("body"))
 
     def number(name):
         return F.substring(name, 2, 30).cast("long")

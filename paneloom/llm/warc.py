@@ -63,56 +63,79 @@ def _size(record: bytearray) -> int | None:
     return head + 4 + int(found[1]) if found else None
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks (file, chunk, leading) in the order of their files to whole records."""
-    done: list[bytes] = []
-    file, record, size = None, bytearray(), None
-
-    def close():
-        if record:
-            done.append(bytes(record if size is None else record[:size]))
-
-    def flushed():
-        out = pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], names=["record"])
-        done.clear()
-        return out
-
-    for batch in batches:
-        for own, chunk, leading in zip(*(c.to_pylist() for c in batch.columns)):
-            if own != file:
-                close()
-                file, record, size = own, bytearray(), None
-            begins = not leading and chunk[:3] in (b"0\r\n", b"1\r\n")
-            if record and size is not None and len(record) < size:
-                begins = False  # inside a payload
-            elif record and record[-1:] != b"\n" and b"\r\n\r\n" not in record:
-                begins = False  # inside a header line
-            elif begins or size is not None:
-                close()
-                record, size = bytearray(), None
-            if begins or record:
-                record += MARK.encode() + chunk
-                if size is None:
-                    size = _size(record)
+def _records(payloads: bool):
+    """Chunks (file, chunk, bytes, leading) in the order of their files to whole records.
+
+    Without payloads a chunk may be cut after its second empty line and a record is given up to its own.
+    """
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[bytes] = []
+        file, record, held, size = None, bytearray(), 0, None
+
+        def close():
+            whole = bytes(record if size is None else record[:size])
+            if not payloads and (head := whole.find(b"\r\n\r\n")) >= 0:
+                end = whole.find(b"\r\n\r\n", head + 4)
+                whole = whole[: end + 4] if end >= 0 else whole
+            if whole:
+                done.append(whole)
+
+        def flushed():
+            out = pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], names=["record"])
+            done.clear()
+            return out
+
+        for batch in batches:
+            for own, chunk, length, leading in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != file:
+                    close()
+                    file, record, held, size = own, bytearray(), 0, None
+                begins = not leading and chunk[:3] in (b"0\r\n", b"1\r\n")
+                if record and size is not None and held < size:
+                    begins = False  # inside a payload
+                elif record and record[-1:] != b"\n" and b"\r\n\r\n" not in record:
+                    begins = False  # inside a header line
+                elif begins or size is not None:
+                    close()
+                    record, held, size = bytearray(), 0, None
+                if begins or record:
+                    if len(record) == held:  # nothing cut off so far
+                        record += MARK.encode() + chunk
+                    held += len(MARK) + length
+                    if size is None:
+                        size = _size(record)
             if sum(map(len, done)) > BATCH_BYTES:
                 yield flushed()
-    close()
-    yield flushed()
+        close()
+        yield flushed()
 
+    return join
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files (versions 1.0 and 1.1), plain or gzipped by record, as texts."""
+
+def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """Records of WARC files (versions 1.0 and 1.1), plain or gzipped by record, as texts.
+
+    Without ``payloads`` the texts end with the second empty line, after the headers of the answer, and
+    only these leave the scan.
+    """
+    value = F.col("value")
+    # occurrences may overlap there: three line breaks in a row hold the separator twice
+    head = F.substring_index(value, "\r\n\r\n", 2)
+    head = F.when(head.endswith("\r\n"), F.substring_index(value, "\r\n\r\n", 3)).otherwise(head)
+    cut = F.when(F.octet_length(head) < F.octet_length(value), F.concat(head, F.lit("\r\n\r\n")))
     chunks = spark.read.option("lineSep", MARK).text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
-        F.col("value").cast("binary").alias("chunk"),
+        (value if payloads else F.coalesce(cut, value)).cast("binary").alias("chunk"),
+        F.octet_length(value).alias("bytes"),
     )
     first = Window.partitionBy("file").orderBy("block", "place")
     return (
         chunks.withColumn("leading", F.row_number().over(first) == 1)
-        .select("file", "chunk", "leading")
-        .mapInArrow(_records, "record binary")
+        .select("file", "chunk", "bytes", "leading")
+        .mapInArrow(_records(payloads), "record binary")
         .select(F.col("record").cast("string").alias("record"))
     )
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 import zlib
 
 import numpy as np
@@ -218,6 +219,8 @@ def test_warc_lengths(spark, tmp_path):
             spark.conf.set("spark.sql.files.maxPartitionBytes", split)
             got = sorted(r["record"] for r in warc.read(spark, str(tmp_path)).collect())
             assert got == expected
+            heads = [r["record"] for r in warc.read(spark, str(tmp_path), payloads=False).collect()]
+            assert sorted(heads) == sorted("".join(re.split("(\r\n\r\n)", x)[:4]) for x in expected)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
