@@ -34,7 +34,9 @@ from paneloom.llm.common import own_names
 MARK = "▁"
 CACHED_CUTS = 1 << 17  # entries of a generation; a worker keeps the newer and the older one
 OUT_ROWS = 256  # in a batch that leaves a task
+CACHED_PAIRS = 1 << 19  # neighbours whose compatibility a worker keeps
 CACHED_LENGTH = 48  # longer cuts are encoded each time
+_ALONE = [1]  # lengths where nothing but the code point itself matches
 _CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -94,10 +96,10 @@ class PieceCodec:
 
     @cached_property
     def matcher(self) -> ahocorasick.Automaton:
-        """Of the pieces that merging can make; built where texts are encoded."""
+        """Of the pieces of two code points or more that merging can make; built where texts are encoded."""
         found = ahocorasick.Automaton()
         for piece in self.ids:
-            if len(self.merged(piece)) == 1:
+            if len(piece) > 1 and len(self.merged(piece)) == 1:
                 found.add_word(piece, len(piece))
         found.make_automaton()
         return found
@@ -118,7 +120,7 @@ class PieceCodec:
     def compatible(self, left: str, right: str) -> bool:
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) >= CACHED_CUTS:
+            if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
             known = self.pairs[left, right] = self.merged(left + right) == [left, right]
         return known
@@ -126,31 +128,39 @@ class PieceCodec:
     def cut_tokens(self, text: str) -> list[str]:
         """Tokens of a text without inner spaces."""
         n = len(text)
-        lengths: list[list[int]] = [[1] for _ in range(n)]
+        lengths: list[list[int]] = [_ALONE] * n
         for end, length in self.matcher.iter(text):
-            if length > 1:
-                lengths[end - length + 1].append(length)  # ends ascend, so lengths do
+            start = end - length + 1
+            if lengths[start] is _ALONE:
+                lengths[start] = [1, length]  # ends ascend, so lengths do
+            else:
+                lengths[start].append(length)
+        pairs = self.pairs
         failed = bytearray((n >> 3) + 1)
         tokens: list[str] = []
         tried: list[int] = []  # for each chosen token, how many shorter matches are left
-        pos, left = 0, len(lengths[0]) if n else 0
+        pos, last, left = 0, None, len(lengths[0]) if n else 0
         while pos < n:
-            last = tokens[-1] if tokens else None
+            here = lengths[pos]
             while left:
                 left -= 1
-                end = pos + lengths[pos][left]
+                end = pos + here[left]
                 if failed[end >> 3] >> (end & 7) & 1:
                     continue
                 token = text[pos:end]
-                if last is None or self.compatible(last, token):
-                    tokens.append(token)
-                    tried.append(left)
-                    pos = end
-                    left = len(lengths[pos]) if pos < n else 0
-                    break
+                if last is not None:
+                    fits = pairs.get((last, token))
+                    if not (self.compatible(last, token) if fits is None else fits):
+                        continue
+                tokens.append(token)
+                tried.append(left)
+                pos, last = end, token
+                left = len(lengths[pos]) if pos < n else 0
+                break
             else:
                 failed[pos >> 3] |= 1 << (pos & 7)
                 pos -= len(tokens.pop())
+                last = tokens[-1] if tokens else None
                 left = tried.pop()
         return tokens
 
