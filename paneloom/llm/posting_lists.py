@@ -4,9 +4,16 @@ A bounded sample is halved again and again into parts of equal size; the parts'
 Every row is indexed: it is written to the list of its nearest centroid and, near a boundary, to the
 lists of further ones (within ``NEAR`` times the least distance, at most ``REPLICAS``). Centroids are searched by a graph in memory (near
 ones linked, and a ring) that is walked as long as it finds centroids within a ratio of the least
-distance. The lists within that ratio are read by a query. The ratio is fitted: the least one at which
-the sample's own neighbours are found with probability ``FOUND``; the whole table is denser than the
-sample, so its neighbours lie nearer.
+distance. The lists within that ratio are read by a query first. The ratio is fitted: the least one at
+which the sample's own neighbours are found with probability ``FOUND``; the whole table is denser than
+the sample, so its neighbours lie nearer.
+
+One ratio doesn't suit every query where density varies, so the lists left out are checked. Of each
+list the least and largest distance of its rows to the centroid are known, over all rows; by the
+triangle inequality these bound the distance of any of its rows to a query. Lists that may hold a row as
+near as the k-th found are read too, once, by the first list of each row. So the result is exact for
+any rows; what varies is how many lists are read (all, where distances tell little, as in random
+directions of many dimensions).
 
 Bounds: the sample has at most ``MOST_LISTS`` * ``ROWS_PER_LIST`` rows and ``MOST_VALUES`` numbers;
 centroids and graph, all that is broadcast, have ``MOST_LISTS`` entries. A list longer than
@@ -30,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneloom.llm.common import numbered
+from paneloom.session import materialise
 
 LIST_ROWS = 256
 MOST_LISTS = 16_384
@@ -43,6 +51,7 @@ FOUND = 0.97
 PROBES = 256  # sample rows for which the ratio is fitted
 BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
+FAR = 1e100  # units from the centre beyond which a vector is cut
 NO_ID = 2**63 - 1  # stands for a null id inside the groups
 
 
@@ -78,6 +87,31 @@ class Index:
     centroids: np.ndarray
     links: np.ndarray
     ratio: float = 1.0
+    centre: np.ndarray | float = 0.0
+    unit: float = 1.0
+
+    def placed(self, x: np.ndarray) -> np.ndarray:
+        """Vectors about the sample's centre, in units of its size: sums of squares neither cancel
+        nor overflow (beyond ``FAR`` units a vector is cut, see ``bounds``)."""
+        with np.errstate(over="ignore"):
+            return np.clip(x / self.unit - self.centre, -FAR, FAR)
+
+    def bounds(self, x: np.ndarray, at: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Least and largest distance, rounding included, of placed rows to the centroids ``at``:
+        to all of them, or row by row to one each. A row that was cut may be anywhere."""
+        c = self.centroids[at]
+        if isinstance(at, slice):
+            gaps, size = _squares(x, c), np.square(x).sum(axis=1)[:, None] + np.square(c).sum(axis=1)
+        else:
+            gaps, size = np.square(x - c).sum(axis=1), np.square(x).sum(axis=1) + np.square(c).sum(axis=1)
+        # the place itself is rounded too, by the size of the original vector
+        moved = 1e-15 * (1 + np.abs(self.centre).max(initial=0)) * x.shape[1]
+        slack = 1e-15 * (x.shape[1] + 4) * size
+        low = np.maximum(np.sqrt(np.maximum(gaps - slack, 0)) - moved, 0)
+        high = np.sqrt(gaps + slack) + moved
+        cut = (np.abs(x) >= FAR).any(axis=1)
+        low[cut], high[cut] = 0, np.inf
+        return low, high
 
     @classmethod
     def fit(cls, sample: np.ndarray, lists: int, k: int) -> Index:
@@ -169,15 +203,23 @@ def fit(rows: DataFrame, k: int) -> dict[int, Index]:
     part = F.pmod(F.xxhash64("id", "vector"), F.lit(1 << 30))
     sample = rows.where(part < int(min(1.0, most / count) * (1 << 30)) + 1)
     vectors = sample.select("vector").limit(2 * most).toArrow().column("vector").combine_chunks()
-    return {
-        width: Index.fit(x, max(1, min(lists * len(x) // max(1, len(vectors)), len(x))), k)
-        for width, _, x in _by_width(vectors)
-    }
+    out = {}
+    for width, _, x in _by_width(vectors):
+        unit = float(np.abs(x).max())
+        centre = (x / unit).mean(axis=0)
+        placed = x / unit - centre
+        # once more, for vectors that lie close together far from zero
+        near = float(np.abs(placed).max())
+        if 0 < near and near * unit > 0:
+            unit, centre, placed = unit * near, centre / near, placed / near
+        out[width] = Index.fit(placed, max(1, min(lists * len(x) // max(1, len(vectors)), len(x))), k)
+        out[width].centre, out[width].unit = centre, unit
+    return out
 
 
 def _post(indexes):
-    """Lists of every row, and the lists that a query reads. A length that the sample lacks has
-    one list."""
+    """Lists of every row, its least and largest distance to the first one's centroid, and the lists
+    that a query reads. A length that the sample lacks has one list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = indexes.value
@@ -185,18 +227,52 @@ def _post(indexes):
             asks = batch.column("asks").to_numpy(zero_copy_only=False)
             homes: list = [[0]] * len(asks)
             probes: list = [[0] if a else [] for a in asks]
+            low, high = np.zeros(len(asks)), np.full(len(asks), np.inf)
             for width, at, x in _by_width(batch.column("vector")):
                 if width not in known:
                     continue
+                x = known[width].placed(x)
                 for i, own in zip(at, known[width].homes(x)):
                     homes[i] = own
+                low[at], high[at] = known[width].bounds(x, np.array([homes[i][0] for i in at]))
                 own = at[asks[at]]
                 for i, read in zip(own, known[width].probes(x[asks[at]])):
                     probes[i] = read
             kind = pa.list_(pa.int32())
             yield pa.record_batch(
-                [*batch.columns, pa.array(homes, kind), pa.array(probes, kind)],
-                [*batch.schema.names, "homes", "probes"],
+                [*batch.columns, pa.array(homes, kind), pa.array(probes, kind), pa.array(low), pa.array(high)],
+                [*batch.schema.names, "homes", "probes", "low", "high"],
+            )
+
+    return run
+
+
+def _left_out(indexes, spans):
+    """The lists that a query hasn't read and that may hold a row as near as its k-th one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, ends = indexes.value, spans.value
+        for batch in batches:
+            probes = batch.column("probes").to_pylist()
+            kth = batch.column("kth").to_numpy(zero_copy_only=False)
+            more: list = [[]] * len(kth)
+            for width, at, x in _by_width(batch.column("vector")):
+                if width not in known:
+                    continue  # has one list
+                index = known[width]
+                lists, low, high = ends[width]
+                for i in range(0, len(at), 512):
+                    own = at[i : i + 512]
+                    least, most = (g[:, lists] for g in index.bounds(index.placed(x[i : i + 512])))
+                    reach = (kth[own] / index.unit * (1 + 1e-9))[:, None]
+                    # a list is left out if all its rows are surely farther, inwards or outwards
+                    open_ = ~((least - high > reach) | (low - most > reach))
+                    for j, row in zip(own, open_):
+                        read = lists[row]
+                        more[j] = read[~np.isin(read, probes[j])].tolist()
+            yield pa.record_batch(
+                [*(batch.column(c) for c in ("id", "row_key", "vector", "kth")), pa.array(more, pa.list_(pa.int32()))],
+                ["id", "row_key", "vector", "kth", "more"],
             )
 
     return run
@@ -245,6 +321,9 @@ def _search(k: int):
             rows,
             k,
         )
+        # what a query has found already bounds what leaves the list
+        kept = scores <= queries["kth"].to_numpy(np.float64)[q]
+        q, n, scores = q[kept], n[kept], scores[kept]
         own = queries["id"].to_numpy(np.int64)[q]
         return pd.DataFrame(dict(zip(columns, (asked[q], own, ids[n], rows[n], scores))))
 
@@ -272,48 +351,75 @@ def search(
         number.alias("vector"),
     )
     indexes = vectors.sparkSession.sparkContext.broadcast(fit(rows, k))
-    kind = "id long, asks boolean, vector array<double>, homes array<int>, probes array<int>"
+    kind = "id long, asks boolean, vector array<double>, homes array<int>, probes array<int>, low double, high double"
     posted = numbered(rows.mapInArrow(_post(indexes), kind)).withColumn("width", F.size("vector"))
+    narrow = ["width", "id", "row_key", "vector"]
+    order = Window.partitionBy("query_row").orderBy("score", "vec_id", "row_key")
+
+    def best(found: DataFrame) -> DataFrame:
+        ranked = found.dropDuplicates(["query_row", "row_key"]).withColumn("rank", F.row_number().over(order))
+        return ranked.where(F.col("rank") <= k)
+
+    first = materialise(best(_read(
+        posted.select(*narrow, F.lit(float("inf")).alias("kth"), F.explode("probes").alias("list")),
+        posted.select(*narrow, F.explode("homes").alias("list")),
+        k, block_rows, query_rows,
+    )))
+    # at most MOST_LISTS rows for each length of vectors
+    ends: dict[int, list] = {}
+    spans = posted.groupBy("width", F.element_at("homes", 1).alias("list")).agg(F.min("low"), F.max("high"))
+    for width, *span in spans.orderBy("width", "list").collect():
+        ends.setdefault(width, []).append(span)
+    ends = {w: (np.array([s[0] for s in of]), *np.array([s[1:] for s in of], dtype=float).T) for w, of in ends.items()}
+    # infinite while fewer than k are found
+    kth = first.where(F.col("rank") == k).select(F.col("query_row").alias("row_key"), F.col("score").alias("kth"))
+    asked = posted.where("asks").join(kth, "row_key", "left").fillna(float("inf"), ["kth"])
+    more = asked.select("id", "row_key", "vector", "probes", "kth").mapInArrow(
+        _left_out(indexes, vectors.sparkSession.sparkContext.broadcast(ends)),
+        "id long, row_key long, vector array<double>, kth double, more array<int>",
+    )
+    more = materialise(more.withColumn("width", F.size("vector")).select(*narrow, "kth", F.explode("more").alias("list")))
+    rest = _read(
+        more, posted.select(*narrow, F.element_at("homes", 1).alias("list")), k, block_rows, query_rows
+    )
+    return (
+        best(first.drop("rank").unionByName(rest))
+        .withColumns({c: F.nullif(c, F.lit(NO_ID)) for c in ("query_id", "vec_id")})
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+def _read(queries: DataFrame, data: DataFrame, k: int, block_rows: int, query_rows: int) -> DataFrame:
+    """The k nearest rows in each list, for each of its queries, as far as they are within ``kth``;
+    ``queries`` and ``data`` are (width, id, row_key, vector, list), queries with ``kth``."""
 
-    def places(column: str, most: int) -> DataFrame:
-        lists = posted.select("width", F.explode(column).alias("list"))
+    def places(rows: DataFrame, column: str, most: int) -> DataFrame:
         parts = F.ceil(F.count("*") / F.lit(most)).cast("int").alias(f"{column}_parts")
-        return lists.groupBy("width", "list").agg(parts)
+        return rows.groupBy("width", "list").agg(parts)
 
     # at most MOST_LISTS rows for each length of vectors
     sizes = F.broadcast(
-        places("homes", block_rows).join(places("probes", query_rows), ["width", "list"])
+        places(data, "homes", block_rows).join(places(queries, "probes", query_rows), ["width", "list"])
     )
 
     keys = ["width", "list", "homes", "probes"]
 
-    def dealt(column: str, own: str, other: str) -> DataFrame:
+    def dealt(rows: DataFrame, own: str, other: str, *more: str) -> DataFrame:
         """Rows of each list, dealt into ``own`` parts and copied to all ``other`` parts."""
         part = F.pmod(F.xxhash64("row_key"), F.col(f"{own}_parts")).cast("int")
         return (
-            posted.select("width", F.explode(column).alias("list"), "id", "row_key", "vector")
-            .join(sizes, ["width", "list"])
+            rows.join(sizes, ["width", "list"])
             .withColumn(own, part)
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)))
             # aliases, as both sides come from the same rows
-            .select(*[F.col(c).alias(c) for c in (*keys, "id", "row_key", "vector")])
+            .select(*[F.col(c).alias(c) for c in (*keys, "id", "row_key", "vector", *more)])
         )
 
-    found = (
-        dealt("probes", "probes", "homes")
+    return (
+        dealt(queries, "probes", "homes", "kth")
         .groupBy(*keys)
-        .cogroup(dealt("homes", "homes", "probes").groupBy(*keys))
+        .cogroup(dealt(data, "homes", "probes").groupBy(*keys))
         .applyInPandas(
             _search(k), "query_row long, query_id long, vec_id long, row_key long, score double"
         )
     )
-    order = Window.partitionBy("query_row").orderBy(
-        "score", F.col("vec_id").asc_nulls_last(), "row_key"
-    )
-    return (
-        found.dropDuplicates(["query_row", "row_key"])
-        .withColumns({c: F.nullif(c, F.lit(NO_ID)) for c in ("query_id", "vec_id")})
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )

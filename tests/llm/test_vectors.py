@@ -77,6 +77,57 @@ def test_few_lists_find_most(spark, monkeypatch):
     assert read < 0.2 * len(index.centroids)
 
 
+def uneven(kind, rng, n=1500, dims=12):
+    """Rows whose density varies, or whose squares overflow or cancel."""
+    x = rng.normal(0, 1, (n, dims))
+    if kind == "half alike":
+        x[: n // 2] = x[0]
+        x = x[rng.permutation(n)]
+    elif kind == "queries apart":
+        x = np.repeat(x[: n // 50], 50, axis=0) + rng.normal(0, 1e-3, (n, dims))
+        x[::20] = rng.normal(0, 1, (len(x[::20]), dims))
+    elif kind == "scales":
+        x *= np.exp(rng.normal(0, 3, (n, 1)))
+    elif kind == "large":
+        x *= 1e200
+    elif kind == "far off":
+        x += 1e7
+    elif kind == "one far row":
+        x[7] *= 1e250
+    return x
+
+
+@pytest.mark.parametrize("kind", ["half alike", "queries apart", "scales", "large", "far off", "one far row"])
+def test_uneven_rows_lose_no_neighbour(spark, monkeypatch, kind):
+    """One ratio for all queries misses neighbours here; the bounds of the lists do not."""
+    monkeypatch.setattr(pl, "LIST_ROWS", 30)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(uneven(kind, np.random.default_rng(9)))]
+    got = pl.search(frame(spark, rows), F.col("vec_id") % 20 == 0, 10).collect()
+    with np.errstate(over="ignore"):
+        x = np.array([v for _, v, _ in rows])
+        asked = np.arange(0, len(x), 20)
+        gaps = pl.distances(np.repeat(x[asked], len(x), axis=0), np.tile(x, (len(asked), 1))).reshape(len(asked), -1)
+    gaps[np.arange(len(asked)), asked] = np.inf
+    order = np.argsort(gaps, axis=1, kind="stable")[:, :10]
+    want = {(int(q), r + 1, int(n)) for q, own in zip(asked, order) for r, n in enumerate(own)}
+    assert {(r.query_id, r.rank, r.vec_id) for r in got} == want
+
+
+def test_bounds_leave_lists_out(spark, monkeypatch):
+    """In clustered rows the second reading is small too."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 4, (60, 8))
+    x = centres[rng.integers(0, 60, 3000)] + rng.normal(0, 0.5, (3000, 8))
+    index = pl.Index.fit(x, 75, 10)
+    low, high = index.bounds(x)
+    true = np.sqrt(np.square(x[:, None] - index.centroids).sum(axis=2))
+    assert (low <= true).all() and (true <= high).all() and (high - low).max() < 1e-5
+    home = np.array([h[0] for h in index.homes(x)])
+    reach = np.array([true[home == c, c].max(initial=0) for c in range(len(index.centroids))])
+    kth = np.sort(np.sqrt(pl._squares(x[::20], x)), axis=1)[:, 10:11]
+    assert (true[::20] - reach <= kth).mean() < 0.3
+
+
 def test_balanced_parts():
     x = np.random.default_rng(1).normal(0, 1, (1000, 3))
     x[300:700] = x[0]
