@@ -155,9 +155,11 @@ def weighted_rank_combos(
 
     Ranks become one array per (date, asset) first. Combinations then grow by one factor at a time,
     so those with equal beginnings share their partial sum, and one that misses a rank is given up
-    where it does. After the first two factors the rows are dealt by these and the date: all that a
-    combination ranks on a date is together from then on, ranked by a window (one date's assets under
-    one combination), and no complete combination is ever shuffled. No list of combinations exists anywhere; a row's arrays have as many entries as there
+    where it does. After the first two factors (three, if two at least are still to come) the rows are
+    dealt by these and the date, with the ranks of later factors only: all that a combination ranks on
+    a date is together from then on, ranked by a window (one date's assets under one combination), and
+    no complete combination is ever shuffled. That window sorts narrow rows: the later positions are one
+    number, and the id is computed again from the positions. No list of combinations exists anywhere; a row's arrays have as many entries as there
     are factors. ``combo_id`` is the place in input order, computed from the positions.
 
     Weights are by position inside the combination; none or a wrong number means equal weights.
@@ -177,14 +179,15 @@ def weighted_rank_combos(
         )
         .withColumns({"_sum": F.lit(0.0), "_last": F.lit(comb(n, size) - 1).cast("long")})
     )
-    block = [f"_p{i}" for i in range(min(2, size - 1))]
+    block = [f"_p{i}" for i in range(max(min(2, size - 1), min(3, size - 2)))]
+    gone = 0  # ranks cut off at the front of the array
     for i in range(size):
         here, before = f"_p{i}", F.col(f"_p{i - 1}") + 1 if i else F.lit(0)
         place = F.col(here) + 1
         rows = rows.withColumn(
             here, F.explode(F.sequence(before, F.lit(n - size + i)))
         )
-        term = F.element_at("_ranks", place) * F.lit(float(weights[i]))
+        term = F.element_at("_ranks", place - gone) * F.lit(float(weights[i]))
         # the last combination that begins like this; all of them are numbered in a row
         last = F.col("_last") - F.element_at(_binomials(n, size - i), place)
         rows = rows.withColumns(
@@ -196,15 +199,27 @@ def weighted_rank_combos(
                 (F.col("_last") >= ids[0]) & (F.col("_last") - count + 1 < ids[1])
             )
         if here == (block[-1:] or [None])[0]:
-            rows = rows.repartition(*block, "date")
-    positions = [f"_p{i}" for i in range(size)]
-    summed = rows.select(
-        "date", "asset", *positions, F.col("_last").alias("combo_id"), F.col("_sum").alias("_weighted")
-    )
+            later = F.slice("_ranks", place + 1, F.lit(n) - place).alias("_ranks")
+            rows = rows.select("date", "asset", *block, "_sum", "_last", later).repartition(*block, "date")
+            gone = place
+    rest = [F.col(f"_p{i}") for i in range(len(block), size)]
+    bits = max(1, (n - 1).bit_length())
+    if bits * len(rest) < 63:
+        packed = reduce(lambda a, b: F.shiftleft(a, bits).bitwiseOR(b), [c.cast("long") for c in rest])
+        low = F.lit((1 << bits) - 1).cast("long")
+        shifts = [bits * (len(rest) - 1 - i) for i in range(len(rest))]
+        unpacked = [F.shiftright("_rest", b).bitwiseAND(low).cast("int") for b in shifts]
+    else:
+        packed = F.array(*rest)
+        unpacked = [F.element_at("_rest", i + 1) for i in range(len(rest))]
+    summed = rows.select("date", "asset", *block, packed.alias("_rest"), F.col("_sum").alias("_weighted"))
     order = F.col("_weighted").asc() if positive_corr else F.col("_weighted").desc()
-    group = Window.partitionBy(*block, "date", "combo_id").orderBy(order)
+    group = Window.partitionBy(*block, "date", "_rest").orderBy(order)
     ties = F.count(F.lit(1)).over(group.rangeBetween(Window.currentRow, Window.currentRow))
     ranked = summed.withColumn("weighted_rank", F.rank().over(group) + (ties - 1) / F.lit(2.0))
     names = F.array(*[F.lit(f) for f in factors])
-    label = F.concat_ws("_", *[F.element_at(names, F.col(p) + 1) for p in positions])
-    return ranked.select("combo_id", label.alias("combo"), "date", "asset", "weighted_rank")
+    places = [c + 1 for c in (*map(F.col, block), *unpacked)]
+    label = F.concat_ws("_", *[F.element_at(names, c) for c in places])
+    after = [F.element_at(_binomials(n, size - i), c) for i, c in enumerate(places)]
+    combo_id = reduce(lambda a, b: a - b, after, F.lit(comb(n, size) - 1).cast("long")).alias("combo_id")
+    return ranked.select(combo_id, label.alias("combo"), "date", "asset", "weighted_rank")

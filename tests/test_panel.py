@@ -425,3 +425,32 @@ def test_rank_deals_rows_by_group_and_value(spark, sf_dir):
     by_group = [line for line in plan.splitlines() if re.search(r"hashpartitioning\(date#\d+, \d+\)", line)]
     assert len(by_group) == 1  # totals of value ranges
     assert "partial_sum(_ties" in plan and "partial_count(1)" in plan
+
+
+@pytest.mark.parametrize("n, size", [(3, 1), (4, 2), (5, 3), (6, 4), (7, 5), (22, 20)])
+def test_combinations_agree_with_python(spark, n, size):
+    """Rows are dealt by two or three beginnings; later positions are one number or, beyond 63 bits, a list."""
+    rng = random.Random(size)
+    names = [f"f{i}" for i in range(n)]
+    rank = {(f, a): float(rng.randrange(4)) for f in names for a in "ABCD" if (f, a) != ("f1", "D")}
+    rows = [("2024-01-02", a, f, r) for (f, a), r in rank.items()]
+    frame = spark.createDataFrame(rows, "date string, asset string, factor_name string, rank double")
+    weights = [1.0 / (i + 1) for i in range(size)]
+    got = {(r.combo_id, r.combo, r.asset): r.weighted_rank for r in ranking.weighted_rank_combos(frame, names, size, weights).collect()}
+    want = {}
+    for i, combo in enumerate(combinations(names, size)):
+        sums = {a: sum(rank[f, a] * w for f, w in zip(combo, weights)) for a in "ABCD" if all((f, a) in rank for f in combo)}
+        for a, x in sums.items():
+            less, same = (sum(y < x for y in sums.values()), sum(y == x for y in sums.values()))
+            want[i, "_".join(combo), a] = less + (same + 1) / 2
+    assert got == want
+
+
+def test_window_of_combinations_sorts_narrow_rows(spark):
+    """Ranks of the dealt factors and single later positions don't go through the exchange or the sort."""
+    rows = [("2024-01-02", a, f"f{i}", float(i)) for a in "AB" for i in range(7)]
+    frame = spark.createDataFrame(rows, "date string, asset string, factor_name string, rank double")
+    plan = ranking.weighted_rank_combos(frame, [f"f{i}" for i in range(7)], 5)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(_p0#\d+, _p1#\d+, _p2#\d+, date#\d+, \d+\)", plan) and "slice(" in plan
+    sort = next(line for line in plan.splitlines() if "Sort [" in line)
+    assert "_rest#" in sort and "combo_id" not in sort and "_p3" not in sort
