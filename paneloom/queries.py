@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
+from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,10 +120,12 @@ def factor_sources_report(spark, sf):
 def snapshot_scan(spark, sf):
     """The newer of two stored price snapshots with the wanted tag."""
     root = scratch_path(spark, "snapshots")
-    daily = _raw(v.ohlcv_daily(spark, sf))
+    # the bars are computed and dealt by asset once, for all three
+    daily = _raw(v.ohlcv_daily(spark, sf)).repartition("asset").persist(StorageLevel.DISK_ONLY)
     for tag, share in (("old", 0.5), ("1995_to_2001", 1.0), ("1995_to_2001_again", 2.0)):
         prices = daily.withColumns({c: F.col(c) * share for c in ("open", "high", "low", "close")})
         wr.write_zone(pn.clean_ohlcv(prices, unique=True), f"{root}/fact_price_{tag}")
+    daily.unpersist()
     newest = rd.latest_snapshot(spark, root, "price", tag="1995_to_2001")
     return rd.read_price(spark, newest, "1997-01-01", "1997-12-31")
 
