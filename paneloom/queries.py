@@ -157,7 +157,7 @@ def export_upsert(spark, sf):
 def upsert_stored(spark, sf):
     """Two keyed upserts into a stored table, with a failed one in between."""
     path = scratch_path(spark, "fact_price_upserted")
-    prices = clean_ohlcv(spark, sf)
+    prices = clean_ohlcv(spark, sf).persist(StorageLevel.DISK_ONLY)
     wr.upsert_table(prices.where("year(date) < 1999"), path)
     broken = F.when(F.col("close") > 0, F.raise_error(F.lit("lost"))).otherwise(F.col("close"))
     try:
@@ -168,6 +168,7 @@ def upsert_stored(spark, sf):
         raise AssertionError("the failing batch was written")
     batch = prices.where("date >= DATE'1998-06-01' AND year(date) < 2000")
     wr.upsert_table(batch.withColumn("close", F.col("close") * 2), path)
+    prices.unpersist()
     return rd.read_price(spark, path, "1995-01-01", "2001-12-31")
 
 

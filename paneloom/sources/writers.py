@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneloom.operators.panel import first_per_key, merge_upsert
-from paneloom.session import materialise
+from paneloom.session import scratch_path
 from paneloom.sources.readers import _exists
 
 UPSERT_PARTITION = "year"
@@ -130,23 +130,31 @@ def export_scalars(df: DataFrame, upsert: bool = False) -> DataFrame:
     return df.select(*[v.alias(k) for k, v in out.items()])
 
 
+def _staged(df: DataFrame) -> DataFrame:
+    """A compressed copy of ``df`` in the shared folder."""
+    path = scratch_path(df.sparkSession, "staged")
+    df.write.option("compression", "snappy").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def upsert_table(batch: DataFrame, path: str, keys: Sequence[str] = ("date", "stock_id")) -> None:
     """Replace or add the rows of ``batch`` by key in a Parquet table partitioned by year.
 
-    Only the years the batch touches are read and rewritten. The merged rows are checkpointed
-    before those partitions are replaced, so the table is never overwritten while being read and a
-    failed run can be repeated with the same result. The table is created when absent.
+    The batch is computed once and staged in the shared folder. Only the years it touches are read
+    and rewritten. The merged rows are staged too before those partitions are replaced, so the table is
+    never overwritten while being read and a failed run can be repeated with the same result. The
+    table is created when absent.
     """
     spark = batch.sparkSession
+    batch = _staged(first_per_key(batch, keys).withColumn(UPSERT_PARTITION, F.year("date")))
     if not batch.where(reduce(or_, [F.col(k).isNull() for k in keys])).isEmpty():
         raise ValueError(f"rows without a key ({', '.join(keys)}) can't be merged")
-    batch = first_per_key(batch, keys).withColumn(UPSERT_PARTITION, F.year("date"))
     if not _exists(spark, path):
         write_zone(batch, path, [UPSERT_PARTITION])
         return
     years = [r[0] for r in batch.select(UPSERT_PARTITION).distinct().collect()]
     current = spark.read.schema(batch.schema).parquet(path)
-    merged = materialise(
+    merged = _staged(
         merge_upsert(current.where(F.col(UPSERT_PARTITION).isin(*years)), batch, keys)
     )
     (
