@@ -1,10 +1,12 @@
 """Cross-sections of any size.
 
 Ranks, buckets and per-date averages need all rows of one group (a date, or a factor on a date), and
-one group may hold a third of all rows. One plan serves every size: equal values are counted before
-the shuffle, each group is cut into value ranges that are ordered on their own, positions come from
-range totals, and they return to the rows by a join on (group, value). No task ever needs a whole
-group; a value that many rows share is one row until that join, where adaptive execution splits it.
+one group may hold a third of all rows. Each group is cut into value ranges that are ordered on their
+own, and positions come from range totals. Rows are dealt once, by (group, range), and meet there the
+totals, which are dealt alike. Only where a range has more than ``RANGE_ROWS`` rows, equal values are
+counted before the shuffle and positions return to the rows by a join on (group, value). No task ever
+needs a whole group; a value that so many rows share is one row until that join, where adaptive
+execution splits it.
 
 Series keyed by asset need none of this: once (series, date) is unique, a series has at most one row
 per calendar day.
@@ -23,6 +25,12 @@ from paneloom.functions.scalars import missing_as_null
 from paneloom.session import materialise
 
 RANGES_PER_OCTAVE = 1024
+#: Rows of a value range up to which a window orders the rows themselves.
+RANGE_ROWS = 500_000
+#: Rows of a table of groups up to which it is broadcast.
+SMALL_TABLE = 200_000
+#: Parts that rows without a value are dealt to, and the range id these begin at.
+MISSING_PARTS, MISSING_BAND = 1024, 1 << 41
 #: Parts a group is dealt to before the final choice of a long top list.
 TOP_PARTS = 64
 
@@ -64,6 +72,73 @@ def null_safe_join(
     return rows.join(other, reduce(and_, same), "left").drop(*names.values())
 
 
+def _totals(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows before each value range and rows of its group, from the rows of each range."""
+    ranges = Window.partitionBy(*keys).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(
+        *keys,
+        "_band",
+        F.coalesce(F.sum("_band_n").over(ranges), F.lit(0)).alias("_below"),
+        F.sum("_band_n").over(Window.partitionBy(*keys)).alias("_n"),
+    )
+
+
+def _band_of(value: str, descending: bool) -> Column:
+    band = value_range(F.col(value))
+    return -band if descending else band
+
+
+def _band_counts(base: DataFrame, keys: Sequence[str], value: str, descending: bool) -> DataFrame:
+    known = base.where(F.col(value).isNotNull()).withColumn("_band", _band_of(value, descending))
+    return known.groupBy(*keys, "_band").agg(F.count(F.lit(1)).alias("_band_n"))
+
+
+def _distinct(base: DataFrame, keys: Sequence[str], value: str, descending: bool) -> DataFrame:
+    """Different values of each group with their rows (``_ties``) and range."""
+    known = base.where(F.col(value).isNotNull()).groupBy(*keys, value)
+    return known.agg(F.count(F.lit(1)).alias("_ties")).withColumn("_band", _band_of(value, descending))
+
+
+def _has_long(counts: DataFrame) -> bool:
+    return not counts.where(F.col("_band_n") > RANGE_ROWS).isEmpty()
+
+
+def _placed_rows(
+    rows: DataFrame, totals: DataFrame, keys: Sequence[str], value: str, descending: bool
+) -> DataFrame:
+    """``rows`` with ``_before``, ``_ties`` and ``_n``, where no range is long.
+
+    The group is one struct, which is never NULL and equal where grouping is, so the window and the
+    join share the exchange of the rows.
+    """
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(MISSING_PARTS)) + F.lit(MISSING_BAND)
+    dealt = rows.withColumns(
+        {"_g": F.struct(*keys), "_band": F.coalesce(_band_of(value, descending), spread)}
+    )
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    inside = Window.partitionBy("_g", "_band").orderBy(order)
+    ties = F.count(F.lit(1)).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
+    ordered = dealt.withColumns({"_inside": F.rank().over(inside) - 1, "_ties": ties})
+    of = totals.select(F.struct(*keys).alias("_g"), "_band", "_below", "_n")
+    return ordered.join(of, ["_g", "_band"], "left").select(
+        *rows.columns,
+        (F.col("_below") + F.col("_inside")).alias("_before"),
+        F.when(F.col(value).isNotNull(), F.col("_ties")).alias("_ties"),
+        "_n",
+    )
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """A kept copy of a table with a row per group, broadcast if it is small."""
+    table = materialise(table)
+    return F.broadcast(table) if table.count() <= SMALL_TABLE else table
+
+
+def _flags(placed: DataFrame, keys: Sequence[str], group_flag) -> DataFrame:
+    holds = group_flag(F.col("_before"), F.col("_ties"), F.col("_n"))
+    return placed.groupBy(*keys).agg(F.coalesce(F.max(holds), F.lit(False)).alias("_flag"))
+
+
 def positions(
     base: DataFrame,
     keys: Sequence[str],
@@ -77,39 +152,19 @@ def positions(
     group has at most 2 x ``RANGES_PER_OCTAVE`` ranges per power of two that its values span.
     """
     keys = list(keys)
-    band = value_range(F.col(value))
-    distinct = (
-        base.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_ties"))
-        .withColumn("_band", -band if descending else band)
-    )
-    up_to_here = Window.unboundedPreceding, -1
-    ranges = Window.partitionBy(*keys).orderBy("_band").rowsBetween(*up_to_here)
-    below = (
-        distinct.groupBy(*keys, "_band")
-        .agg(F.sum("_ties").alias("_band_n"))
-        .select(
-            *keys,
-            "_band",
-            F.coalesce(F.sum("_band_n").over(ranges), F.lit(0)).alias("_below"),
-            F.sum("_band_n").over(Window.partitionBy(*keys)).alias("_n"),
-        )
-    )
+    distinct = _distinct(base, keys, value, descending)
+    below = _totals(distinct.groupBy(*keys, "_band").agg(F.sum("_ties").alias("_band_n")), keys)
     order = F.col(value).desc() if descending else F.col(value).asc()
-    inside = Window.partitionBy(*keys, "_band").orderBy(order).rowsBetween(*up_to_here)
+    inside = Window.partitionBy(*keys, "_band").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     ordered = distinct.withColumn("_inside", F.coalesce(F.sum("_ties").over(inside), F.lit(0)))
     placed = null_safe_join(ordered, below, [*keys, "_band"]).select(
         *keys, value, (F.col("_below") + F.col("_inside")).alias("_before"), "_ties", "_n"
     )
     if group_flag is None:
         return placed
-    flags = placed.groupBy(*keys).agg(
-        F.coalesce(
-            F.max(group_flag(F.col("_before"), F.col("_ties"), F.col("_n"))), F.lit(False)
-        ).alias("_flag")
-    )
-    return null_safe_join(placed, flags, keys)
+    return null_safe_join(placed, _small(_flags(placed, keys, group_flag)), keys)
 
 
 def cross_section(
@@ -126,9 +181,26 @@ def cross_section(
     tells whether it holds for any row of the group. Rows without a value (NULL or NaN) have NULL
     in all of these. NULL keys form a group.
     """
-    base = materialise(df.withColumn("_v", missing_as_null(F.col(value).cast("double"))))
-    placed = positions(base, keys, "_v", descending, group_flag)
-    return null_safe_join(base, placed, keys, "_v").drop("_v")
+    base = materialise(df.withColumn("_v", _number(value)))
+    if _has_long(_band_counts(base, keys, "_v", descending)):
+        placed = positions(base, keys, "_v", descending, group_flag)
+        return null_safe_join(base, placed, keys, "_v").drop("_v")
+    ties = _distinct(base, keys, "_v", descending)
+    totals = _totals(ties.groupBy(*keys, "_band").agg(F.sum("_ties").alias("_band_n")), keys)
+    out = _placed_rows(base, totals, keys, "_v", descending)
+    if group_flag is not None:
+        narrow = base.where(F.col("_v").isNotNull()).select(*keys, "_v")
+        placed = _placed_rows(narrow, totals, keys, "_v", descending)
+        # a group without any value has no flag
+        out = null_safe_join(out, _small(_flags(placed, keys, group_flag)), keys).withColumn(
+            "_flag", F.when(F.col("_v").isNotNull(), F.col("_flag"))
+        )
+    return out.drop("_v")
+
+
+def _number(column: str) -> Column:
+    """The value as a double, missing ones NULL, zero without a sign."""
+    return missing_as_null(F.col(column).cast("double")) + F.lit(0.0)
 
 
 def rank_columns(df: DataFrame, keys: Sequence[str], ranks: dict[str, str]) -> DataFrame:
@@ -136,12 +208,17 @@ def rank_columns(df: DataFrame, keys: Sequence[str], ranks: dict[str, str]) -> D
     the rows are computed and kept once for all of them."""
     values = {f"_v{i}": column for i, column in enumerate(ranks.values())}
     base = materialise(
-        df.withColumns({v: missing_as_null(F.col(c).cast("double")) for v, c in values.items()})
+        df.withColumns({v: _number(c) for v, c in values.items()})
     )
     out = base
     for rank, v in zip(ranks, values):
-        placed = positions(base, keys, v).select(*keys, v, average_rank().alias(rank))
-        out = null_safe_join(out, placed, keys, v)
+        counts = materialise(_band_counts(base, keys, v, False))
+        if _has_long(counts):
+            placed = positions(base, keys, v).select(*keys, v, average_rank().alias(rank))
+            out = null_safe_join(out, placed, keys, v)
+        else:
+            placed = _placed_rows(out, _totals(counts, keys), keys, v, False)
+            out = placed.withColumn(rank, average_rank()).drop("_before", "_ties", "_n")
     return out.drop(*values).na.fill(0.0, list(ranks))
 
 
@@ -156,7 +233,7 @@ def with_group_aggregates(
     """Attach per-group aggregates to every row: groups of any size are aggregated before the
     shuffle and one row per group comes back."""
     base = materialise(df)
-    stats = base.groupBy(*keys).agg(*[a.alias(n) for n, a in aggregates.items()])
+    stats = _small(base.groupBy(*keys).agg(*[a.alias(n) for n, a in aggregates.items()]))
     return null_safe_join(base, stats, keys)
 
 

@@ -45,6 +45,40 @@ def test_ranks_agree_with_pandas(skewed, positive):
         assert as_dict(several, "asset", "m") == dict(zip(pdf.asset, down))
 
 
+def exchanges(df) -> list[str]:
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+
+
+def test_rows_are_dealt_once_for_a_rank(spark):
+    """Before: rows, values, ranges and positions were each dealt anew, five exchanges for a rank."""
+    df = spark.range(3000).selectExpr("id % 3 AS date", "id AS asset", "double(hash(id)) AS value", "sin(id) AS other")
+    assert len(exchanges(ranking.rank_cross_section(df))) <= 4
+    assert len(exchanges(skew.rank_columns(df, ["date"], {"r": "value", "o": "other"}))) <= 6
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_long_ranges_and_short_ones_agree(skewed, monkeypatch, descending):
+    df, _ = skewed
+    df = df.withColumn("date", F.when(F.col("date") < "2024-01-03", F.col("date"))).withColumn(
+        "value", F.when(F.col("asset") == "A5", F.lit(-0.0)).when(F.col("asset") == "A6", F.lit(0.0)).otherwise(F.col("value"))
+    )
+
+    def flag(before, ties, n):
+        return (ties > 500) & (before < n)
+
+    def found():
+        out = skew.cross_section(df, ["date"], "value", descending, flag)
+        ranks = skew.rank_columns(df, ["date"], {"r": "value"})
+        return sorted(map(str, out.collect())), sorted(map(str, ranks.select("date", "asset", "r").collect()))
+
+    short = found()
+    monkeypatch.setattr(skew, "RANGE_ROWS", 5)
+    monkeypatch.setattr(skew, "SMALL_TABLE", 0)
+    assert found() == short
+
+
 def test_flat_group_has_no_bucket(spark):
     rows = [("d1", f"A{i}", 1.0 if i < 7 else float(i)) for i in range(10)]
     rows += [("d2", f"A{i}", float(i)) for i in range(10)] + [("d3", "A1", 5.0)]
