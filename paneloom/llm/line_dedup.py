@@ -42,12 +42,21 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.xxhash64(text).alias("doc_hash"),
             F.posexplode(F.split(text, "\n")).alias("line_no", "raw"),
         )
-        .select("doc", "doc_hash", "line_no", F.expr("trim(BOTH ' \t\r' FROM raw)").alias("line"))
+        .select("doc", "doc_hash", "line_no", _trimmed("raw").alias("line"))
         .where("line <> ''")
         .withColumn("line_key", F.unhex(F.md5("line")))
     )
 
 
+def _trimmed(raw: str) -> Column:
+    """``raw`` without blanks at its ends; trimming walks the whole line, so only lines that need it are."""
+    needs = [
+        end(raw, F.lit(blank)) for blank in (" ", "\t", "\r") for end in (F.startswith, F.endswith)
+    ]
+    trimmed = F.trim(raw, F.lit(" \t\r"))
+    return F.when(reduce(lambda a, b: a | b, needs), trimmed).otherwise(F.col(raw))
+
+
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     """Start (from 1) and length of segment ``i`` (from 1); longer segments come last."""
     short = F.floor(length / parts).cast("int")

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -331,9 +332,40 @@ def test_components(spark):
     }
 
 
+def test_components_of_scattered_links_stay_compact(spark):
+    scattered = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in scattered}
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    shuffled = [(i * 7919 % 3001, (i * 7919 + 7919) % 3001) for i in range(3000)]  # one chain, ids out of order
+    star = [(5000, 5001 + i) for i in range(500)]
+    links = lookup_table(spark, shuffled + star, "a long, b long").repartition(64)
+    try:
+        for k, v in scattered.items():
+            spark.conf.set(k, v)
+        before = set(folder.rglob("part-*"))
+        got = {r["node"]: r["component"] for r in components(links).collect()}
+        written = len(set(folder.rglob("part-*")) - before)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert got == {**{i: 0 for i in range(3001)}, **{5000 + i: 5000 for i in range(501)}}
+    assert written < 64 * 6  # the links once in 64 files, each round in as few as there are cores
+
+
 # ------------------------------------------------------------------ line dedup
 
 
+def test_only_lines_with_blank_ends_are_trimmed(spark):
+    ends = ["", " ", "\t", "\r", " \t\r ", "\x0b", "\u00a0"]
+    raw = [a + middle + b for a in ends for b in ends for middle in ("", "x", "é y\t z")]
+    lines = lookup_table(spark, [(x,) for x in raw], "raw string").select(
+        "raw", line_dedup._trimmed("raw").alias("line")
+    )
+    assert all(r["line"] == r["raw"].strip(" \t\r") for r in lines.collect())
+    plan = line_dedup._lines(documents(spark, []), "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "trim(" in plan and len(re.findall(r"(?<!THEN )trim\(", plan)) == 0
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
