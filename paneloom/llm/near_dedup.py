@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneloom.llm.common import components, own_names, text_of
+from paneloom.llm.common import compact, components, own_names, text_of
 from paneloom.session import materialise
 
 WORDS = 5
@@ -334,13 +334,17 @@ def _verify(shared) -> Callable:
 
 def _compared(pairs: DataFrame, texts: DataFrame, shared) -> DataFrame:
     """Different pairs (a, b) with their likeness; ``texts`` has each node's text once."""
+    pairs = compact(pairs)
     chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("chunks"))
     asked = pairs.join(chunks, "a").select(
         F.col("a").alias("leader"),
         F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"),
         F.col("b").alias("node"),
     )
-    leaders = asked.select("leader", "chunk", F.col("leader").alias("node")).distinct()
+    every = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
+    leaders = chunks.select(
+        F.col("a").alias("leader"), F.explode(every).alias("chunk"), F.col("a").alias("node")
+    )
     rows = (
         asked.union(leaders)
         .join(texts, "node")
@@ -357,37 +361,40 @@ def _node(text_col: str):
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """node (of each different text that shares a bucket), component."""
+    """node (of each different text that has a link), component."""
     spark = docs.sparkSession
     weights = corpus_weights(docs.select(text_of(text_col).alias("text")))
     shared = spark.sparkContext.broadcast(weights)
     signed = docs.select(_node(text_col).alias("node"), text_of(text_col).alias("text")).mapInArrow(
         _signatures(shared), "node binary, bands array<long>"
     )
-    buckets = (
-        signed.select("node", F.posexplode("bands").alias("band", "key"))
-        .groupBy("band", "key", "node")
-        .agg(F.lit(1).alias("one"))
-        .drop("one")
+    # equal texts become one row before their bands are rows
+    bands = [f"band{n}" for n in range(BANDS)]
+    signed = materialise(
+        signed.select("node", *[F.get("bands", F.lit(n)).alias(c) for n, c in enumerate(bands)])
+        .groupBy("node")
+        .agg(*[F.max(c).alias(c) for c in bands])
+    )
+    buckets = signed.select("node", F.posexplode(F.array(*bands)).alias("band", "key")).where(
+        "key is not null"
     )
-    buckets = materialise(buckets)
     large = (
         buckets.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     )
-    members = materialise(buckets.join(large, ["band", "key"]))
-    needed = members.select("node").distinct()
+    members = compact(buckets.join(large, ["band", "key"]))
     texts = materialise(
         docs.select(F.col(id_col).alias("id"), _node(text_col).alias("node"), text_of(text_col).alias("text"))
-        .join(needed, "node", "left_semi")
+        .join(members.select("node").distinct(), "node", "left_semi")
         .groupBy("node")
         .agg(F.min("text").alias("text"))
     )
-    alone = materialise(needed.select("node", F.col("node").alias("component")))
-    state = _led(members, alone, texts, shared, leaders=LEADERS)
+    alone = members.withColumn("component", F.col("node"))
+    links = _led(alone, texts, shared, leaders=LEADERS)
+    state = components(links)
     # texts that share a bucket with another component are sampled again into longer bands, in which
     # texts of a middling likeness seldom meet
-    crowded = _divided(members, state).join(members, ["band", "key"]).select("node").distinct()
-    longer = materialise(
+    crowded = _divided(members, state).select("node").distinct()
+    longer = compact(
         texts.join(crowded, "node")
         .select("node", "text")
         .mapInArrow(
@@ -395,27 +402,27 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         .select("node", F.posexplode("bands").alias("band", "key"))
     )
-    state = _led(longer, state, texts, shared, leaders=LEADERS)
-    return _merged(state, _met(longer, state, texts, shared))
+    state = _merged(state, _led(compact(_divided(longer, state)), texts, shared, leaders=LEADERS))
+    return _merged(state, _met(compact(_divided(longer, state)), texts, shared))
 
 
 def _divided(members: DataFrame, state: DataFrame) -> DataFrame:
-    """Buckets (band, key) that hold more than one component."""
-    return (
-        members.join(state, "node")
-        .groupBy("band", "key")
+    """The texts of buckets (band, key) that hold more than one component, and these."""
+    placed = members.join(state, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    several = (
+        placed.groupBy("band", "key")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low < high")
         .select("band", "key")
     )
+    return placed.join(several, ["band", "key"])
 
 
-def _led(
-    members: DataFrame, state: DataFrame, texts: DataFrame, shared, leaders: int
-) -> DataFrame:
-    """The components after comparing each bucket's texts with its leaders, as far as they are in
+def _led(mixed: DataFrame, texts: DataFrame, shared, leaders: int) -> DataFrame:
+    """The links (a, b) found by comparing each bucket's texts with its leaders, as far as they are in
     other components."""
-    mixed = members.join(state, "node").join(_divided(members, state), ["band", "key"])
     order = Window.partitionBy("band", "key").orderBy(F.xxhash64("node"), "node")
     heads = (
         mixed.withColumn("place", F.row_number().over(order))
@@ -429,19 +436,18 @@ def _led(
         .distinct()
     )
     near = _compared(led, texts, shared).where(F.col("likeness") >= SIMILARITY)
-    return _merged(state, near.select("a", "b"))
+    return near.select("a", "b")
 
 
-def _met(members: DataFrame, state: DataFrame, texts: DataFrame, shared) -> DataFrame:
+def _met(mixed: DataFrame, texts: DataFrame, shared) -> DataFrame:
     """All links (a, b) between texts of a bucket in different components, short of those that
     join nothing more within a block."""
-    mixed = members.join(state, "node").join(_divided(members, state), ["band", "key"])
     sizes = mixed.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
     # the chunks of a large component are its own, small components share chunks (own: empty)
     sizes = sizes.withColumn(
         "own", F.when(F.col("n") >= BLOCK, F.col("component")).otherwise(F.unhex(F.lit("")))
     )
-    chunks = materialise(
+    chunks = compact(
         sizes.groupBy("band", "key", "own").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("chunks"))
     )
     placed = (
@@ -549,16 +555,9 @@ def _meeting(shared) -> Callable:
 
 def _merged(state: DataFrame, links: DataFrame) -> DataFrame:
     """``state`` with its components joined where a link goes from one to another."""
-    ends = links
-    for end in ("a", "b"):
-        ends = ends.join(state.withColumnsRenamed({"node": end, "component": f"of_{end}"}), end)
-    into = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
-    into = into.withColumnsRenamed({"component": "into", "node": "component"})
-    return materialise(
-        state.join(into, "component", "left").select(
-            "node", F.coalesce("into", "component").alias("component")
-        )
-    )
+    if links.isEmpty():
+        return state
+    return components(state.withColumnsRenamed({"node": "a", "component": "b"}).union(links))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
