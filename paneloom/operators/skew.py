@@ -1,7 +1,8 @@
 """Cross-sections of any size.
 
 Ranks, buckets and per-date averages need all rows of one group (a date, or a factor on a date), and
-one group may hold a third of all rows. Each group is cut into value ranges that are ordered on their
+one group may hold a third of all rows. Where no group has more than ``RANGE_ROWS`` rows, rows are dealt once by
+group, for any number of columns. Else each group is cut into value ranges that are ordered on their
 own, and positions come from range totals. Rows are dealt once, by (group, range), and meet there the
 totals, which are dealt alike. Only where a range has more than ``RANGE_ROWS`` rows, equal values are
 counted before the shuffle and positions return to the rows by a join on (group, value). No task ever
@@ -25,7 +26,7 @@ from paneloom.functions.scalars import missing_as_null
 from paneloom.session import materialise
 
 RANGES_PER_OCTAVE = 1024
-#: Rows of a value range up to which a window orders the rows themselves.
+#: Rows of a group or value range up to which a window orders the rows themselves.
 RANGE_ROWS = 500_000
 #: Rows of a table of groups up to which it is broadcast.
 SMALL_TABLE = 200_000
@@ -103,6 +104,29 @@ def _has_long(counts: DataFrame) -> bool:
     return not counts.where(F.col("_band_n") > RANGE_ROWS).isEmpty()
 
 
+def _short_groups(base: DataFrame, keys: Sequence[str]) -> bool:
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") > RANGE_ROWS).isEmpty()
+
+
+def _placed_in_groups(
+    rows: DataFrame, keys: Sequence[str], value: str, descending: bool
+) -> DataFrame:
+    """``rows`` with ``_before``, ``_ties`` and ``_n``, where no group is long."""
+    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+    inside = Window.partitionBy(*keys).orderBy(order)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    same = inside.rangeBetween(Window.currentRow, Window.currentRow)
+    known = F.col(value).isNotNull()
+    return rows.withColumns(
+        {
+            "_before": F.when(known, (F.rank().over(inside) - 1).cast("long")),
+            "_ties": F.when(known, F.count(F.lit(1)).over(same)),
+            "_n": F.when(known, F.count(value).over(whole)),
+        }
+    )
+
+
 def _placed_rows(
     rows: DataFrame, totals: DataFrame, keys: Sequence[str], value: str, descending: bool
 ) -> DataFrame:
@@ -182,6 +206,14 @@ def cross_section(
     in all of these. NULL keys form a group.
     """
     base = materialise(df.withColumn("_v", _number(value)))
+    if _short_groups(base, keys):
+        out = _placed_in_groups(base, keys, "_v", descending)
+        if group_flag is not None:
+            holds = group_flag(F.col("_before"), F.col("_ties"), F.col("_n"))
+            out = out.withColumn("_holds", holds & F.col("_v").isNotNull())
+            of_group = F.coalesce(F.max("_holds").over(Window.partitionBy(*keys)), F.lit(False))
+            out = out.withColumn("_flag", F.when(F.col("_v").isNotNull(), of_group)).drop("_holds")
+        return out.drop("_v")
     if _has_long(_band_counts(base, keys, "_v", descending)):
         placed = positions(base, keys, "_v", descending, group_flag)
         return null_safe_join(base, placed, keys, "_v").drop("_v")
@@ -210,8 +242,12 @@ def rank_columns(df: DataFrame, keys: Sequence[str], ranks: dict[str, str]) -> D
     base = materialise(
         df.withColumns({v: _number(c) for v, c in values.items()})
     )
-    out = base
+    out, short = base, _short_groups(base, keys)
     for rank, v in zip(ranks, values):
+        if short:
+            placed = _placed_in_groups(out, keys, v, False)
+            out = placed.withColumn(rank, average_rank()).drop("_before", "_ties", "_n")
+            continue
         counts = materialise(_band_counts(base, keys, v, False))
         if _has_long(counts):
             placed = positions(base, keys, v).select(*keys, v, average_rank().alias(rank))

@@ -79,6 +79,27 @@ def test_long_ranges_and_short_ones_agree(skewed, monkeypatch, descending):
     assert found() == short
 
 
+def test_short_groups_are_dealt_once_for_all_columns(spark, skewed, monkeypatch):
+    """Before: an exchange for the rows of each column, and more for its totals."""
+    df, _ = skewed
+    df = df.withColumn("minus", -F.col("value"))
+
+    def flag(before, ties, n):
+        return (ties > 500) & (before < n)
+
+    def found():
+        ranks = skew.rank_columns(df, ["date"], {"r": "value", "m": "minus"})
+        placed = [skew.cross_section(df, ["date"], "value", down, flag) for down in (False, True)]
+        return [sorted(map(str, x.select(sorted(x.columns)).collect())) for x in (ranks, *placed)]
+
+    ranks = skew.rank_columns(df, ["date"], {"r": "value", "m": "minus"})
+    assert len(exchanges(ranks.groupBy("date").agg(F.corr("r", "m")))) == 1
+    assert len(exchanges(skew.cross_section(df, ["date"], "value", False, flag))) == 1
+    whole = found()
+    monkeypatch.setattr(skew, "RANGE_ROWS", 1500)  # one date is longer, no range is
+    assert found() == whole
+
+
 def test_flat_group_has_no_bucket(spark):
     rows = [("d1", f"A{i}", 1.0 if i < 7 else float(i)) for i in range(10)]
     rows += [("d2", f"A{i}", float(i)) for i in range(10)] + [("d3", "A1", 5.0)]
