@@ -2,7 +2,7 @@
 
 Ranks, buckets and per-date averages need all rows of one group (a date, or a factor on a date), and
 one group may hold a third of all rows. Where no group has more than ``RANGE_ROWS`` rows, rows are dealt once by
-group, for any number of columns. Else each group is cut into value ranges that are ordered on their
+group, for any number of columns (a single rank without a flag always takes ranges). Else each group is cut into value ranges that are ordered on their
 own, and positions come from range totals. Rows are dealt once, by (group, range), and meet there the
 totals, which are dealt alike. Only where a range has more than ``RANGE_ROWS`` rows, equal values are
 counted before the shuffle and positions return to the rows by a join on (group, value). No task ever
@@ -206,14 +206,13 @@ def cross_section(
     in all of these. NULL keys form a group.
     """
     base = materialise(df.withColumn("_v", _number(value)))
-    if _short_groups(base, keys):
+    if group_flag is not None and _short_groups(base, keys):
         out = _placed_in_groups(base, keys, "_v", descending)
-        if group_flag is not None:
-            holds = group_flag(F.col("_before"), F.col("_ties"), F.col("_n"))
-            out = out.withColumn("_holds", holds & F.col("_v").isNotNull())
-            of_group = F.coalesce(F.max("_holds").over(Window.partitionBy(*keys)), F.lit(False))
-            out = out.withColumn("_flag", F.when(F.col("_v").isNotNull(), of_group)).drop("_holds")
-        return out.drop("_v")
+        holds = group_flag(F.col("_before"), F.col("_ties"), F.col("_n"))
+        out = out.withColumn("_holds", holds & F.col("_v").isNotNull())
+        of_group = F.coalesce(F.max("_holds").over(Window.partitionBy(*keys)), F.lit(False))
+        out = out.withColumn("_flag", F.when(F.col("_v").isNotNull(), of_group))
+        return out.drop("_holds", "_v")
     if _has_long(_band_counts(base, keys, "_v", descending)):
         placed = positions(base, keys, "_v", descending, group_flag)
         return null_safe_join(base, placed, keys, "_v").drop("_v")
