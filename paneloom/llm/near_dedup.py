@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneloom.llm.common import compact, components, own_names, text_of
+from paneloom.llm.common import compact, components, lean, own_names, text_of
 from paneloom.session import materialise
 
 WORDS = 5
@@ -228,7 +228,7 @@ def _count(pick: Callable[[np.ndarray, np.ndarray, int], tuple]) -> Callable:
             )
 
         documents = 0
-        for batch in batches:
+        for batch in lean(batches):
             for text in batch.column(0):
                 hashes, _ = shingles(text.as_py())
                 held.append(hashes)
@@ -290,7 +290,7 @@ def _longs(df: DataFrame, name: str) -> np.ndarray:
 def _signatures(shared, *sampling) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, sampler = shared.value, Sampler(*sampling)
-        for batch in batches:
+        for batch in lean(batches):
             keys = []
             for text in batch.column(1):
                 hashes, tf = shingles(text.as_py())
@@ -308,7 +308,7 @@ def _verify(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         group, first = None, None
-        for batch in batches:
+        for batch in lean(batches):
             found: list[tuple[bytes, bytes, float]] = []
             for leader, chunk, node, text in zip(*(batch.column(i) for i in range(4))):
                 leader, chunk, node = leader.as_py(), chunk.as_py(), node.as_py()
@@ -538,7 +538,7 @@ def _meeting(shared) -> Callable:
                 [pa.array([f[i] for f in found], pa.binary()) for i in range(2)], names=["a", "b"]
             )
 
-        for batch in batches:
+        for batch in lean(batches):
             for own, side, node, component, text in zip(*(batch.column(i) for i in range(5))):
                 if own.as_py() != block:
                     yield out()

@@ -19,16 +19,16 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneloom.llm.common import text_of
+from paneloom.llm.common import give_back, lean, text_of
 
 BITS = 20
 FACTORS = 8
@@ -44,11 +44,13 @@ _WORD = re.compile(r"\w+")
 
 
 class _Slots(dict):
-    """Slots of a word; starts anew when it holds too many."""
+    """Packed slots of a word; starts anew when it holds too many."""
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         parts = {word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)}
-        slots = tuple(zlib.crc32(x.encode()) & ((1 << BITS) - 1) for x in parts)
+        slots = struct.pack(
+            f"{len(parts)}i", *(zlib.crc32(x.encode()) & ((1 << BITS) - 1) for x in parts)
+        )
         if len(self) >= CACHED_WORDS:
             self.clear()
         self[word] = slots
@@ -61,8 +63,7 @@ _SLOTS = _Slots()
 def terms(text: str | None) -> np.ndarray:
     """Slots of the different terms of a whole text, ascending."""
     found = set(_WORD.findall(text.lower())) if text else ()
-    slots = np.fromiter(chain.from_iterable(map(_SLOTS.__getitem__, found)), dtype=np.int64)
-    return np.unique(slots)
+    return np.unique(np.frombuffer(b"".join(map(_SLOTS.__getitem__, found)), dtype=np.int32))
 
 
 class FactorizationMachine:
@@ -92,7 +93,9 @@ class FactorizationMachine:
         """Gradient steps on the logistic loss, a row at a time; rarer labels weigh more."""
         share = float(labels.mean()) if len(labels) else 0.0
         bias = float(np.clip(np.log((share + 1e-6) / (1 - share + 1e-6)), -14, 14))
-        counts = np.bincount(np.concatenate([np.zeros(0, np.int64), *rows]), minlength=1 << BITS)
+        counts = np.zeros(1 << BITS, np.int32)
+        for own in rows:
+            np.add.at(counts, own, 1)
         slots = np.flatnonzero(counts >= LEAST_ROWS)
         if share in (0.0, 1.0):
             slots = slots[:0]
@@ -174,20 +177,24 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Factoriz
 
     @F.pandas_udf("array<int>")
     def slots_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([terms(x).astype(np.int32) for x in batch], dtype=object)
+        for batch in lean(batches):
+            yield pd.Series([terms(x) for x in batch], dtype=object)
+        _SLOTS.clear()  # a worker outlives its tasks
+        give_back()
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple[int, np.ndarray, int]] = []
-        for batch in batches:
+        for batch in lean(batches):
             rows += [
-                (i, np.asarray([] if s is None else s, dtype=np.int64), y)
+                (i, np.asarray([] if s is None else s, dtype=np.int32), y)
                 for i, s, y in zip(batch["own_id"], batch["slots"], batch["label"])
             ]
         rows.sort(key=lambda r: r[0])
         model = FactorizationMachine.fit(
             [s for _, s, _ in rows], np.array([y for *_, y in rows], dtype=np.float64)
         )
+        del rows
+        give_back()
         yield pd.DataFrame(
             {
                 "bias": [model.bias],
@@ -221,8 +228,10 @@ def scorer(docs: DataFrame, model: FactorizationMachine):
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = FactorizationMachine(*shared.value)
-        for batch in batches:
+        for batch in lean(batches):
             yield pd.Series([own.score(x) for x in batch], dtype="float64")
+        _SLOTS.clear()  # a worker outlives its tasks
+        give_back()
 
     return score
 
