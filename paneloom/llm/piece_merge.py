@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneloom.llm.common import lean, own_names
+from paneloom.llm.common import CACHES, lean, own_names
 
 MARK = "▁"
 CACHED_CUTS = 1 << 17  # entries of a generation; a worker keeps the newer and the older one
@@ -238,7 +238,7 @@ class PieceCodec:
         return "".join(out)
 
 
-_CODECS: dict[bytes, PieceCodec] = {}
+_CODECS: dict[bytes, PieceCodec] = CACHES.setdefault("codecs", {})
 
 
 def codec(model: bytes) -> PieceCodec:
@@ -264,7 +264,7 @@ def encode(text: Column | str, model: bytes, ends: bool = True) -> Column:
     @F.pandas_udf("binary")
     def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(model)
-        for batch in lean(batches):
+        for batch in lean(batches, "codecs"):
             yield pd.Series([own.encode(x, ends) for x in batch], dtype=object)
 
     return packed(text)
@@ -276,7 +276,7 @@ def decode(ids: Column | str, model: bytes) -> Column:
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(model)
-        for batch in lean(batches):
+        for batch in lean(batches, "codecs"):
             yield pd.Series(
                 [own.decode(struct.unpack(f"<{len(x) >> 2}I", x)) if x else "" for x in batch],
                 dtype=object,
@@ -297,7 +297,7 @@ def transcode(docs: DataFrame, text_col: str, model: bytes) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
-        for whole in lean(batches):
+        for whole in lean(batches, "codecs"):
             for start in range(0, whole.num_rows, OUT_ROWS):
                 batch = whole.slice(start, OUT_ROWS)
                 ids = [own.encode(x.as_py()) for x in batch.column(0)]

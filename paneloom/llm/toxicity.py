@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneloom.llm.common import give_back, lean, text_of
+from paneloom.llm.common import CACHES, forget, give_back, lean, text_of
 
 BITS = 20
 FACTORS = 8
@@ -57,7 +57,7 @@ class _Slots(dict):
         return slots
 
 
-_SLOTS = _Slots()
+_SLOTS = CACHES.setdefault("slots", _Slots())
 
 
 def terms(text: str | None) -> np.ndarray:
@@ -177,14 +177,13 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Factoriz
 
     @F.pandas_udf("array<int>")
     def slots_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in lean(batches):
+        for batch in lean(batches, "slots"):
             yield pd.Series([terms(x) for x in batch], dtype=object)
-        _SLOTS.clear()  # a worker outlives its tasks
-        give_back()
+        forget()  # a worker outlives its tasks
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple[int, np.ndarray, int]] = []
-        for batch in lean(batches):
+        for batch in lean(batches, "slots"):
             rows += [
                 (i, np.asarray([] if s is None else s, dtype=np.int32), y)
                 for i, s, y in zip(batch["own_id"], batch["slots"], batch["label"])
@@ -228,10 +227,9 @@ def scorer(docs: DataFrame, model: FactorizationMachine):
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = FactorizationMachine(*shared.value)
-        for batch in lean(batches):
+        for batch in lean(batches, "slots"):
             yield pd.Series([own.score(x) for x in batch], dtype="float64")
-        _SLOTS.clear()  # a worker outlives its tasks
-        give_back()
+        forget()  # a worker outlives its tasks
 
     return score
 

@@ -55,6 +55,30 @@ def test_training_rows_are_not_joined():
     assert peak < sum(r.nbytes for r in rows)
 
 
+def test_operators_leave_no_caches_to_each_other(spark):
+    """A worker that scored texts holds no words, and the next operator drops what another has kept."""
+    docs = spark.createDataFrame([(1, "some words here"), (2, "more words")], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.score_documents(docs, labels).count() == 2
+
+    def held(batches):
+        from paneloom.llm import common
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, common.CACHES.values()))])], names=["n"])
+
+    left = docs.coalesce(1).mapInArrow(held, "n long").collect()
+    assert left and not any(row.n for row in left)
+    common.CACHES["other"] = {1: 1}
+    try:
+        toxicity.terms("word")
+        assert list(common.lean(iter([1, 2]), "slots")) == [1, 2]
+        assert toxicity._SLOTS and not common.CACHES["other"]
+        assert list(common.lean(iter([]))) == [] and not toxicity._SLOTS
+    finally:
+        del common.CACHES["other"]
+
+
 def test_slots_of_words():
     found = toxicity.terms("Shorter words, longer WORDS")
     assert len(found) == len({"shorter", "shor*", "short*", "shorte*", "words", "word*", "longer", "long*", "longe*"})
