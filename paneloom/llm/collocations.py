@@ -22,9 +22,11 @@ occur; other columns aren't read. No words: no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,30 +43,69 @@ LANGS = 10_000  # languages whose size the tasks know; the others are mined at l
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 KEY_SHIFT = np.uint64(16)  # keys of 48 bits: narrower rows; equal keys only add candidates
 SALTS = 64
-BREAKS = ".,;:!?\n\x0b\x0c\r"
-WORD = r"[^\x20\x09-\x0D.,;:!?]+"
-BREAK = b"."  # stands between pieces; no word has this character
+CHUNK_BYTES = 1 << 22  # texts that are split at once; a longer one is split by itself
+BREAKS = b".,;:!?\n\x0b\x0c\r"
+BLANKS = b" \t"
 
 _UPPER = bytes(range(65, 91))
-_PLAIN = bytes.maketrans(
-    _UPPER + BREAKS.encode() + b"\t", _UPPER.lower() + b"\n" * len(BREAKS) + b" "
+_LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
+_BLANK, _WORD, _BREAK = range(3)
+_KINDS = bytes(
+    _BREAK if c in BREAKS else _BLANK if c in BLANKS else _WORD for c in range(256)
 )
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Lower-cased words, with ``BREAK`` where a piece ends."""
-    return text.translate(_PLAIN).replace(b"\n", b" . ").split()
-
-
-class _Numbers(dict):
-    """Numbers words as they come; 0 is the break."""
+def _buffers(texts: pa.Array) -> tuple[np.ndarray, pa.Buffer]:
+    """Offsets and bytes of an array of type binary, as ``texts.to_pylist()`` is slow."""
+    _, offsets, data = texts.buffers()
+    if not len(texts):
+        return np.zeros(1, dtype=np.int32), pa.py_buffer(b"")
+    ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return ends, data or pa.py_buffer(b"")
+
+
+def _values(texts: pa.Array) -> list[bytes]:
+    ends, data = _buffers(texts)
+    ends, data = ends.tolist(), data.to_pybytes()
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
+class Tokens:
+    """Lower-cased words of some texts, with a token that is none where a piece ends.
+
+    ``is_word`` tells the tokens apart, ``first`` is the first token of each text and, at its end, the
+    number of all."""
+
+    def __init__(self, data: bytes, offsets: np.ndarray):
+        kinds = np.frombuffer(data.translate(_KINDS), np.uint8)
+        word = kinds == _WORD
+        first, last = word.copy(), word.copy()
+        first[1:] &= ~word[:-1]
+        last[:-1] &= ~word[1:]
+        edges = offsets[(offsets > 0) & (offsets < len(data))]
+        first[edges], last[edges - 1] = word[edges], word[edges - 1]
+        starts = np.flatnonzero(first | (kinds == _BREAK))
+        self.is_word = first[starts]
+        self.first = np.searchsorted(starts, offsets)
+        sizes = np.flatnonzero(last) - starts[self.is_word] + 1
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        letters = data.translate(_LOWER, BREAKS + BLANKS)
+        self.words = pa.Array.from_buffers(
+            pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(letters)]
+        )
+        self.words_before = np.concatenate([[0], np.cumsum(self.is_word)])
 
-    def __init__(self):
-        super().__init__({BREAK: 0})
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+def tokens_of(texts: pa.Array) -> Iterator[Tokens]:
+    """Tokens of runs of the texts, none of them null."""
+    ends, data = _buffers(texts.cast(pa.binary()))
+    at = 0
+    while at < len(texts):
+        to = int(np.searchsorted(ends, int(ends[at]) + CHUNK_BYTES, "right")) - 1
+        to = min(max(to, at + 1), len(texts))
+        run = data[int(ends[at]) : int(ends[to])].to_pybytes()
+        yield Tokens(run, ends[at : to + 1] - ends[at])
+        at = to
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -75,17 +116,21 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Shard:
     """Words of one language. ``own`` marks words that belong here, the rest is overlap."""
 
-    def __init__(self, lang: str, segments: list[tuple[list[bytes], int]]):
-        numbers = _Numbers()
-        self.words = [w for segment, _ in segments for w in segment]
-        self.ids = np.fromiter(map(numbers.__getitem__, self.words), np.int64, len(self.words))
-        self.own = np.concatenate(
-            [np.arange(len(segment)) < count for segment, count in segments]
-        ) & (self.ids > 0)
+    def __init__(self, lang: str, segments: list[tuple[pa.Array, np.ndarray, int]]):
+        words = pa.concat_arrays([w for w, _, _ in segments]).dictionary_encode()
+        self.words = words.dictionary
+        size = sum(len(is_word) + 1 for _, is_word, _ in segments)  # a break after each
+        word, self.own = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+        at = 0
+        for _, is_word, count in segments:
+            word[at : at + len(is_word)] = is_word
+            self.own[at : at + count] = is_word[:count]
+            at += len(is_word) + 1
+        self.ids = np.zeros(size, dtype=np.int64)  # 0 is the break
+        self.ids[word] = words.indices.to_numpy() + 1
         seed = xxhash.xxh3_64_intdigest(lang.encode())
-        hashes = [xxhash.xxh3_64_intdigest(w, seed) for w in numbers]
-        self.hashes = np.array(hashes, dtype=np.uint64)[self.ids]
-        self.vocabulary = len(numbers)
+        hashes = [xxhash.xxh3_64_intdigest(w, seed) for w in _values(self.words)]
+        self.hashes = np.array([0, *hashes], dtype=np.uint64)[self.ids]
 
     def __len__(self) -> int:
         return int(self.own.sum())
@@ -102,35 +147,43 @@ class Shard:
             values = _mixed(values * np.uint64(0xD6E8FEB86659FD93) + hashes[starts + n - 1])
             yield n, starts, values >> KEY_SHIFT
 
-    def exact(self, starts: np.ndarray, n: int) -> tuple[list[bytes], np.ndarray]:
+    def exact(self, starts: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
         """Different phrases at ``starts`` and their numbers, told apart by their words."""
         code = self.ids[starts]
         for i in range(1, n):
-            if i > 1:
-                code = np.unique(code, return_inverse=True)[1]
-            code = code * self.vocabulary + self.ids[starts + i]
-        _, first, counts = np.unique(code, return_index=True, return_counts=True)
-        texts = [b" ".join(self.words[s : s + n]) for s in starts[first].tolist()]
-        return texts, counts
+            code = _codes(code) if i > 1 else code
+            code = code * (len(self.words) + 1) + self.ids[starts + i]
+        code = _codes(code)
+        counts = np.bincount(code)
+        first = np.empty(len(counts), dtype=np.int64)
+        first[code] = starts  # any of them
+        words = [self.words.take(pa.array(self.ids[first + i] - 1)) for i in range(n)]
+        return pc.binary_join_element_wise(*words, pa.scalar(b" ")), counts
+
+
+def _codes(values: np.ndarray) -> np.ndarray:
+    """Numbers from 0 for the different values."""
+    return pa.array(values).dictionary_encode().indices.to_numpy().astype(np.int64)
 
 
 def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[dict[str, Shard]]:
-    """Shards of at most ``size`` words, by language."""
+    """Shards of at most ``size`` words and breaks, by language."""
     kept: dict[str, list] = {}
     held = 0
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
-        langs = batch.column("lang").to_pylist()
-        for i, lang in enumerate(langs):
-            words = words_of(texts[i].as_py())
-            for at in range(0, len(words), size):
-                part = words[at : at + size + MOST_WORDS - 1]
-                count = min(size, len(part))
-                if held and held + count > size:
-                    yield {k: Shard(k, v) for k, v in kept.items()}
-                    kept, held = {}, 0
-                kept.setdefault(lang, []).append(([*part, BREAK], count))
-                held += count
+        langs = map(str, _values(batch.column("lang").cast(pa.binary())), repeat("utf-8"))
+        for tokens in tokens_of(batch.column("text")):
+            before, bounds = tokens.words_before, tokens.first.tolist()
+            for begin, end, lang in zip(bounds, bounds[1:], langs):
+                for at in range(begin, end, size):
+                    to = min(at + size + MOST_WORDS - 1, end)
+                    count = min(size, end - at)
+                    if held and held + count > size:
+                        yield {k: Shard(k, v) for k, v in kept.items()}
+                        kept, held = {}, 0
+                    words = tokens.words[before[at] : before[to]]
+                    kept.setdefault(lang, []).append((words, tokens.is_word[at:to], count))
+                    held += count
     if held:
         yield {k: Shard(k, v) for k, v in kept.items()}
 
@@ -256,7 +309,7 @@ def _count(short, long, size: int):
                         [
                             pa.array([lang] * len(texts), pa.string()),
                             pa.array(np.full(len(texts), n, dtype=np.int32)),
-                            pa.array(texts, pa.binary()).cast(pa.string()),
+                            texts.cast(pa.string()),
                             pa.array(counts, pa.int64()),
                         ],
                         ["lang", "words", "phrase", "a"],
@@ -265,11 +318,23 @@ def _count(short, long, size: int):
     return run
 
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [np.diff(t.words_before[t.first]) for t in tokens_of(batch.column("text"))]
+        langs = batch.column("lang").dictionary_encode()
+        counts = np.zeros(len(langs.dictionary), dtype=np.int64)
+        np.add.at(counts, langs.indices.to_numpy(), np.concatenate([counts[:0], *rows]))
+        yield pa.record_batch([langs.dictionary, pa.array(counts)], ["lang", "n"])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(text_of().alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, n): all words of each language."""
-    return docs.groupBy(F.coalesce("lang", F.lit("und")).alias("lang")).agg(
-        F.sum(F.regexp_count(text_of(), F.lit(WORD)).cast("long")).alias("n")
-    )
+    counted = _texts(docs).mapInArrow(_count_words, "lang string, n long")
+    return counted.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(
@@ -280,7 +345,7 @@ def frequent_phrases(
 ) -> DataFrame:
     """(lang, words, phrase, a): exact numbers of all phrases of 1 to 4 words that occur ``support``
     times in their language. ``sizes`` as of :func:`word_counts`."""
-    texts = docs.select(text_of().alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
+    texts = _texts(docs)
     largest = sizes.where("n > 0").orderBy(F.desc("n"), "lang").limit(LANGS).collect()
     known = {r["lang"]: (i, r["n"]) for i, r in enumerate(largest)}
     short = _bitmap(_candidates(texts, known, range(1, 3), None, support, shard_words))

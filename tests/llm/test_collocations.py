@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,34 @@ def test_against_all_phrases(spark, support, shard_words):
     assert sorted(map(tuple, got.collect())) == brute(rows, support, 50)
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 300, 1 << 22])
+def test_tokens_against_a_split(monkeypatch, chunk):
+    """Words are found in whole runs of texts, without an object for each; texts don't run together."""
+    monkeypatch.setattr(co, "CHUNK_BYTES", chunk)
+    texts = ["skipped", "", "Ab cd", "ef", ".", "", "x.,Y", " \t", "naïve É\u2003Z \x1f!", "end", "", *(t or "" for t, _ in documents()[:30])]
+    want, got = [], []
+    for text in texts[1:]:
+        marked = re.sub("[.,;:!?\x0a-\x0d]", " . ", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        want.append(re.findall("[^\x20\x09]+", marked))
+    for tokens in co.tokens_of(pa.array(texts)[1:]):
+        words = iter(tokens.words.to_pylist())
+        found = [next(words).decode() if w else "." for w in tokens.is_word]
+        got += [found[a:b] for a, b in zip(tokens.first, tokens.first[1:])]
+        assert next(words, None) is None
+    assert got == want
+    assert not list(co.tokens_of(pa.array([], pa.string())))
+
+
+def test_a_shard_keeps_each_word_once(spark):
+    batch = pa.record_batch([pa.array(["the same line. " * 4000]), pa.array(["en"])], ["text", "lang"])
+    (parts,) = co.shards(iter([batch]), 1 << 18)
+    assert len(parts["en"]) == 12_000 and len(parts["en"].words) == 3
+    texts, counts = parts["en"].exact(np.arange(0, 8, 4), 2)
+    assert dict(zip(texts.to_pylist(), counts.tolist())) == {b"the same": 2}
+    plan = co.word_counts(frame(spark, documents()))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan
+
+
 def test_local_support_is_proportional():
     assert co.local_support(30, 100, 1000) == 3
     assert co.local_support(30, 101, 1000) == 4
