@@ -57,33 +57,43 @@ def _trimmed(raw: str) -> Column:
     return F.when(reduce(lambda a, b: a | b, needs), trimmed).otherwise(F.col(raw))
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment ``i`` (from 1); longer segments come last."""
-    short = F.floor(length / parts).cast("int")
-    longer = (length - short * parts).cast("int")
-    before = F.greatest(F.lit(0), F.lit(i - 1) - (F.lit(parts) - longer))
-    start = F.lit(1) + short * (i - 1) + before
-    return start, short + (F.lit(i) > F.lit(parts) - longer).cast("int")
+def with_cuts(lines: DataFrame, threshold: int) -> DataFrame:
+    """``lines`` with ``wide``, the line in four bytes a character, so that cutting it needs no walk over
+    characters, ``chars``, their number, and the places where segments of its own and shorter
+    lengths meet, all computed once."""
+    parts = threshold + 1
+    return (
+        lines.withColumn("wide", F.encode("line", "UTF-32"))
+        .withColumn("chars", F.shiftright(F.octet_length("wide"), 2))
+        .withColumns(
+            {
+                f"cut{gap}_{i}": F.floor((F.col("chars") - gap) * i / parts).cast("int")
+                for gap in range(threshold + 1)
+                for i in range(1, parts)
+            }
+        )
+    )
 
 
-def probes(line: Column, length: Column, threshold: int) -> list[tuple[bool, Column]]:
-    """Hashes of the substrings that a line looks up, and whether each is one of its own segments.
+def probes(threshold: int) -> list[tuple[bool, Column]]:
+    """Hashes of the substrings that a line of :func:`with_cuts` looks up, and whether each is one of
+    its own segments.
 
     A substring is looked up where both the edits left of it and those right of it can be few enough.
     """
     parts = threshold + 1
+    chars = F.col("chars")
     look = []
     for gap in range(threshold + 1):
-        other = (length - gap).cast("int")
+        cuts = [F.lit(0), *[F.col(f"cut{gap}_{i}") for i in range(1, parts)], chars - gap]
         for i in range(1, parts + 1):
-            start, size = _segment(other, i, parts)
+            start, end = cuts[i - 1], cuts[i]
             low = max(-(i - 1), gap - (parts - i))
             high = min(i - 1, gap + (parts - i))
             for shift in range(low, high + 1):
-                at = start + shift
-                piece = F.substring(line, at, size)
-                inside = (at >= 1) & (at + size - 1 <= length)
-                key = F.xxhash64(F.lit(i), other, piece)
+                piece = F.substring("wide", (start + shift) * 4 + 1, (end - start) * 4)
+                inside = (start + shift >= 0) & (end + shift <= chars)
+                key = F.xxhash64(F.lit(i), chars - gap, piece)
                 look.append((gap == 0 and shift == 0, F.when(inside, key)))
     return look
 
@@ -221,10 +231,11 @@ def _marked(df: DataFrame, id_col: str, bitmap: DataFrame) -> DataFrame:
 def _meeting(lines: DataFrame, threshold: int) -> DataFrame:
     """(hash, id, own): the looked-up hashes that occur twice, once as a line's own. A line that has
     such a hash twice by itself is among them, and meets nothing later."""
-    look = probes(F.col("line"), F.col("length"), threshold)
+    look = probes(threshold)
     names = [f"h{n}" for n in range(len(look))]
     distinct = (
-        lines.select("line_key", "id", *[c.alias(n) for n, (_, c) in zip(names, look)])
+        with_cuts(lines, threshold)
+        .select("line_key", "id", *[c.alias(n) for n, (_, c) in zip(names, look)])
         .groupBy("line_key")
         .agg(*[F.min(c).alias(c) for c in ["id", *names]])
     )

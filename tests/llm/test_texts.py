@@ -423,6 +423,27 @@ def test_within_edits(spark, threshold):
         assert r["d"] == (want if want <= threshold else None), (r["a"], r["b"], want)
 
 
+@pytest.mark.parametrize("threshold", [1, 2, 3])
+def test_probes_cut_lines_without_a_walk(spark, threshold):
+    """Lines within the threshold share a looked-up hash, and cutting them never walks over characters."""
+    rng = random.Random(threshold)
+    pairs = []
+    for _ in range(150):
+        line = "".join(rng.choices("abcé😀 ", k=rng.randrange(10, 60)))
+        other = changed(rng, line, rng.randrange(threshold + 1))
+        pairs.append(sorted((line, other), key=len, reverse=True))
+    look = line_dedup.probes(threshold)
+    hashes = [h.alias(f"h{n}") for n, (_, h) in enumerate(look)]
+    lines = lookup_table(spark, [(x,) for x in {x for p in pairs for x in p}], "line string")
+    found = line_dedup.with_cuts(lines.repartition(2), threshold).select("line", *hashes)
+    looked = {r["line"]: [*r][1:] for r in found.collect()}
+    for longer, shorter in pairs:
+        own = {h for h, (is_own, _) in zip(looked[shorter], look) if is_own}
+        assert own & set(looked[longer]) and None not in own, (longer, shorter)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring(wide" in plan and "substring(line" not in plan
+
+
 def test_near_lines(spark):
     rng = random.Random(4)
     lines = []
