@@ -11,7 +11,7 @@ distance kept in the bits of one long, a band of 2 * threshold + 1 diagonals.
 
 Lines are made distinct before the join by a mergeable aggregate, so a line in a third of all
 documents is one row. Texts don't move for it: only hashes do, and the texts of lines whose hashes meet, which
-a bitmap of fixed size (2 MB) picks out before the exchange; letters are counted in these alone.
+a bitmap of fixed size (4 MB) picks out before the exchange; letters are counted in these alone.
 
 Definitions: null texts count as empty; blank lines stay; repeated rows (same id and text) are one
 document and get the same result; extra columns stay. Lines end at line feeds alone.
@@ -194,8 +194,13 @@ def _zero(match: Column, up: Column, down: Column, full: int) -> Column:
 
 
 def _bitmap(ids: DataFrame) -> DataFrame:
-    """(bucket, bits): at most 512 rows of 4 kB, whatever ``ids`` holds."""
+    """(bucket, words): at most 512 rows of 1,024 words of 32 bits, whatever ``ids`` holds."""
     at = F.pmod("id", F.lit(_BITS))
+    # four bytes at a time, so that a bit is found in whole numbers; byte 0 is a word's highest
+    words = F.transform(
+        F.sequence(F.lit(0), F.lit(1023)),
+        lambda i: F.conv(F.hex(F.substring("bits", i * 4 + 1, F.lit(4))), 16, 10).cast("long"),
+    )
     return (
         ids.select(
             F.call_function("bitmap_bucket_number", at).alias("bucket"),
@@ -203,19 +208,19 @@ def _bitmap(ids: DataFrame) -> DataFrame:
         )
         .groupBy("bucket")
         .agg(F.bitmap_construct_agg("place").alias("bits"))
+        .select("bucket", words.alias("words"))
     )
 
 
 def _marked(df: DataFrame, id_col: str, bitmap: DataFrame) -> DataFrame:
     """``df`` with ``in_bitmap``: whether the row's id may be among those of the bitmap."""
     at = F.pmod(id_col, F.lit(_BITS))
-    place = F.call_function("bitmap_bit_position", at)
-    byte = F.conv(
-        F.hex(F.substring("bitmap_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10
-    ).cast("int")
-    bit = F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1))
+    place = F.call_function("bitmap_bit_position", at).cast("int")
+    word = F.get("bitmap_bits", F.shiftright(place, 5))
+    shift = F.lit(24) - place.bitwiseAND(F.lit(24)) + place.bitwiseAND(F.lit(7))
+    bit = F.call_function("shiftright", word, shift).bitwiseAND(F.lit(1))
     own = bitmap.select(
-        F.col("bucket").alias("bitmap_bucket"), F.col("bits").alias("bitmap_bits")
+        F.col("bucket").alias("bitmap_bucket"), F.col("words").alias("bitmap_bits")
     )
     return (
         df.join(

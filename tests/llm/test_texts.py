@@ -23,6 +23,7 @@ from paneloom.llm import (
 )
 from paneloom.llm.common import components
 from paneloom.lookup import lookup_table
+from paneloom.session import materialise
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id long, block string"
 
@@ -444,6 +445,18 @@ def test_probes_cut_lines_without_a_walk(spark, threshold):
     assert "substring(wide" in plan and "substring(line" not in plan
 
 
+def test_bitmaps_are_read_as_whole_numbers(spark):
+    """Each bit of a word is told from the others, and a row's bit is found without text."""
+    size = line_dedup._BITS
+    inside = [*range(0, 200, 3), 32_767, 32_768, size - 1, -5, 7 * size + 1000]
+    ids = lookup_table(spark, [(x,) for x in inside], "id long")
+    rows = spark.range(-40, 40_000).select(F.col("id").alias("hash"))
+    marked = line_dedup._marked(rows, "hash", materialise(line_dedup._bitmap(ids)))
+    got = {r["hash"] for r in marked.where("in_bitmap").collect()}
+    assert got == {x for x in range(-40, 40_000) if x % size in {y % size for y in inside}}
+    assert "conv(" not in marked._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_near_lines(spark):
     rng = random.Random(4)
     lines = []
